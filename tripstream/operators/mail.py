@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS, address_of, month_of, tokens
+from ..plans.util import spread
 from ..schemas import MAIL_FIELDS
 
 
@@ -32,10 +33,12 @@ def tf_idf(docs: DataFrame, id_col: str = "messageId", text_col: str = "body",
     scalar subquery (a one-row aggregate), not a driver round trip. The tf ⋈ df
     join is many-to-one on word; adaptive execution splits a hot word's partition.
     """
-    words = docs.select(F.col(id_col).alias("docId"),
-                        F.explode(tokens(text_col, stop_words)).alias("word"))
+    words = spread(docs.select(F.col(id_col).alias("docId"), F.col(text_col).alias("_text"))) \
+        .select("docId", F.explode(tokens("_text", stop_words)).alias("word"))
     tf = words.groupBy("docId", "word").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    # count(tf) keeps the tf column alive, so both join sides share one
+    # tokenise-and-count exchange instead of tokenising the texts twice
+    df = tf.groupBy("word").agg(F.count("tf").alias("df"))
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     return (tf.join(df, "word")
             .select(F.col("docId").alias(id_col), "word",

@@ -17,7 +17,7 @@ from .. import operators as op
 from ..functions.geo import cells_on_way
 from ..sources import fixtures as fx
 from .oracle import AS_OF, MAIL_EXCLUDE, RULE_PREDICATE
-from .util import to_ntz
+from .util import spread, to_ntz
 
 
 def _q(fn):
@@ -29,7 +29,7 @@ def _q(fn):
 
 def route_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 user-level form: rides (START records, cleansed) per grid cell on their path."""
-    rides = op.start_events(op.clean_rides(fx.rides(spark, sf_dir)))
+    rides = spread(op.start_events(op.clean_rides(fx.rides(spark, sf_dir))))
     cells = rides.select(F.explode(cells_on_way("startLon", "startLat", "endLon", "endLat")).alias("cell"))
     return cells.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -42,3 +42,17 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows; pass them as a table join instead")
     return rows
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a narrow scan over the cluster before CPU-heavy per-row work.
+
+    Only when the input has fewer splits than the default parallelism (e.g. one
+    large single-row-group file); a scan that is already split finely (the
+    normal case on a cluster) is left as it is, so no shuffle is added there.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

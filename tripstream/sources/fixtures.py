@@ -12,8 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
+    """One generated table; with ``streaming`` the same file(s) as a stream source
+    (schema taken from the batch reader; one file per trigger)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if not streaming:
+        return spark.read.parquet(path)
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _ts(col: str = "ts"):
@@ -21,9 +27,9 @@ def _ts(col: str = "ts"):
     return F.col(col).cast("timestamp")
 
 
-def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rides(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Each event is a trip of ``value`` minutes: one START and one END record."""
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    ev = table(spark, sf_dir, "events", streaming).select("event_id", "user_id", "ts", "value")
     plus = F.expr("cast(ts as timestamp) + make_dt_interval(0, 0, 0, cast(floor(value * 60) as bigint))")
     return (ev
             .withColumn("isStart", F.explode(F.array(F.lit(True), F.lit(False))))
@@ -44,8 +50,8 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def fares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def fares(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", streaming)
     return (ev.filter(F.col("event_id") % 13 != 0)
             .select(
                 F.col("event_id").alias("rideId"),
@@ -59,8 +65,8 @@ def fares(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def car_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def car_events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", streaming)
     return ev.select(
         F.col("event_id").cast("string").alias("id"),
         F.concat(F.lit("car"), F.col("user_id").cast("string")).alias("carId"),
@@ -70,28 +76,28 @@ def car_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def trades(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", streaming)
     return (ev.filter(F.col("event_type") == "purchase")
             .select(_ts().alias("eventTime"), F.col("user_id").alias("customerId"),
                     F.concat(F.lit("trade-"), F.col("event_id").cast("string")).alias("tradeInfo")))
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def customers(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", streaming)
     return (ev.filter(F.col("event_type") == "signup")
             .select(_ts().alias("eventTime"), F.col("user_id").alias("customerId"),
                     F.concat(F.lit("customer-"), F.col("event_id").cast("string")).alias("customerInfo")))
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def items(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", streaming)
     return ev.select(F.col("event_id").alias("seq"), F.col("event_type").alias("shape"),
                      (F.col("user_id") % 10).alias("color"))
 
 
-def mails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = table(spark, sf_dir, "conversations")
+def mails(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations", streaming)
     cid, turn = F.col("conv_id").cast("string"), F.col("turn")
     return conv.select(
         F.concat(cid, F.lit("-"), turn.cast("string")).alias("messageId"),
@@ -120,8 +126,8 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("l_quantity").alias("weight")))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+def documents(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    return table(spark, sf_dir, "documents", streaming).select("doc_id", "text")
 
 
 # Location queries of the nearest-taxi job: (queryId, longitude, latitude).
