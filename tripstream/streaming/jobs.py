@@ -19,8 +19,8 @@ from ..plans.util import interval_seconds
 from ..schemas import RIDE_COLUMNS
 from .processors import (AsOfJoinProcessor, EventSortProcessor, LatestJoinProcessor,
                          LongRidesProcessor, NearestWithRetentionProcessor, RIDE_STATE,
-                         RuleMatchProcessor, RunningMinProcessor, StopSegmentsProcessor,
-                         TravelTimeProcessor)
+                         RangeCountProcessor, RuleMatchProcessor, RunningMinProcessor,
+                         StopSegmentsProcessor, TravelTimeProcessor)
 
 RIDE_DELAY = "60 seconds"     # bounded out-of-orderness of rides and fares (T11)
 CAR_DELAY = "30 seconds"      # car events (T13)
@@ -159,8 +159,9 @@ def asof_join_stream(trades: DataFrame, customers: DataFrame, delay: str = "0 se
 def latest_join_stream(trades: DataFrame, customers: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """Join with the last customer row received; wait for the watermark if none."""
     _ship()
+    proc = LatestJoinProcessor(interval_seconds(delay) * 1_000_000)
     return (with_watermark(_trade_union(trades, customers), "eventTime", delay).groupBy("customerId")
-            .transformWithState(LatestJoinProcessor(), TRADE_OUT, "Append", "EventTime"))
+            .transformWithState(proc, TRADE_OUT, "Append", "EventTime"))
 
 
 CAR_FIELDS = ["id", "carId", "eventTime", "speed", "throttle"]
@@ -175,14 +176,29 @@ def sort_car_events_stream(events: DataFrame, delay: str = CAR_DELAY) -> DataFra
                                 "Append", "EventTime"))
 
 
-def driving_segments_stream(events: DataFrame, delay: str = CAR_DELAY) -> DataFrame:
-    """Segments closed by each stop, fired by event-time timers."""
+SEGMENT_OUT = ("carId string, stopTime timestamp, length long, startTime timestamp, maxSpeed int, "
+               "erraticness double, erraticnessDesc string")
+
+
+def driving_segments_stream(events: DataFrame, delay: str = CAR_DELAY,
+                            between_stops: bool = False) -> DataFrame:
+    """T6 (T7 with ``between_stops``): segments closed by each stop, fired by
+    event-time timers."""
     _ship()
-    out = ("carId string, stopTime timestamp, length long, startTime timestamp, maxSpeed int, "
-           "erraticness double, erraticnessDesc string")
     return (with_watermark(events.select("carId", "eventTime", "speed", "throttle"), "eventTime", delay)
             .groupBy("carId")
-            .transformWithState(StopSegmentsProcessor(), out, "Append", "EventTime"))
+            .transformWithState(StopSegmentsProcessor(need_previous_stop=between_stops), SEGMENT_OUT,
+                                "Append", "EventTime"))
+
+
+def arrivals_window_stream(rides: DataFrame, range_: str = "10 minutes", delay: str = RIDE_DELAY) -> DataFrame:
+    """Per end cell, END events in the preceding range, once the watermark passes."""
+    _ship()
+    e = op.end_events(with_watermark(rides, "eventTime", delay)) \
+        .select(to_cell_id("endLon", "endLat").alias("cellId"), "eventTime")
+    return (e.groupBy("cellId")
+            .transformWithState(RangeCountProcessor(interval_seconds(range_) * 1_000_000),
+                                "cell string, eventTime timestamp, cnt long", "Append", "EventTime"))
 
 
 NEAREST_OUT = "queryId int, eventTime timestamp, rideId long, taxiId long, km float"

@@ -160,45 +160,74 @@ class AsOfJoinProcessor(StatefulProcessor):
 
 class LatestJoinProcessor(StatefulProcessor):
     """J4 keyed by customerId: a trade is joined at once with the last customer
-    row received; without one it waits until the watermark reaches its time and
-    is then emitted with whatever arrived by then (possibly none)."""
+    row received before it (arrival order); without one it waits until the
+    watermark reaches its time and then takes the last customer row that had
+    arrived by its time plus the watermark delay (possibly none)."""
+
+    def __init__(self, delay_us: int = 0):
+        self.delay_us = delay_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.customer = handle.getValueState("customer", "t long, info string")
+        # (arrival us, customer time us, info), pruned to what pending trades can still see
+        self.customers = handle.getListState("customers", "a long, t long, info string")
         self.waiting = handle.getListState("waiting", "t long, info string")
 
     def _row(self, key, t, info, c):
         return Row(eventTime=from_us(t), customerId=key[0], tradeInfo=info,
-                   customerTime=from_us(c[0]) if c else None, customerInfo=c[1] if c else None)
+                   customerTime=from_us(c[1]) if c else None, customerInfo=c[2] if c else None)
+
+    @staticmethod
+    def _last_by(cust, limit):
+        best = None
+        for c in cust:
+            if c[0] <= limit:
+                best = c
+            else:
+                break
+        return best
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs() * 1000
-        out = []
-        ordered = sorted(rows, key=lambda r: (r.arrival, r.side))
-        for r in ordered:
-            t = to_us(r.eventTime)
+        cust = sorted(self.customers.get() or [])
+        out, wait = [], []
+        for r in sorted(rows, key=lambda r: (r.arrival, r.side)):
+            a, t = to_us(r.arrival), to_us(r.eventTime)
             if r.side == 0:
-                self.customer.update((t, r.info))
+                cust.append((a, t, r.info))
                 continue
-            c = self.customer.get()
+            c = self._last_by(cust, a)
             if c is not None:
                 out.append(self._row(key, t, r.info, c))
             elif t >= wm:
-                self.waiting.appendValue((t, r.info))
+                wait.append((t, r.info))
                 self.handle.registerTimer(timer_ms(t))
+        self.customers.clear()
+        if cust:
+            self.customers.put(cust)
+        if wait:
+            self.waiting.appendList(wait)
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        c = self.customer.get()
+        cust = sorted(self.customers.get() or [])
         out, keep = [], []
         for t, info in list(self.waiting.get() or []):
-            (out if t <= now else keep).append((t, info))
+            if t <= now:
+                out.append(self._row(key, t, info, self._last_by(cust, t + self.delay_us)))
+            else:
+                keep.append((t, info))
         self.waiting.clear()
         if keep:
             self.waiting.put(keep)
-        return iter([self._row(key, t, info, c) for t, info in out])
+        horizon = min([t for t, _ in keep] + [timerValues.getCurrentWatermarkInMs() * 1000])
+        older = [c for c in cust if c[0] <= horizon]
+        kept = older[-1:] + [c for c in cust if c[0] > horizon]
+        self.customers.clear()
+        if kept:
+            self.customers.put(kept)
+        return iter(out)
 
     def close(self) -> None:
         pass
@@ -375,12 +404,14 @@ class StopSegmentsProcessor(StatefulProcessor):
     timer) emit the statistics of the buffered events strictly before the
     earliest stop, then evict everything up to that stop."""
 
-    def __init__(self, digits: int = 6):
+    def __init__(self, digits: int = 6, need_previous_stop: bool = False):
         self.digits = digits
+        self.need_previous_stop = need_previous_stop   # T7: only runs with a stop before them
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buffer = handle.getListState("buffer", "t long, speed double, throttle double, isStop boolean")  # t in us
+        self.had_stop = handle.getValueState("hadStop", "hadStop boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = []
@@ -405,7 +436,9 @@ class StopSegmentsProcessor(StatefulProcessor):
         self.buffer.clear()
         if rest:
             self.buffer.put(rest)
-        if not seg:
+        previous = self.had_stop.exists()
+        self.had_stop.update((True,))
+        if not seg or (self.need_previous_stop and not previous):
             return iter([])
         n = len(seg)
         mean = sum(x[2] for x in seg) / n
@@ -420,3 +453,50 @@ class StopSegmentsProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RangeCountProcessor(StatefulProcessor):
+    """W1 keyed by cell: for each event, the number of events of its key in
+    [t - range, t] (peers included), emitted once the watermark reaches t."""
+
+    def __init__(self, range_us: int):
+        self.range_us = range_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.events = handle.getListState("events", "t long, done boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        wm = timerValues.getCurrentWatermarkInMs() * 1000
+        new = []
+        for r in rows:
+            t = to_us(r.eventTime)
+            if t < wm:
+                continue
+            new.append((t, False))
+            self.handle.registerTimer(timer_ms(t))
+        if new:
+            self.events.appendList(new)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        ev = sorted(self.events.get() or [])
+        times = [t for t, _ in ev]
+        out, keep = [], []
+        import bisect
+        for t, done in ev:
+            if not done and t <= now:
+                lo = bisect.bisect_left(times, t - self.range_us)
+                hi = bisect.bisect_right(times, t)
+                out.append(Row(cell=str(key[0]), eventTime=from_us(t), cnt=hi - lo))
+                done = True
+            if not done or t >= now - self.range_us:
+                keep.append((t, done))
+        self.events.clear()
+        if keep:
+            self.events.put(keep)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
