@@ -184,3 +184,12 @@ def test_sink_shapes(spark):
     assert doc["location"].startswith("40.75") and "," in doc["location"]
     pts = src.to_points(places, "places", "cnt", "windowEnd", "cnt", "isStart").first()
     assert (pts.measurement, pts.timeMs, pts.value, pts.key) == ("places", 1577836800000, 3.0, "true")
+
+
+def test_query_lines(spark):
+    lines = spark.createDataFrame([("-73.99, 40.75",), ("-74.0,41.0",)], "value string")
+    q = src.location_queries_from_lines(lines).collect()
+    assert [(round(r.longitude, 2), round(r.latitude, 2)) for r in q] == [(-73.99, 40.75), (-74.0, 41.0)]
+    assert len({r.queryId for r in q}) == 2
+    m = src.minutes_queries_from_lines(spark.createDataFrame([(" 30",)], "value string")).first()
+    assert m.minutes == 30

@@ -179,3 +179,13 @@ def test_keyed_value_state_jobs(spark, rides):
     items = fx.items(spark, SF_SMALL)
     got = run(jobs.match_rules_stream(stage(spark, items, [(-1, "none", 0)]), [("view", "purchase")]))
     assert rows(got) == rows(op.match_rules(items, [("view", "purchase")]))
+
+
+def test_latest_table_answers_ongoing_and_predicate_queries(spark, rides):
+    """B1/B4 streaming: the latest-event table is an update-mode aggregation; queries
+    are answered against it like the batch operators."""
+    latest = run(jobs.latest_per_taxi_stream(stage(spark, rides, ride_sentinel())), mode="update")
+    latest = latest.filter("taxiId >= 0")
+    assert rows(latest) == rows(op.latest_per_taxi(rides))
+    pe = run(jobs.match_rides_stream(stage(spark, rides, ride_sentinel()), "passengerCnt > 4"))
+    assert rows(pe.filter("rideId >= 0")) == rows(op.match_rides(rides, "passengerCnt > 4"))

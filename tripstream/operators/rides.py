@@ -49,14 +49,15 @@ def event_cell(rides: DataFrame) -> DataFrame:
 
 
 def popular_places(rides: DataFrame, threshold: int = 20, size: str = "15 minutes",
-                   slide: str = "5 minutes", strict: bool = False) -> DataFrame:
+                   slide: str = "5 minutes", strict: bool = False, clean: bool = True) -> DataFrame:
     """Sliding-window count of arrivals/departures per grid cell.
 
     Output (lon, lat, windowEnd, isStart, cnt) for windows with cnt >= threshold
     (> threshold when ``strict``). Partial counts are combined map-side before
-    the exchange on (window, cell, isStart).
+    the exchange on (window, cell, isStart). ``clean=False`` skips P1 for input
+    that is already cleansed.
     """
-    cells = event_cell(clean_rides(rides))
+    cells = event_cell(clean_rides(rides) if clean else rides)
     counts = (cells.groupBy(F.window("eventTime", size, slide).alias("w"), "cell", "isStart")
               .agg(F.count(F.lit(1)).alias("cnt")))
     keep = F.col("cnt") > threshold if strict else F.col("cnt") >= threshold
@@ -166,11 +167,12 @@ def hourly_tip_leader(fares: DataFrame, size: str = "1 hour", digits: int = 6) -
 def high_tip_hours(fares: DataFrame, min_tips: float = 50.0, size: str = "1 hour",
                    digits: int = 6) -> DataFrame:
     """SUM(tip) per driver and window, HAVING sum > min_tips."""
+    # the sum is rounded first, so the threshold test does not depend on the
+    # order in which partial sums were added
     return (fares.groupBy(F.window("startTime", size).alias("w"), "driverId")
-            .agg(F.sum("tip").alias("total"))
-            .filter(F.col("total") > min_tips)
-            .select(F.col("w.end").alias("windowEnd"), "driverId",
-                    F.round("total", digits).alias("tips")))
+            .agg(F.round(F.sum("tip"), digits).alias("tips"))
+            .filter(F.col("tips") > min_tips)
+            .select(F.col("w.end").alias("windowEnd"), "driverId", "tips"))
 
 
 # ---------------------------------------------------------------- W1, P8

@@ -165,3 +165,19 @@ def register_table(spark: SparkSession, name: str, kind: str, options: dict,
         t = fare_table(read_fares(spark, options["path"], streaming), delay if streaming else None)
     t.createOrReplaceTempView(name)
     return t
+
+
+# ---------------------------------------------------------------- S18 query lines
+
+def location_queries_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """S18: "lon, lat" text lines → (queryId, longitude, latitude); the id is the
+    caller's (here a hash of the line and its position in the input)."""
+    parts = F.split(F.trim(F.col(col)), r",\s*")
+    return lines.select(F.xxhash64(F.col(col), F.monotonically_increasing_id()).alias("queryId"),
+                        parts.getItem(0).cast("float").alias("longitude"),
+                        parts.getItem(1).cast("float").alias("latitude"))
+
+
+def minutes_queries_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Ongoing-ride queries, one whole number of minutes per line."""
+    return lines.select(F.trim(F.col(col)).cast("long").alias("minutes"))

@@ -54,6 +54,21 @@ def popular_places_stream(rides: DataFrame, threshold: int = 20, size: str = "15
     return op.popular_places(with_watermark(rides, "eventTime", delay), threshold, size, slide, strict)
 
 
+def popular_places_from_kafka(spark, servers: str, topic: str, threshold: int = 20,
+                              size: str = "15 minutes", slide: str = "5 minutes",
+                              delay: str = RIDE_DELAY) -> DataFrame:
+    """S10 job: cleansed ride lines from Kafka (earliest offsets) → T3 without P1."""
+    from ..sources.rides import rides_from_kafka
+    rides = with_watermark(rides_from_kafka(spark, servers, topic), "eventTime", delay)
+    return op.popular_places(rides, threshold, size, slide, clean=False)
+
+
+def clean_rides_to_kafka(spark, path: str, servers: str, topic: str, checkpoint: str):
+    """S11 job: ride file stream → P1 → Kafka topic (text lines)."""
+    from ..sources.rides import read_rides, rides_to_kafka
+    return rides_to_kafka(op.clean_rides(read_rides(spark, path, streaming=True)), servers, topic, checkpoint)
+
+
 def ride_count_stream(rides: DataFrame) -> DataFrame:
     """A1: running count per driver (update mode)."""
     return op.ride_count(rides)
