@@ -117,7 +117,7 @@ def test_cells_on_way_against_brute_force(spark):
     cols = list(zip(*pts))
     got = _cells_on_way_batch(*(pd.Series(c) for c in cols))
     for p, g in zip(pts, got):
-        assert g == _walk_one(*p), p
+        assert list(g) == _walk_one(*p), p
     df = spark.createDataFrame([tuple(np.float32(v).item() for v in p) for p in pts[:20]],
                                "a float, b float, c float, d float")
     rows = df.select(cells_on_way("a", "b", "c", "d").alias("cells")).collect()

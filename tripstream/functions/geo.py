@@ -106,7 +106,10 @@ def _cells_on_way_batch(lon1, lat1, lon2, lat2) -> list:
     slope = (ey - sy) / ((ex - sx) + 0.00000001)
     pos = slope > 0
     cx = sx.copy(); cy = sy.copy()
-    out = [[int(a + b * GRID_X)] for a, b in zip(cx, cy)]
+    n = len(cx)
+    # every step appends (row, cell) pairs; rows are regrouped once at the end
+    step_rows = [np.arange(n)]
+    step_cells = [cx + cy * GRID_X]
 
     def running(cx, cy):
         # x only grows and y only moves towards one side, so a walk that has
@@ -134,10 +137,14 @@ def _cells_on_way_batch(lon1, lat1, lon2, lat2) -> list:
         nx[right] += 1
         ny[up] -= 1
         cx[idx] = nx; cy[idx] = ny
-        for j, i in enumerate(idx):
-            out[i].append(int(nx[j] + ny[j] * GRID_X))
+        step_rows.append(idx)
+        step_cells.append(nx + ny * GRID_X)
         active = running(cx, cy)
-    return out
+    rows = np.concatenate(step_rows)
+    cells = np.concatenate(step_cells).astype(np.int32)
+    order = np.argsort(rows, kind="stable")          # keeps step order inside a row
+    bounds = np.cumsum(np.bincount(rows, minlength=n))[:-1]
+    return np.split(cells[order], bounds)
 
 
 def _ship_by_value():

@@ -37,3 +37,14 @@ def tokens(text, stop_words=STOP_WORDS) -> Column:
     stops = F.array(*[F.lit(w) for w in sorted(set(stop_words))])
     parts = F.split(F.lower(_col(text)), TOKEN_SEPARATORS)
     return F.filter(parts, lambda w: w.rlike("^[a-z]+$") & ~F.array_contains(stops, w))
+
+
+def is_word(word, stop_words=STOP_WORDS) -> Column:
+    """Row-level form of the token test (codegen-friendly after an explode)."""
+    w = _col(word)
+    return w.rlike("^[a-z]+$") & ~w.isin(*sorted(set(stop_words)))
+
+
+def raw_tokens(text) -> Column:
+    """Lower-cased whitespace split of the whole text (before the word test)."""
+    return F.split(F.lower(_col(text)), TOKEN_SEPARATORS)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.prefix import keyed_scan, time_bucket
+from ..plans.prefix import DEFAULT_BUCKET, keyed_scan, time_bucket
 from ..plans.util import interval_seconds
 
 
@@ -32,7 +32,7 @@ def segment_stats(events: DataFrame, keys: list, digits: int = 6) -> DataFrame:
             .withColumn("erraticnessDesc", erraticness_desc("erraticness")))
 
 
-def sort_car_events(events: DataFrame, bucket: str = "1 day") -> DataFrame:
+def sort_car_events(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """O1: events of each car in event-time order, with their position ``rank``
     (1-based; ties in time broken by id). Range-partitioned global sort."""
     ranked = keyed_scan(events, ["carId"], ["eventTime", "id"],
@@ -41,7 +41,7 @@ def sort_car_events(events: DataFrame, bucket: str = "1 day") -> DataFrame:
     return ranked.orderBy("carId", "rank")
 
 
-def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str = "1 day") -> DataFrame:
+def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """T5: per car, sessions separated by more than ``gap`` without events (two events
     exactly ``gap`` apart share a session), with segment statistics.
 
@@ -76,14 +76,14 @@ def _with_stops(events: DataFrame, bucket: str, need_previous: bool) -> DataFram
     return ev.filter(F.col("eventTime") < F.col("_segEnd"))
 
 
-def driving_segments(events: DataFrame, bucket: str = "1 day") -> DataFrame:
+def driving_segments(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Per car, the events strictly before each stop (speed 0) and after the
     previous stop; the leading segment counts, events after the last stop do not."""
     seg = _with_stops(events, bucket, need_previous=False)
     return segment_stats(seg, ["carId", "_segEnd"]).withColumnRenamed("_segEnd", "stopTime")
 
 
-def driving_segments_between_stops(events: DataFrame, bucket: str = "1 day") -> DataFrame:
+def driving_segments_between_stops(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Contiguous driving runs with a stop before and after them."""
     seg = _with_stops(events, bucket, need_previous=True).filter(F.col("_prevStop").isNotNull())
     return segment_stats(seg, ["carId", "_segEnd"]).withColumnRenamed("_segEnd", "stopTime")

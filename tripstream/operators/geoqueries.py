@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import distance_km
-from ..plans.prefix import keyed_scan, time_bucket
+from ..plans.prefix import FEW_KEYS_BUCKET, keyed_scan, time_bucket
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 from .rides import end_events, latest_per_taxi
@@ -38,7 +38,7 @@ def query_distances(rides: DataFrame, queries) -> DataFrame:
 
 
 def running_minima(reports: DataFrame, key: str = "queryId", order=("eventTime", "rideId"),
-                   value: str = "km", bucket: str = "1 day") -> DataFrame:
+                   value: str = "km", bucket: str = FEW_KEYS_BUCKET) -> DataFrame:
     """Keep the reports that are strictly below every earlier report of their key.
 
     Skew-safe: the earlier minimum comes from ``keyed_scan`` (per-bucket minima,
@@ -49,7 +49,7 @@ def running_minima(reports: DataFrame, key: str = "queryId", order=("eventTime",
     return scanned.filter(F.col("_prev").isNull() | (F.col(value) < F.col("_prev"))).drop("_prev")
 
 
-def nearest_taxi(rides: DataFrame, queries, bucket: str = "1 day") -> DataFrame:
+def nearest_taxi(rides: DataFrame, queries, bucket: str = FEW_KEYS_BUCKET) -> DataFrame:
     """B2: for each location query, the stream of ever-closer ending taxis."""
     return running_minima(query_distances(rides, queries), bucket=bucket)
 

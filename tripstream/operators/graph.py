@@ -20,28 +20,38 @@ def normalized_edges(edges: DataFrame, by_degree: bool = False) -> DataFrame:
 
 def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85,
                       digits: int | None = None, by_degree: bool = False,
-                      checkpoint_every: int = 4) -> DataFrame:
+                      checkpoint_every: int = 5) -> DataFrame:
     """r0 = 1/N; r <- (1-d)/N + d * sum over in-edges of r(src) * w.
 
-    Edges are hash-partitioned by source once and cached, so each round only
-    shuffles the rank vector and the per-target sums. Lineage is cut with a
-    reliable checkpoint into the session's shared checkpoint folder.
+    Edges are hash-partitioned by source once and cached. Each round is one
+    join (edges ⋈ ranks on source) and one aggregation: the contributions are
+    unioned with a zero row per vertex, so vertices without in-links keep the
+    teleport share without a second join. Lineage is cut every few rounds with a
+    reliable checkpoint into the session's shared checkpoint folder (the ranks
+    are cached first, so checkpointing does not recompute them).
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    e = normalized_edges(edges, by_degree).repartition("src").persist()
+    given = edges.persist()          # read by both sides of the normalisation join
+    e = normalized_edges(given, by_degree).repartition("src").persist()
     vertices = e.select(F.col("src").alias("vertex")).union(e.select(F.col("dst").alias("vertex"))) \
         .distinct().persist()
-    n = float(vertices.count())
+    n = float(vertices.count())      # materialises e and vertices
+    given.unpersist()
+    zero = vertices.select("vertex", F.lit(0.0).alias("c"))
     ranks = vertices.select("vertex", F.lit(1.0 / n).alias("rank"))
+    held = []
     for i in range(iterations):
         contrib = (e.join(ranks.withColumnRenamed("vertex", "src"), "src")
-                   .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("_in")))
-        ranks = (vertices.join(contrib.withColumnRenamed("dst", "vertex"), "vertex", "left")
-                 .select("vertex", (F.lit((1 - damping) / n)
-                                    + F.lit(damping) * F.coalesce(F.col("_in"), F.lit(0.0))).alias("rank")))
+                   .select(F.col("dst").alias("vertex"), (F.col("rank") * F.col("w")).alias("c")))
+        ranks = (contrib.unionByName(zero).groupBy("vertex")
+                 .agg((F.lit((1 - damping) / n) + F.lit(damping) * F.sum("c")).alias("rank")))
         if (i + 1) % checkpoint_every == 0 and i + 1 < iterations:
+            ranks = ranks.persist()
             ranks = ranks.checkpoint()
+            for h in held:
+                h.unpersist()
+            held = [ranks]
     if digits is not None:
         ranks = ranks.select("vertex", F.round("rank", digits).alias("rank"))
     return ranks

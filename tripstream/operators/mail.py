@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import STOP_WORDS, address_of, month_of, tokens
+from ..functions.text import STOP_WORDS, address_of, is_word, month_of, raw_tokens
 from ..plans.util import spread
 from ..schemas import MAIL_FIELDS
 
@@ -33,8 +33,9 @@ def tf_idf(docs: DataFrame, id_col: str = "messageId", text_col: str = "body",
     scalar subquery (a one-row aggregate), not a driver round trip. The tf ⋈ df
     join is many-to-one on word; adaptive execution splits a hot word's partition.
     """
-    words = spread(docs.select(F.col(id_col).alias("docId"), F.col(text_col).alias("_text"))) \
-        .select("docId", F.explode(tokens("_text", stop_words)).alias("word"))
+    words = (spread(docs.select(F.col(id_col).alias("docId"), F.col(text_col).alias("_text")))
+             .select("docId", F.explode(raw_tokens("_text")).alias("word"))
+             .filter(is_word("word", stop_words)))
     tf = words.groupBy("docId", "word").agg(F.count(F.lit(1)).alias("tf"))
     # count(tf) keeps the tf column alive, so both join sides share one
     # tokenise-and-count exchange instead of tokenising the texts twice

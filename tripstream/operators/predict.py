@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import direction_angle, direction_bucket, distance_km, to_cell_id
 from ..functions.time import travel_minutes
-from ..plans.prefix import keyed_scan, time_bucket
+from ..plans.prefix import DEFAULT_BUCKET, keyed_scan, time_bucket
 from ..plans.util import interval_seconds
 from .rides import clean_rides
 
 _TINY = 10 * 4.9e-324  # below this |sum(x^2)| the slope is undefined
 
 
-def predict_travel_time(rides: DataFrame, bucket: str = "1 day") -> DataFrame:
+def predict_travel_time(rides: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     r = clean_rides(rides).select(
         "rideId", "isStart", "eventTime",
         to_cell_id("endLon", "endLat").alias("cell"),

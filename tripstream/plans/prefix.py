@@ -26,6 +26,15 @@ from pyspark.sql import functions as F
 
 KINDS = ("sum", "count", "min", "max", "last")
 
+# Bucket length of the event-time scans. It bounds the rows of one key that a
+# single task sees: a key holding a third of all events still only puts one
+# bucket's worth of them into a task. Shorter buckets mean smaller tasks but a
+# larger bucket table (at most one row per key and bucket).
+DEFAULT_BUCKET = "10 minutes"
+# Scans over very few keys (e.g. a handful of location queries) see every
+# event of the stream per key, so they use finer buckets.
+FEW_KEYS_BUCKET = "1 minute"
+
 
 def time_bucket(ts, seconds: int) -> Column:
     """Bucket number of a timestamp for buckets of ``seconds`` length."""
