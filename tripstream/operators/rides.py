@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import cell_center_lat, cell_center_lon, is_in_nyc, to_cell_id
 from ..functions.sql import register_sql_functions
 from ..functions.time import time_diff_ms, travel_minutes
+from ..plans.prefix import DEFAULT_BUCKET, keyed_scan
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 
@@ -178,26 +179,34 @@ def high_tip_hours(fares: DataFrame, min_tips: float = 50.0, size: str = "1 hour
 # ---------------------------------------------------------------- W1, P8
 
 
-def arrivals_window(rides: DataFrame, range_: str = "10 minutes", cell: int | None = None) -> DataFrame:
+def arrivals_window(rides: DataFrame, range_: str = "10 minutes", cell: int | None = None,
+                    bucket: str | None = None) -> DataFrame:
     """For each END event, the number of END events in the same end cell within
     the preceding ``range_`` (inclusive, peers included).
 
-    Skew-safe form of COUNT(*) OVER (PARTITION BY cell ORDER BY eventTime RANGE ..):
-    rows are bucketed by range length and each bucket also receives a copy of
-    the previous bucket, so the frame never crosses a (cell, bucket) partition.
+    COUNT(*) OVER (PARTITION BY cell ORDER BY eventTime RANGE range PRECEDING) is
+    rewritten as a difference of two running counts, so it runs through the
+    skew-safe ``keyed_scan`` (a busy cell is split over time buckets):
+    count = C(events at or before t) - C(events before t - range). Each event
+    adds two probe rows that read the running count at those two positions.
     """
-    width = interval_seconds(range_)
-    e = end_events(rides).select(to_cell_id("endLon", "endLat").alias("cellId"), "eventTime")
+    width_us = interval_seconds(range_) * 1_000_000
+    e = end_events(rides).select(to_cell_id("endLon", "endLat").alias("cellId"), "eventTime",
+                                 F.col("rideId").alias("_ref"))
     if cell is not None:
         e = e.filter(F.col("cellId") == F.lit(int(cell)))  # P8
-    micros = F.unix_micros("eventTime")
-    e = e.withColumn("_b", F.floor(micros / F.lit(width * 1_000_000)))
-    both = (e.withColumn("_own", F.lit(True))
-            .unionByName(e.withColumn("_b", F.col("_b") + 1).withColumn("_own", F.lit(False))))
-    w = (Window.partitionBy("cellId", "_b").orderBy(F.unix_micros("eventTime"))
-         .rangeBetween(-width * 1_000_000, 0))
-    return (both.withColumn("cnt", F.count(F.lit(1)).over(w))
-            .filter("_own")
+    t = F.unix_micros("eventTime")
+    real = e.select("cellId", t.alias("_t"), F.lit(1).alias("_kind"), "_ref", "eventTime", F.lit(1).alias("_v"))
+    hi = e.select("cellId", t.alias("_t"), F.lit(2).alias("_kind"), "_ref", "eventTime",
+                  F.lit(None).cast("int").alias("_v"))
+    lo = e.select("cellId", (t - width_us).alias("_t"), F.lit(0).alias("_kind"), "_ref", "eventTime",
+                  F.lit(None).cast("int").alias("_v"))
+    bucket_us = interval_seconds(bucket or DEFAULT_BUCKET) * 1_000_000
+    scanned = keyed_scan(real.unionByName(hi).unionByName(lo), ["cellId"], ["_t", "_kind", "_ref"],
+                         F.floor(F.col("_t") / F.lit(bucket_us)), {"_c": ("count", F.col("_v"))})
+    probes = scanned.filter(F.col("_kind") != 1)
+    cnt = F.sum(F.when(F.col("_kind") == 2, F.col("_c")).otherwise(-F.col("_c")))
+    return (probes.groupBy("cellId", "_ref", "eventTime").agg(cnt.alias("cnt"))
             .select(F.col("cellId").cast("string").alias("cell"), "eventTime", "cnt"))
 
 

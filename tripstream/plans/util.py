@@ -51,8 +51,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     large single-row-group file); a scan that is already split finely (the
     normal case on a cluster) is left as it is, so no shuffle is added there.
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        sc = df.sparkSession.sparkContext
+        target = min_partitions or sc.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return df
+    return df.repartition(target) if narrow else df
