@@ -130,3 +130,12 @@ def test_text_helpers(spark):
             tokens(F.lit("The Quick, brown fox\tis  QUICK message be, x1 fox\nend")).alias("t"))
     assert r.m == "2015-03" and r.a == "jane@example.org"
     assert r.t == ["brown", "fox", "quick", "fox", "end"]
+
+
+def test_sql_distance_equals_column_form(spark):
+    register_sql_functions(spark)
+    a = spark.sql(f"select distanceKm(cast({STATION[0]} as float), cast({STATION[1]} as float), "
+                  f"cast({MUSEUM[0]} as float), cast({MUSEUM[1]} as float)) d").first().d
+    b = one(spark, distance_km(F.lit(STATION[0]).cast("float"), F.lit(STATION[1]).cast("float"),
+                               F.lit(MUSEUM[0]).cast("float"), F.lit(MUSEUM[1]).cast("float")))[0]
+    assert a == b

@@ -105,3 +105,13 @@ def test_nearest_taxi_running_minima(spark):
     out = op.nearest_taxi(rides_df(spark, rows), [(7, STATION[0], STATION[1])]).collect()
     assert [r.taxiId for r in sorted(out, key=lambda r: r.eventTime)] == [1, 2]
     assert dt.datetime(2020, 1, 1) < out[0].eventTime
+
+
+def test_taxi_query_rules(spark):
+    """Rule text over the ride: `isStart`, and distance of the ride's position < 1 km."""
+    started = ride(1, True, 0, start=STATION, end=STATION)
+    assert [r.rideId for r in op.match_rides(rides_df(spark, [started]), "isStart").collect()] == [1]
+    ended = ride(1, False, 0, 5, start=STATION, end=MUSEUM)
+    df = rides_df(spark, [ride(1, True, 0, start=STATION, end=MUSEUM), ended])
+    out = op.match_rides(df, f"distanceKm({MUSEUM[0]}, {MUSEUM[1]}, lon, lat) < 1.0").collect()
+    assert [(r.rideId, r.isStart) for r in out] == [(1, False)]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from .geo import DELTA_LAT, DELTA_LON, GRID_X, LAT_NORTH, LAT_SOUTH, LON_EAST, LON_WEST
+from .geo import DEG_LEN, DELTA_LAT, DELTA_LON, GRID_X, LAT_NORTH, LAT_SOUTH, LON_EAST, LON_WEST
 
 
 def _defs() -> list[str]:
@@ -32,6 +32,13 @@ def _defs() -> list[str]:
                           - {DELTA_LAT / 2}D AS FLOAT))""",
         """CREATE OR REPLACE TEMPORARY FUNCTION timeDiff(a TIMESTAMP, b TIMESTAMP) RETURNS BIGINT
             RETURN unix_millis(b) - unix_millis(a)""",
+        # F5 for predicates: distance from (lon1, lat1) to (lon2, lat2)
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION distanceKm(lon1 FLOAT, lat1 FLOAT, lon2 FLOAT, lat2 FLOAT)
+            RETURNS DOUBLE
+            RETURN {DEG_LEN}D * sqrt(
+              cast(lat1 - lat2 AS DOUBLE) * cast(lat1 - lat2 AS DOUBLE)
+              + (cast(lon1 - lon2 AS DOUBLE) * cos(cast(lat2 AS DOUBLE)))
+                * (cast(lon1 - lon2 AS DOUBLE) * cos(cast(lat2 AS DOUBLE))))""",
     ]
 
 

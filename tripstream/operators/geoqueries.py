@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import distance_km
+from ..functions.sql import register_sql_functions
 from ..plans.prefix import FEW_KEYS_BUCKET, keyed_scan, time_bucket
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
@@ -54,18 +55,35 @@ def nearest_taxi(rides: DataFrame, queries, bucket: str = FEW_KEYS_BUCKET) -> Da
     return running_minima(query_distances(rides, queries), bucket=bucket)
 
 
-def match_rides(rides: DataFrame, predicate: str, rule_time=None) -> DataFrame:
-    """Rides satisfying a Spark SQL predicate over the ride columns.
+def _with_rule_columns(rides: DataFrame, delay_s: int) -> DataFrame:
+    # what a rule may refer to besides the ride columns: the ride's current
+    # position (start for START, end for END) and the watermark at the ride
+    pos = F.col("isStart")
+    return rides.withColumns({
+        "lon": F.when(pos, F.col("startLon")).otherwise(F.col("endLon")),
+        "lat": F.when(pos, F.col("startLat")).otherwise(F.col("endLat")),
+        "watermark": F.col("eventTime") - F.make_dt_interval(secs=F.lit(delay_s)),
+    })
+
+
+def match_rides(rides: DataFrame, predicate: str, rule_time=None, delay: str = "60 seconds") -> DataFrame:
+    """Rides satisfying a Spark SQL predicate over the ride columns plus
+    ``lon``/``lat`` (current position), ``watermark`` and the registered SQL
+    functions, e.g. ``distanceKm(-73.9776, 40.7614, lon, lat) < 1.0``.
 
     With ``rule_time`` the predicate arrives at that time: it is first applied to
     the latest event of every taxi at that moment (source 'PBE'), then to every
     later event (source 'PE'). Without it the predicate is active from the start.
     """
+    register_sql_functions(rides.sparkSession)
     cond = F.expr(predicate)
+    delay_s = interval_seconds(delay)
     if rule_time is None:
-        return rides.filter(cond).select(F.lit("PE").alias("source"), *RIDE_COLUMNS)
+        return _with_rule_columns(rides, delay_s).filter(cond) \
+            .select(F.lit("PE").alias("source"), *RIDE_COLUMNS)
     at = ts_lit(rule_time)
-    stored = latest_per_taxi(rides, as_of=rule_time).filter(cond) \
+    stored = _with_rule_columns(latest_per_taxi(rides, as_of=rule_time), delay_s).filter(cond) \
         .select(F.lit("PBE").alias("source"), *RIDE_COLUMNS)
-    later = rides.filter((F.col("eventTime") > at) & cond).select(F.lit("PE").alias("source"), *RIDE_COLUMNS)
+    later = _with_rule_columns(rides.filter(F.col("eventTime") > at), delay_s).filter(cond) \
+        .select(F.lit("PE").alias("source"), *RIDE_COLUMNS)
     return stored.unionByName(later)

@@ -133,10 +133,10 @@ def latest_per_taxi_stream(rides: DataFrame) -> DataFrame:
     return op.latest_per_taxi(rides)
 
 
-def match_rides_stream(rides: DataFrame, predicate: str) -> DataFrame:
+def match_rides_stream(rides: DataFrame, predicate: str, delay: str = RIDE_DELAY) -> DataFrame:
     """B4 for rides arriving after the predicate (the stored-latest part is answered
     with ``operators.match_rides`` on the latest-per-taxi table)."""
-    return rides.filter(F.expr(predicate)).select(F.lit("PE").alias("source"), *RIDE_COLUMNS)
+    return op.match_rides(rides, predicate, None, delay)
 
 
 # ---------------------------------------------------------------- transformWithState
