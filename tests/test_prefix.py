@@ -27,3 +27,15 @@ def test_keyed_scan_equals_plain_windows(spark):
                             F.max("v").over(w).alias("mx"), F.last("v", True).over(w).alias("l"))
             norm = lambda rs: sorted((r.id, round(r.s, 9), r.c, r.mn, r.mx, r.l) for r in rs)
             assert norm(got.collect()) == norm(ref.collect()), (inclusive, reverse)
+
+
+def test_single_hot_key_is_spread_over_tasks(spark):
+    """All rows share one key: the in-bucket windows still run in many tasks."""
+    df = spark.range(20000).select(F.lit(7).alias("k"), (F.col("id") * 37).alias("t"),
+                                   F.col("id").alias("id"), F.lit(1.0).alias("v"))
+    out = keyed_scan(df, ["k"], ["t", "id"], F.floor(F.col("t") / 10000),
+                     {"c": ("count", F.col("v"))})
+    per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) >= 4
+    assert max(r["count"] for r in per_task) < 20000 / 2
+    assert out.agg(F.max("c")).first()[0] == 20000

@@ -189,3 +189,18 @@ def test_latest_table_answers_ongoing_and_predicate_queries(spark, rides):
     assert rows(latest) == rows(op.latest_per_taxi(rides))
     pe = run(jobs.match_rides_stream(stage(spark, rides, ride_sentinel()), "passengerCnt > 4"))
     assert rows(pe.filter("rideId >= 0")) == rows(op.match_rides(rides, "passengerCnt > 4"))
+
+
+def test_nearest_with_retention_and_reset(spark):
+    """A minimum without improvement for `reset` is forgotten; reports after the
+    query's retention are ignored."""
+    from conftest import BASE, MUSEUM, STATION, ride, rides_df
+    far_point = (-73.90, 40.80)
+    rs = [ride(1, False, 0, 10, end=MUSEUM, taxi=1), ride(2, False, 0, 20, end=far_point, taxi=2),
+          ride(3, False, 0, 20 + 9 * 60, end=far_point, taxi=3),
+          ride(4, False, 0, 13 * 60 + 30, end=STATION, taxi=4)]
+    df = rides_df(spark, rs)
+    qs = [(5, STATION[0], STATION[1], BASE.strftime("%Y-%m-%d %H:%M:%S"))]
+    got = run(jobs.nearest_taxi_ttl_stream(stage(spark, df, ride_sentinel()), qs,
+                                           retention="12 hours", reset="8 hours"))
+    assert sorted(r.taxiId for r in got.collect() if r.rideId >= 0) == [1, 3]
