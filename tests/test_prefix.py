@@ -39,3 +39,10 @@ def test_single_hot_key_is_spread_over_tasks(spark):
     assert len(per_task) >= 4
     assert max(r["count"] for r in per_task) < 20000 / 2
     assert out.agg(F.max("c")).first()[0] == 20000
+
+
+def test_scale_conf_sizes_partitions():
+    from tripstream.session import scale_conf
+    c = scale_conf(100 * (1 << 40), 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (128 << 20) + 1
+    assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16

@@ -63,3 +63,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tripstream-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Suggested shuffle/scan settings for a cluster run over ``input_bytes``.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of input
+    (at least 2 waves of the cores) and adaptive execution coalesces small ones
+    at runtime and splits skewed join partitions, so each reduce task stays well
+    inside executor memory instead of spilling heavily.
+    """
+    parts = max(2 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
