@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from .rides import fare_table, read_fares, read_rides, ride_table
@@ -36,14 +34,26 @@ class TaxiCatalog:
         return f"{self.schema}_{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of the path (local, HDFS,
+    object stores), not the driver's local disk."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
+    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session): let the read decide
+        return True
+
+
 def register_catalog(spark: SparkSession, rides_path: str | None = None, fares_path: str | None = None,
                      schema: str = "nyc", max_delay_s: int | None = None,
                      streaming: bool = False) -> TaxiCatalog:
     cat = TaxiCatalog(spark, schema)
-    if rides_path and os.path.exists(rides_path):
+    if rides_path and path_exists(spark, rides_path):
         cat.register("TaxiRides", ride_table(read_rides(spark, rides_path, streaming),
                                              max_delay_s if streaming else None))
-    if fares_path and os.path.exists(fares_path):
+    if fares_path and path_exists(spark, fares_path):
         cat.register("TaxiFares", fare_table(read_fares(spark, fares_path, streaming),
                                              max_delay_s if streaming else None))
     return cat
