@@ -27,6 +27,12 @@ def test_keyed_scan_equals_plain_windows(spark):
                             F.max("v").over(w).alias("mx"), F.last("v", True).over(w).alias("l"))
             norm = lambda rs: sorted((r.id, round(r.s, 9), r.c, r.mn, r.mx, r.l) for r in rs)
             assert norm(got.collect()) == norm(ref.collect()), (inclusive, reverse)
+        ahead = keyed_scan(df, ["k"], ["t", "id"], bucket, {"n": ("next", F.col("v"))}, inclusive)
+        wa = Window.partitionBy("k").orderBy("t", "id").rowsBetween(0 if inclusive else 1,
+                                                                   Window.unboundedFollowing)
+        ref = df.select("id", F.first("v", True).over(wa).alias("n"))
+        assert sorted(tuple(r) for r in ahead.select("id", "n").collect()) == \
+            sorted(tuple(r) for r in ref.collect()), inclusive
 
 
 def test_single_hot_key_is_spread_over_tasks(spark):

@@ -60,30 +60,30 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str = D
     return segment_stats(sess, ["carId", "sessionStart"]).drop("sessionStart")
 
 
-def _with_stops(events: DataFrame, bucket: str, need_previous: bool) -> DataFrame:
+def _with_stops(events: DataFrame, bucket: str) -> DataFrame:
+    """Each event with the time of the next stop at or after it (``_segEnd``) and of
+    the last stop before it (``_prevStop``), in one keyed scan; only events strictly
+    before their next stop are kept."""
     stop = F.col("speed") == 0.0
     ev = events.withColumn("_isStop", stop)
     bk = time_bucket("eventTime", interval_seconds(bucket))
-    # Stops sort after non-stops of the same instant, so a scan from the end
-    # meets an equal-time stop first: such events belong to no segment.
+    # Stops sort after non-stops of the same instant: looking ahead, an event meets
+    # an equal-time stop first, so such events belong to no segment.
     order = ["eventTime", "_isStop", "id"]
+    stop_time = F.when(stop, F.col("eventTime"))
     ev = keyed_scan(ev, ["carId"], order, bk,
-                    {"_segEnd": ("last", F.when(stop, F.col("eventTime")))},
-                    inclusive=True, reverse=True)
-    if need_previous:
-        ev = keyed_scan(ev, ["carId"], order, bk,
-                        {"_prevStop": ("last", F.when(stop, F.col("eventTime")))}, inclusive=False)
+                    {"_segEnd": ("next", stop_time), "_prevStop": ("last", stop_time)})
     return ev.filter(F.col("eventTime") < F.col("_segEnd"))
 
 
 def driving_segments(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Per car, the events strictly before each stop (speed 0) and after the
     previous stop; the leading segment counts, events after the last stop do not."""
-    seg = _with_stops(events, bucket, need_previous=False)
+    seg = _with_stops(events, bucket)
     return segment_stats(seg, ["carId", "_segEnd"]).withColumnRenamed("_segEnd", "stopTime")
 
 
 def driving_segments_between_stops(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Contiguous driving runs with a stop before and after them."""
-    seg = _with_stops(events, bucket, need_previous=True).filter(F.col("_prevStop").isNotNull())
+    seg = _with_stops(events, bucket).filter(F.col("_prevStop").isNotNull())
     return segment_stats(seg, ["carId", "_segEnd"]).withColumnRenamed("_segEnd", "stopTime")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KINDS = ("sum", "count", "min", "max", "last")
+KINDS = ("sum", "count", "min", "max", "last", "next")
 
 # Bucket length of the event-time scans. It bounds the rows of one key that a
 # single task sees: a key holding a third of all events still only puts one
@@ -51,12 +51,17 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     ``order`` is a list of column names giving a total order inside a key;
     ``bucket`` must be non-decreasing along that order (derive it from the first
     order column). ``specs`` maps an output name to (kind, value column) with
-    kind in sum | count | min | max | last (last non-null value in scan order).
-    ``inclusive`` decides whether the row itself is part of its frame.
+    kind in sum | count | min | max | last (last non-null value in scan order) |
+    next (first non-null value at or after the row, i.e. looking ahead; only
+    with ``reverse=False``). ``inclusive`` decides whether the row itself is
+    part of its frame. Mixing ``last`` and ``next`` specs gives the previous and
+    the following marker of a row in one pass over the data.
     """
     for name, (kind, _) in specs.items():
         if kind not in KINDS:
             raise ValueError(f"unknown aggregate kind {kind!r} for {name}")
+        if kind == "next" and reverse:
+            raise ValueError("'next' looks ahead already; use it with reverse=False")
     b = df.withColumn("_bk", bucket)
     for name, (_, val) in specs.items():
         b = b.withColumn(f"_v_{name}", val)
@@ -81,6 +86,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
             aggs.append(F.min(v).alias(f"_b_{name}"))
         elif kind == "max":
             aggs.append(F.max(v).alias(f"_b_{name}"))
+        elif kind == "next":  # first non-null value of the bucket
+            aggs.append(F.min_by(v, F.when(v.isNotNull(), ord_struct)).alias(f"_b_{name}"))
         else:  # last non-null value in scan order inside the bucket
             key_ord = F.when(v.isNotNull(), ord_struct)
             pick = F.min_by(v, key_ord) if reverse else F.max_by(v, key_ord)
@@ -89,10 +96,13 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
 
     # 2. carry-in from earlier buckets of the same key
     wb = Window.partitionBy(*keys).orderBy(bk_order).rowsBetween(Window.unboundedPreceding, -1)
+    wf = Window.partitionBy(*keys).orderBy(bk_order).rowsBetween(1, Window.unboundedFollowing)
     carry = []
     for name, (kind, _) in specs.items():
         c = F.col(f"_b_{name}")
-        if kind in ("sum", "count"):
+        if kind == "next":
+            expr = F.first(c, ignorenulls=True).over(wf)
+        elif kind in ("sum", "count"):
             expr = F.sum(c).over(wb)
         elif kind == "min":
             expr = F.min(c).over(wb)
@@ -106,6 +116,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     # 3. running value inside the bucket, 4. combine
     wi = (Window.partitionBy(*keys, "_bk").orderBy(*in_order)
           .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+    wa = (Window.partitionBy(*keys, "_bk").orderBy(*in_order)
+          .rowsBetween(0 if inclusive else 1, Window.unboundedFollowing))
     joined = b.join(buckets, on=[*keys, "_bk"], how="left")
     out = []
     for name, (kind, _) in specs.items():
@@ -118,6 +130,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
             expr = F.least(F.min(v).over(wi), c)
         elif kind == "max":
             expr = F.greatest(F.max(v).over(wi), c)
+        elif kind == "next":
+            expr = F.coalesce(F.first(v, ignorenulls=True).over(wa), c)
         else:
             expr = F.coalesce(F.last(v, ignorenulls=True).over(wi), c)
         out.append(expr.alias(name))
