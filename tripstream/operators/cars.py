@@ -8,7 +8,7 @@ plain grouped aggregates with map-side combine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.prefix import DEFAULT_BUCKET, keyed_scan, time_bucket
@@ -45,19 +45,37 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str = D
     """T5: per car, sessions separated by more than ``gap`` without events (two events
     exactly ``gap`` apart share a session), with segment statistics.
 
-    Batch form: previous event time per car (keyed scan), a session starts where the
-    gap is exceeded, the session id is the last session start so far (second scan).
-    The streaming form uses ``session_window``.
+    Batch form with a single shuffle of the events, on (car, time bucket):
+    inside a bucket the previous event comes from ``lag``; the first event of a
+    bucket is compared with the last event of the car's previous non-empty bucket
+    (a window over the small per-bucket table), which also carries the latest
+    session start into later buckets. A busy car is therefore split over its
+    buckets. The streaming form uses ``session_window``.
     """
     gap_us = interval_seconds(gap) * 1_000_000
-    bk = time_bucket("eventTime", interval_seconds(bucket))
-    prev = keyed_scan(events, ["carId"], ["eventTime", "id"], bk,
-                      {"_prev": ("last", F.col("eventTime"))}, inclusive=False)
-    starts = F.col("_prev").isNull() | (F.unix_micros("eventTime") - F.unix_micros("_prev") > gap_us)
-    flagged = prev.withColumn("_start", F.when(starts, F.col("eventTime")))
-    sess = keyed_scan(flagged, ["carId"], ["eventTime", "id"], bk,
-                      {"sessionStart": ("last", F.col("_start"))}, inclusive=True)
-    return segment_stats(sess, ["carId", "sessionStart"]).drop("sessionStart")
+    t = F.col("_t")
+    ev = events.withColumns({"_bk": time_bucket("eventTime", interval_seconds(bucket)),
+                             "_t": F.unix_micros("eventTime")})
+    w = Window.partitionBy("carId", "_bk").orderBy("_t", "id")
+    ev = ev.withColumn("_lag", F.lag("_t").over(w))
+    ev = ev.withColumn("_inner", F.when(F.col("_lag").isNotNull() & (t - F.col("_lag") > gap_us), t))
+    per_bucket = (ev.groupBy("carId", "_bk")
+                  .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
+                       F.max("_inner").alias("_lastInner")))
+    wb = Window.partitionBy("carId").orderBy("_bk")
+    prev_last = F.lag("_last").over(wb)
+    per_bucket = per_bucket.withColumn(
+        "_firstStarts", prev_last.isNull() | (F.col("_first") - prev_last > gap_us))
+    per_bucket = per_bucket.withColumn(
+        "_bStart", F.coalesce(F.col("_lastInner"), F.when(F.col("_firstStarts"), F.col("_first"))))
+    per_bucket = per_bucket.select(
+        "carId", "_bk", "_firstStarts",
+        F.last("_bStart", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    j = ev.join(per_bucket, ["carId", "_bk"])
+    starts = F.when(F.col("_inner").isNotNull() | (F.col("_lag").isNull() & F.col("_firstStarts")), t)
+    j = j.withColumn("_session", F.coalesce(
+        F.last(starts, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_carry")))
+    return segment_stats(j, ["carId", "_session"]).drop("_session")
 
 
 def _with_stops(events: DataFrame, bucket: str) -> DataFrame:
