@@ -52,3 +52,16 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * (1 << 40), 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (128 << 20) + 1
     assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_measured_bucket_width_splits_dense_keys(spark):
+    from tripstream.plans.prefix import auto_width, order_bucket
+    df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"),
+                                  F.col("id").alias("id"), F.lit(1.0).alias("v"))
+    w = auto_width(df, ["k"], F.col("t"), target_rows=100)
+    assert 1 <= w <= 5000 * 100 // 1666 + 1
+    assert auto_width(df, ["k"], F.col("t"), target_rows=10_000) >= 5000   # one bucket
+    got = keyed_scan(df, ["k"], ["t", "id"], order_bucket(df, ["k"], F.col("t"), None, 100),
+                     {"c": ("count", F.col("v"))})
+    assert got.filter(F.col("c") != F.floor(F.col("t") / 3) + 1).count() == 0
+    assert got.select(F.floor(F.col("t") / w)).distinct().count() > 10

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.prefix import DEFAULT_BUCKET, keyed_scan, time_bucket
+from ..plans.prefix import event_bucket, keyed_scan
 from ..plans.util import interval_seconds
 
 
@@ -32,16 +32,16 @@ def segment_stats(events: DataFrame, keys: list, digits: int = 6) -> DataFrame:
             .withColumn("erraticnessDesc", erraticness_desc("erraticness")))
 
 
-def sort_car_events(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def sort_car_events(events: DataFrame, bucket: str | None = None) -> DataFrame:
     """O1: events of each car in event-time order, with their position ``rank``
     (1-based; ties in time broken by id). Range-partitioned global sort."""
     ranked = keyed_scan(events, ["carId"], ["eventTime", "id"],
-                        time_bucket("eventTime", interval_seconds(bucket)),
+                        event_bucket(events, ["carId"], "eventTime", bucket),
                         {"rank": ("count", F.lit(1))}, inclusive=True)
     return ranked.orderBy("carId", "rank")
 
 
-def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str | None = None) -> DataFrame:
     """T5: per car, sessions separated by more than ``gap`` without events (two events
     exactly ``gap`` apart share a session), with segment statistics.
 
@@ -54,7 +54,7 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str = D
     """
     gap_us = interval_seconds(gap) * 1_000_000
     t = F.col("_t")
-    ev = events.withColumns({"_bk": time_bucket("eventTime", interval_seconds(bucket)),
+    ev = events.withColumns({"_bk": event_bucket(events, ["carId"], "eventTime", bucket),
                              "_t": F.unix_micros("eventTime")})
     w = Window.partitionBy("carId", "_bk").orderBy("_t", "id")
     ev = ev.withColumn("_lag", F.lag("_t").over(w))
@@ -78,13 +78,13 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str = D
     return segment_stats(j, ["carId", "_session"]).drop("_session")
 
 
-def _with_stops(events: DataFrame, bucket: str) -> DataFrame:
+def _with_stops(events: DataFrame, bucket: str | None) -> DataFrame:
     """Each event with the time of the next stop at or after it (``_segEnd``) and of
     the last stop before it (``_prevStop``), in one keyed scan; only events strictly
     before their next stop are kept."""
     stop = F.col("speed") == 0.0
     ev = events.withColumn("_isStop", stop)
-    bk = time_bucket("eventTime", interval_seconds(bucket))
+    bk = event_bucket(events, ["carId"], "eventTime", bucket)
     # Stops sort after non-stops of the same instant: looking ahead, an event meets
     # an equal-time stop first, so such events belong to no segment.
     order = ["eventTime", "_isStop", "id"]
@@ -94,14 +94,14 @@ def _with_stops(events: DataFrame, bucket: str) -> DataFrame:
     return ev.filter(F.col("eventTime") < F.col("_segEnd"))
 
 
-def driving_segments(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def driving_segments(events: DataFrame, bucket: str | None = None) -> DataFrame:
     """Per car, the events strictly before each stop (speed 0) and after the
     previous stop; the leading segment counts, events after the last stop do not."""
     seg = _with_stops(events, bucket)
     return segment_stats(seg, ["carId", "_segEnd"]).withColumnRenamed("_segEnd", "stopTime")
 
 
-def driving_segments_between_stops(events: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def driving_segments_between_stops(events: DataFrame, bucket: str | None = None) -> DataFrame:
     """Contiguous driving runs with a stop before and after them."""
     seg = _with_stops(events, bucket).filter(F.col("_prevStop").isNotNull())
     return segment_stats(seg, ["carId", "_segEnd"]).withColumnRenamed("_segEnd", "stopTime")

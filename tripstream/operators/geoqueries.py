@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import distance_km
 from ..functions.sql import register_sql_functions
-from ..plans.prefix import FEW_KEYS_BUCKET, keyed_scan, time_bucket
+from ..plans.prefix import event_bucket, keyed_scan
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 from .rides import end_events, latest_per_taxi
@@ -39,18 +39,18 @@ def query_distances(rides: DataFrame, queries) -> DataFrame:
 
 
 def running_minima(reports: DataFrame, key: str = "queryId", order=("eventTime", "rideId"),
-                   value: str = "km", bucket: str = FEW_KEYS_BUCKET) -> DataFrame:
+                   value: str = "km", bucket: str | None = None) -> DataFrame:
     """Keep the reports that are strictly below every earlier report of their key.
 
     Skew-safe: the earlier minimum comes from ``keyed_scan`` (per-bucket minima,
     prefix over buckets, in-bucket running minimum), so one query's reports are
     spread over many tasks instead of one."""
-    scanned = keyed_scan(reports, [key], list(order), time_bucket(order[0], interval_seconds(bucket)),
+    scanned = keyed_scan(reports, [key], list(order), event_bucket(reports, [key], order[0], bucket),
                          {"_prev": ("min", F.col(value))}, inclusive=False)
     return scanned.filter(F.col("_prev").isNull() | (F.col(value) < F.col("_prev"))).drop("_prev")
 
 
-def nearest_taxi(rides: DataFrame, queries, bucket: str = FEW_KEYS_BUCKET) -> DataFrame:
+def nearest_taxi(rides: DataFrame, queries, bucket: str | None = None) -> DataFrame:
     """B2: for each location query, the stream of ever-closer ending taxis."""
     return running_minima(query_distances(rides, queries), bucket=bucket)
 

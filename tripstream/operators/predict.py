@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import direction_angle, direction_bucket, distance_km, to_cell_id
 from ..functions.time import travel_minutes
-from ..plans.prefix import DEFAULT_BUCKET, keyed_scan, time_bucket
+from ..plans.prefix import event_bucket, keyed_scan
 from ..plans.util import interval_seconds
 from .rides import clean_rides
 
 _TINY = 10 * 4.9e-324  # below this |sum(x^2)| the slope is undefined
 
 
-def predict_travel_time(rides: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def predict_travel_time(rides: DataFrame, bucket: str | None = None) -> DataFrame:
     r = clean_rides(rides).select(
         "rideId", "isStart", "eventTime",
         to_cell_id("endLon", "endLat").alias("cell"),
@@ -31,7 +31,7 @@ def predict_travel_time(rides: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataF
     end = F.col("_isEnd")
     x, y = F.col("distance"), F.col("minutes")
     scanned = keyed_scan(r, ["cell", "direction"], ["eventTime", "_isEnd", "rideId"],
-                         time_bucket("eventTime", interval_seconds(bucket)),
+                         event_bucket(r, ["cell", "direction"], "eventTime", bucket),
                          {"_sxy": ("sum", F.when(end, x * y)),
                           "_sxx": ("sum", F.when(end, x * x)),
                           "_n": ("count", F.when(end, F.lit(1)))},

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import cell_center_lat, cell_center_lon, is_in_nyc, to_cell_id
 from ..functions.sql import register_sql_functions
 from ..functions.time import time_diff_ms, travel_minutes
-from ..plans.prefix import DEFAULT_BUCKET, keyed_scan
+from ..plans.prefix import keyed_scan, order_bucket
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 
@@ -201,9 +201,10 @@ def arrivals_window(rides: DataFrame, range_: str = "10 minutes", cell: int | No
                   F.lit(None).cast("int").alias("_v"))
     lo = e.select("cellId", (t - width_us).alias("_t"), F.lit(0).alias("_kind"), "_ref", "eventTime",
                   F.lit(None).cast("int").alias("_v"))
-    bucket_us = interval_seconds(bucket or DEFAULT_BUCKET) * 1_000_000
-    scanned = keyed_scan(real.unionByName(hi).unionByName(lo), ["cellId"], ["_t", "_kind", "_ref"],
-                         F.floor(F.col("_t") / F.lit(bucket_us)), {"_c": ("count", F.col("_v"))})
+    rows = real.unionByName(hi).unionByName(lo)
+    width = interval_seconds(bucket) * 1_000_000 if bucket is not None else None
+    scanned = keyed_scan(rows, ["cellId"], ["_t", "_kind", "_ref"],
+                         order_bucket(rows, ["cellId"], F.col("_t"), width), {"_c": ("count", F.col("_v"))})
     probes = scanned.filter(F.col("_kind") != 1)
     cnt = F.sum(F.when(F.col("_kind") == 2, F.col("_c")).otherwise(-F.col("_c")))
     return (probes.groupBy("cellId", "_ref", "eventTime").agg(cnt.alias("cnt"))

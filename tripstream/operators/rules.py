@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.prefix import keyed_scan
+from ..plans.prefix import keyed_scan, order_bucket
 
 
-def match_rules(items: DataFrame, rules, seq_bucket: int = 1 << 20) -> DataFrame:
+def match_rules(items: DataFrame, rules, seq_bucket: int | None = None) -> DataFrame:
     """Per color, an item of the rule's first shape waits for the next item of
     its second shape, which matches all waiting items (rules named Rule_n).
 
@@ -22,7 +22,7 @@ def match_rules(items: DataFrame, rules, seq_bucket: int = 1 << 20) -> DataFrame
     outs = []
     for n, (first, second) in enumerate(rules):
         rel = items.filter(F.col("shape").isin(first, second))
-        nxt = keyed_scan(rel, ["color"], ["seq"], F.floor(F.col("seq") / F.lit(int(seq_bucket))),
+        nxt = keyed_scan(rel, ["color"], ["seq"], order_bucket(rel, ["color"], F.col("seq"), seq_bucket),
                          {"_next": ("last", F.when(F.col("shape") == second, F.col("seq")))},
                          inclusive=False, reverse=True)
         outs.append(nxt.filter((F.col("shape") == first) & F.col("_next").isNotNull())

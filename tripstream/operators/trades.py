@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.prefix import DEFAULT_BUCKET, keyed_scan, time_bucket
+from ..plans.prefix import event_bucket, keyed_scan
 from ..plans.util import interval_seconds
 
 
@@ -20,7 +20,7 @@ def _enrich(trades: DataFrame, customers: DataFrame, order_col: str, bucket: str
                          F.struct(F.col("eventTime").alias("customerTime"), "customerInfo").alias("_cust"))
     both = t.unionByName(c)
     scanned = keyed_scan(both, ["customerId"], ["_o", "_side", "tradeInfo", "_cust"],
-                         time_bucket("_o", interval_seconds(bucket)),
+                         event_bucket(both, ["customerId"], "_o", bucket),
                          {"_match": ("last", F.col("_cust"))}, inclusive=True)
     return (scanned.filter(F.col("_side") == 1)
             .select("eventTime", "customerId", "tradeInfo",
@@ -28,14 +28,14 @@ def _enrich(trades: DataFrame, customers: DataFrame, order_col: str, bucket: str
                     F.col("_match.customerInfo").alias("customerInfo")))
 
 
-def asof_join(trades: DataFrame, customers: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+def asof_join(trades: DataFrame, customers: DataFrame, bucket: str | None = None) -> DataFrame:
     """Each trade with the newest customer row whose time is <= the trade time
     (null if none). Skew-safe: no per-customer task, no range blow-up."""
     return _enrich(trades, customers, "eventTime", bucket)
 
 
 def latest_join(trades: DataFrame, customers: DataFrame, arrival: str = "eventTime",
-                bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                bucket: str | None = None) -> DataFrame:
     """Each trade with the customer row received last before it, by the
     ``arrival`` column present on both sides (arrival order is an input in batch)."""
     return _enrich(trades, customers, arrival, bucket)

@@ -26,14 +26,48 @@ from pyspark.sql import functions as F
 
 KINDS = ("sum", "count", "min", "max", "last", "next")
 
-# Bucket length of the event-time scans. It bounds the rows of one key that a
-# single task sees: a key holding a third of all events still only puts one
-# bucket's worth of them into a task. Shorter buckets mean smaller tasks but a
-# larger bucket table (at most one row per key and bucket).
-DEFAULT_BUCKET = "10 minutes"
-# Scans over very few keys (e.g. a handful of location queries) see every
-# event of the stream per key, so they use finer buckets.
-FEW_KEYS_BUCKET = "1 minute"
+# Bucket width bounds the rows of one key that a single task sees: a key holding
+# a third of all events still only puts one bucket's worth of them into a task.
+# Narrower buckets mean smaller tasks but a larger bucket table (at most one row
+# per key and bucket). By default the width is measured from the data so that a
+# bucket of the densest key holds about TARGET_ROWS_PER_BUCKET rows.
+
+
+TARGET_ROWS_PER_BUCKET = 1_000_000
+
+
+def auto_width(df: DataFrame, keys: list[str], x: Column,
+               target_rows: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Bucket width (in units of the numeric order value ``x``) from measured key
+    density: every key with more than ``target_rows`` rows gets buckets holding
+    about ``target_rows`` of its rows on average; if no key is that large, one
+    bucket spans everything. One small aggregation job; only a single row of
+    statistics reaches the driver."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
+                                    F.max(x).alias("hi"))
+    need = per_key.filter(F.col("n") > target_rows)
+    st = need.agg(F.min((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")).alias("w")).first()
+    if st is None or st["w"] is None:
+        span = per_key.agg((F.max("hi") - F.min("lo") + 1).alias("s")).first()
+        return int(max(1, (span["s"] or 0) + 1))
+    return int(max(1, st["w"]))
+
+
+def order_bucket(df: DataFrame, keys: list[str], x: Column, width=None,
+                 target_rows: int = TARGET_ROWS_PER_BUCKET) -> Column:
+    """Bucket column over the numeric order value ``x``: fixed ``width`` or, when
+    None, the measured ``auto_width``."""
+    w = int(width) if width is not None else auto_width(df, keys, x, target_rows)
+    return F.floor(x / F.lit(w))
+
+
+def event_bucket(df: DataFrame, keys: list[str], ts: str, bucket: str | None = None) -> Column:
+    """Time bucket of ``ts``: a fixed length such as '10 minutes', or measured from
+    the data when ``bucket`` is None."""
+    from .util import interval_seconds
+    x = F.unix_micros(F.col(ts))
+    width = interval_seconds(bucket) * 1_000_000 if bucket is not None else None
+    return order_bucket(df, keys, x, width)
 
 
 def time_bucket(ts, seconds: int) -> Column:
