@@ -196,12 +196,14 @@ def arrivals_window(rides: DataFrame, range_: str = "10 minutes", cell: int | No
     if cell is not None:
         e = e.filter(F.col("cellId") == F.lit(int(cell)))  # P8
     t = F.unix_micros("eventTime")
-    real = e.select("cellId", t.alias("_t"), F.lit(1).alias("_kind"), "_ref", "eventTime", F.lit(1).alias("_v"))
-    hi = e.select("cellId", t.alias("_t"), F.lit(2).alias("_kind"), "_ref", "eventTime",
-                  F.lit(None).cast("int").alias("_v"))
-    lo = e.select("cellId", (t - width_us).alias("_t"), F.lit(0).alias("_kind"), "_ref", "eventTime",
-                  F.lit(None).cast("int").alias("_v"))
-    rows = real.unionByName(hi).unionByName(lo)
+    # one scan: every event becomes itself (kind 1, counted) and two probes that
+    # read the running count at t (kind 2, after its peers) and just before
+    # t - range (kind 0)
+    rows = e.select("cellId", "_ref", "eventTime", F.explode(F.array(
+        F.struct(t.alias("_t"), F.lit(1).alias("_kind"), F.lit(1).alias("_v")),
+        F.struct(t.alias("_t"), F.lit(2).alias("_kind"), F.lit(None).cast("int").alias("_v")),
+        F.struct((t - width_us).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_v")),
+    )).alias("_p")).select("cellId", "_ref", "eventTime", "_p.*")
     width = interval_seconds(bucket) * 1_000_000 if bucket is not None else None
     scanned = keyed_scan(rows, ["cellId"], ["_t", "_kind", "_ref"],
                          order_bucket(rows, ["cellId"], F.col("_t"), width), {"_c": ("count", F.col("_v"))})
