@@ -115,3 +115,11 @@ def test_taxi_query_rules(spark):
     df = rides_df(spark, [ride(1, True, 0, start=STATION, end=MUSEUM), ended])
     out = op.match_rides(df, f"distanceKm({MUSEUM[0]}, {MUSEUM[1]}, lon, lat) < 1.0").collect()
     assert [(r.rideId, r.isStart) for r in out] == [(1, False)]
+
+
+def test_nearest_taxi_accepts_bounded_query_table(spark):
+    rows = [ride(1, False, 0, 10, end=MUSEUM, taxi=1), ride(2, False, 0, 20, end=STATION, taxi=2)]
+    q = spark.createDataFrame([(7, STATION[0], STATION[1])], "queryId int, lon double, lat double")
+    a = op.nearest_taxi(rides_df(spark, rows), q).collect()
+    b = op.nearest_taxi(rides_df(spark, rows), [(7, STATION[0], STATION[1])]).collect()
+    assert sorted(a) == sorted(b)

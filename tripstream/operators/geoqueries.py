@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import distance_km
 from ..functions.sql import register_sql_functions
 from ..plans.prefix import event_bucket, keyed_scan
-from ..plans.util import interval_seconds, ts_lit
+from ..plans.util import bounded_rows, interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 from .rides import end_events, latest_per_taxi
 
@@ -18,9 +18,13 @@ MAX_QUERIES = 10_000
 
 
 def _query_array(queries) -> F.Column:
-    """Location queries as a literal array of structs. The list is the caller's
-    bounded parameter (checked), so each ride row is paired with every query by
-    an in-row explode instead of a join."""
+    """Location queries as a literal array of structs. The list (or a small
+    DataFrame of queries) is the caller's bounded parameter, checked against
+    MAX_QUERIES, so each ride row is paired with every query by an in-row
+    explode instead of a join."""
+    if isinstance(queries, DataFrame):
+        # (queryId, longitude, latitude) rows, fetched only after checking the bound
+        queries = [tuple(r) for r in bounded_rows(queries, MAX_QUERIES, "location queries")]
     queries = list(queries)
     if len(queries) > MAX_QUERIES:
         raise ValueError(f"at most {MAX_QUERIES} location queries")
