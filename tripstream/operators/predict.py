@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.geo import direction_angle, direction_bucket, distance_km, to_cell_id
 from ..functions.time import travel_minutes
 from ..plans.prefix import event_bucket, keyed_scan
-from ..plans.util import interval_seconds
 from .rides import clean_rides
 
 _TINY = 10 * 4.9e-324  # below this |sum(x^2)| the slope is undefined

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.prefix import event_bucket, keyed_scan
-from ..plans.util import interval_seconds
 
 
 def _enrich(trades: DataFrame, customers: DataFrame, order_col: str, bucket: str) -> DataFrame:

@@ -16,7 +16,6 @@ from .. import operators as op
 from ..functions.geo import direction_angle, direction_bucket, distance_km, to_cell_id
 from ..functions.time import travel_minutes
 from ..plans.util import interval_seconds
-from ..schemas import RIDE_COLUMNS
 from .processors import (AsOfJoinProcessor, EventSortProcessor, LatestJoinProcessor,
                          LongRidesProcessor, NearestWithRetentionProcessor, RIDE_STATE,
                          RangeCountProcessor, RuleMatchProcessor, RunningMinProcessor,
