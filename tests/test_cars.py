@@ -80,3 +80,23 @@ def test_sort_rank_is_event_time_order(spark):
     got = {(r.carId, r.rank): r.id for r in op.sort_car_events(df, bucket="7 minutes").collect()}
     for car, evs in by_car(rows).items():
         assert [got[(car, i + 1)] for i in range(len(evs))] == [e[0] for e in evs]
+
+
+def test_session_gap_boundary(spark):
+    """Events exactly `gap` apart share a session; a gap one second longer splits."""
+    t = lambda s: T0 + dt.timedelta(seconds=s)
+    rows = [("1", "c", t(0), 5.0, 1.0), ("2", "c", t(15), 6.0, 1.0), ("3", "c", t(31), 7.0, 1.0)]
+    df = spark.createDataFrame(rows, "id string, carId string, eventTime timestamp, speed double, throttle double")
+    got = sorted((r.startTime, r.length) for r in op.driving_sessions(df, "15 seconds").collect())
+    assert got == [(t(0), 2), (t(31), 1)]
+
+
+def test_equal_time_stop_ends_segment_without_the_peer(spark):
+    t = lambda s: T0 + dt.timedelta(seconds=s)
+    rows = [("1", "c", t(0), 5.0, 1.0), ("2", "c", t(10), 0.0, 1.0), ("3", "c", t(10), 8.0, 1.0),
+            ("4", "c", t(20), 9.0, 1.0), ("5", "c", t(30), 0.0, 1.0)]
+    df = spark.createDataFrame(rows, "id string, carId string, eventTime timestamp, speed double, throttle double")
+    segs = sorted((r.stopTime, r.length, r.maxSpeed) for r in op.driving_segments(df).collect())
+    assert segs == [(t(10), 1, 5), (t(30), 1, 9)]
+    between = [(r.stopTime, r.length) for r in op.driving_segments_between_stops(df).collect()]
+    assert between == [(t(30), 1)]
