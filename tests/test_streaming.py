@@ -81,6 +81,10 @@ def test_long_rides(spark, rides, ride_stream):
     assert rows(got) == rows(want) and len(rows(want)) > 0
     got = run(jobs.long_rides_stream(ride_stream(), strict=True)).filter("rideId >= 0")
     assert rows(got) == rows(op.long_rides_pattern(rides))
+    got = run(jobs.long_rides_timer_stream(ride_stream())).filter("rideId >= 0")
+    assert rows(got) == rows(want)
+    got = run(jobs.long_rides_timer_stream(ride_stream(), strict=True)).filter("rideId >= 0")
+    assert rows(got) == rows(op.long_rides_pattern(rides))
 
 
 def test_long_rides_restart_from_checkpoint(spark, rides):

@@ -19,7 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     if not streaming:
         return spark.read.parquet(path)
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    # a file stream source watches a directory; the table is picked by file name
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+            .option("maxFilesPerTrigger", 1).parquet(sf_dir.rstrip("/")))
 
 
 def _ts(col: str = "ts"):

@@ -16,6 +16,7 @@ from .. import operators as op
 from ..functions.geo import direction_angle, direction_bucket, distance_km, to_cell_id
 from ..functions.time import travel_minutes
 from ..plans.util import interval_seconds
+from ..schemas import RIDE_COLUMNS
 from .processors import (AsOfJoinProcessor, EventSortProcessor, LatestJoinProcessor,
                          LongRidesProcessor, NearestWithRetentionProcessor, RIDE_STATE,
                          RangeCountProcessor, RuleMatchProcessor, RunningMinProcessor,
@@ -142,7 +143,24 @@ def match_rides_stream(rides: DataFrame, predicate: str, delay: str = RIDE_DELAY
 
 def long_rides_stream(rides: DataFrame, limit_minutes: int = 120, strict: bool = False,
                       delay: str = RIDE_DELAY) -> DataFrame:
-    """T8 (T10 with ``strict``): keyed value state + event-time timer per ride."""
+    """T8 (T10 with ``strict``) as a time-bounded stream-stream left outer join,
+    entirely JVM-side: a START is emitted, null-padded, once the watermark shows
+    that no END with event time in [start, start + limit] can still arrive."""
+    r = with_watermark(rides, "eventTime", delay)
+    starts = r.filter(F.col("isStart")).alias("s")
+    ends = r.filter(~F.col("isStart")).select(F.col("rideId").alias("endRideId"),
+                                               F.col("eventTime").alias("endAt")).alias("e")
+    deadline = F.col("s.eventTime") + F.expr(f"interval {int(limit_minutes)} minutes")
+    upper = F.col("e.endAt") < deadline if strict else F.col("e.endAt") <= deadline
+    cond = (F.col("s.rideId") == F.col("e.endRideId")) & (F.col("e.endAt") >= F.col("s.eventTime")) & upper
+    return starts.join(ends, cond, "left_outer").filter(F.col("endRideId").isNull()) \
+        .select(*[F.col(f"s.{c}") for c in RIDE_COLUMNS])
+
+
+def long_rides_timer_stream(rides: DataFrame, limit_minutes: int = 120, strict: bool = False,
+                            delay: str = RIDE_DELAY) -> DataFrame:
+    """T8/T10 as keyed value state + an event-time timer per ride
+    (``transformWithState``); same rows as ``long_rides_stream``."""
     _ship()
     return (with_watermark(rides, "eventTime", delay).groupBy("rideId")
             .transformWithState(LongRidesProcessor(limit_minutes, strict), RIDE_STATE,
