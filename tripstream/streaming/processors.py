@@ -35,6 +35,30 @@ def timer_ms(us: int) -> int:
     return -((-us) // 1000)
 
 
+class _OneTimer:
+    """Keeps one pending event-time timer per key, at the earliest time that still
+    has work, instead of one timer per row: far fewer state-store calls. When it
+    fires, everything up to the current watermark is handled at once."""
+
+    def _init_timer(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self._next = handle.getValueState("nextTimer", "ms long")
+
+    def _arm(self, us: int) -> None:
+        ms = timer_ms(us)
+        cur = self._next.get()
+        if cur is None or ms < cur[0]:
+            if cur is not None:
+                self.handle.deleteTimer(cur[0])
+            self.handle.registerTimer(ms)
+            self._next.update((ms,))
+
+    def _fired(self, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> int:
+        """Forget the fired timer; return the time (us) up to which work is due."""
+        self._next.clear()
+        return max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+
+
 RIDE_STATE = ("rideId long, taxiId long, driverId long, isStart boolean, startTime timestamp, "
               "endTime timestamp, eventTime timestamp, startLon float, startLat float, endLon float, "
               "endLat float, passengerCnt smallint")
@@ -94,7 +118,7 @@ class LongRidesProcessor(StatefulProcessor):
         pass
 
 
-class AsOfJoinProcessor(StatefulProcessor):
+class AsOfJoinProcessor(_OneTimer, StatefulProcessor):
     """J3 keyed by customerId over the union of trades (side 1) and customer
     rows (side 0). A trade waits until the watermark reaches its time, then is
     emitted with the newest customer row at or before it; late trades are
@@ -102,7 +126,7 @@ class AsOfJoinProcessor(StatefulProcessor):
     pruned."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         self.customers = handle.getListState("customers", "t long, info string")  # t in us
         self.trades = handle.getListState("trades", "t long, info string")
 
@@ -115,16 +139,16 @@ class AsOfJoinProcessor(StatefulProcessor):
                 new_c.append((t, r.info))
             elif t >= wm:
                 new_t.append((t, r.info))
-                self.handle.registerTimer(timer_ms(t))
         if new_c:
             self.customers.appendList(new_c)
         if new_t:
             self.trades.appendList(new_t)
+            self._arm(min(t for t, _ in new_t))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        now = self._fired(timerValues, expiredTimerInfo)
         cust = sorted(self.customers.get() or [])
         pending = list(self.trades.get() or [])
         out, keep = [], []
@@ -144,8 +168,9 @@ class AsOfJoinProcessor(StatefulProcessor):
         self.trades.clear()
         if keep:
             self.trades.put(keep)
+            self._arm(min(t for t, _ in keep))
         # prune: keep the newest customer row at or before the oldest pending time
-        horizon = min([t for t, _ in keep] + [timerValues.getCurrentWatermarkInMs() * 1000])
+        horizon = min([t for t, _ in keep] + [now])
         older = [c for c in cust if c[0] <= horizon]
         newer = [c for c in cust if c[0] > horizon]
         self.customers.clear()
@@ -158,7 +183,7 @@ class AsOfJoinProcessor(StatefulProcessor):
         pass
 
 
-class LatestJoinProcessor(StatefulProcessor):
+class LatestJoinProcessor(_OneTimer, StatefulProcessor):
     """J4 keyed by customerId: a trade is joined at once with the last customer
     row received before it (arrival order); without one it waits until the
     watermark reaches its time and then takes the last customer row that had
@@ -168,7 +193,7 @@ class LatestJoinProcessor(StatefulProcessor):
         self.delay_us = delay_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         # (arrival us, customer time us, info), pruned to what pending trades can still see
         self.customers = handle.getListState("customers", "a long, t long, info string")
         self.waiting = handle.getListState("waiting", "t long, info string")
@@ -201,16 +226,16 @@ class LatestJoinProcessor(StatefulProcessor):
                 out.append(self._row(key, t, r.info, c))
             elif t >= wm:
                 wait.append((t, r.info))
-                self.handle.registerTimer(timer_ms(t))
         self.customers.clear()
         if cust:
             self.customers.put(cust)
         if wait:
             self.waiting.appendList(wait)
+            self._arm(min(t for t, _ in wait))
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        now = self._fired(timerValues, expiredTimerInfo)
         cust = sorted(self.customers.get() or [])
         out, keep = [], []
         for t, info in list(self.waiting.get() or []):
@@ -221,7 +246,8 @@ class LatestJoinProcessor(StatefulProcessor):
         self.waiting.clear()
         if keep:
             self.waiting.put(keep)
-        horizon = min([t for t, _ in keep] + [timerValues.getCurrentWatermarkInMs() * 1000])
+            self._arm(min(t for t, _ in keep))
+        horizon = min([t for t, _ in keep] + [now])
         older = [c for c in cust if c[0] <= horizon]
         kept = older[-1:] + [c for c in cust if c[0] > horizon]
         self.customers.clear()
@@ -233,7 +259,7 @@ class LatestJoinProcessor(StatefulProcessor):
         pass
 
 
-class EventSortProcessor(StatefulProcessor):
+class EventSortProcessor(_OneTimer, StatefulProcessor):
     """O1 keyed by carId: buffer events, emit them in event-time order once the
     watermark passes them; events already behind the watermark are dropped."""
 
@@ -242,24 +268,25 @@ class EventSortProcessor(StatefulProcessor):
         self.schema = schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         self.buffer = handle.getListState("buffer", self.schema)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs() * 1000
-        new = []
+        new, first = [], None
         for r in rows:
             t = to_us(r.eventTime)
             if t < wm:
                 continue
             new.append(tuple(r[f] for f in self.fields))
-            self.handle.registerTimer(timer_ms(t))
+            first = t if first is None else min(first, t)
         if new:
             self.buffer.appendList(new)
+            self._arm(first)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        now = self._fired(timerValues, expiredTimerInfo)
         ti = self.fields.index("eventTime")
         ii = self.fields.index("id")
         items = list(self.buffer.get() or [])
@@ -268,6 +295,7 @@ class EventSortProcessor(StatefulProcessor):
         self.buffer.clear()
         if rest:
             self.buffer.put(rest)
+            self._arm(min(to_us(x[ti]) for x in rest))
         return iter([Row(**dict(zip(self.fields, x))) for x in due])
 
     def close(self) -> None:
@@ -399,63 +427,66 @@ class RuleMatchProcessor(StatefulProcessor):
         pass
 
 
-class StopSegmentsProcessor(StatefulProcessor):
-    """T6 keyed by carId: buffer events; at each stop event's time (event-time
-    timer) emit the statistics of the buffered events strictly before the
-    earliest stop, then evict everything up to that stop."""
+class StopSegmentsProcessor(_OneTimer, StatefulProcessor):
+    """T6 keyed by carId: buffer events; once the watermark passes a stop event,
+    emit the statistics of the buffered events strictly before that stop, then
+    evict everything up to it (stops are handled in time order). T7 with
+    ``need_previous_stop``: only runs that have a stop before them."""
 
     def __init__(self, digits: int = 6, need_previous_stop: bool = False):
         self.digits = digits
-        self.need_previous_stop = need_previous_stop   # T7: only runs with a stop before them
+        self.need_previous_stop = need_previous_stop
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         self.buffer = handle.getListState("buffer", "t long, speed double, throttle double, isStop boolean")  # t in us
         self.had_stop = handle.getValueState("hadStop", "hadStop boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = []
-        for r in rows:
-            t = to_us(r.eventTime)
-            stop = r.speed == 0.0
-            new.append((t, float(r.speed), float(r.throttle), stop))
-            if stop:
-                self.handle.registerTimer(timer_ms(t))
+        new = [(to_us(r.eventTime), float(r.speed), float(r.throttle), r.speed == 0.0) for r in rows]
         if new:
             self.buffer.appendList(new)
+            stops = [x[0] for x in new if x[3]]
+            if stops:
+                self._arm(min(stops))
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        items = list(self.buffer.get() or [])
-        stops = [x[0] for x in items if x[3]]
-        if not stops:
-            return iter([])
-        first = min(stops)
-        seg = [x for x in items if x[0] < first]
-        rest = [x for x in items if x[0] > first]
-        self.buffer.clear()
-        if rest:
-            self.buffer.put(rest)
-        previous = self.had_stop.exists()
-        self.had_stop.update((True,))
-        if not seg or (self.need_previous_stop and not previous):
-            return iter([])
+    def _stats(self, key, stop, seg):
         n = len(seg)
         mean = sum(x[2] for x in seg) / n
-        sd = (sum((x[2] - mean) ** 2 for x in seg) / n) ** 0.5
-        err = round(sd, self.digits)
+        err = round((sum((x[2] - mean) ** 2 for x in seg) / n) ** 0.5, self.digits)
         k = int(err / 2.5)
         desc = "calm" if k == 0 else "busy" if k == 1 else "crazy"
-        return iter([Row(carId=key[0], stopTime=from_us(first), length=n,
-                         startTime=from_us(min(x[0] for x in seg)),
-                         maxSpeed=int(max(x[1] for x in seg)), erraticness=err,
-                         erraticnessDesc=desc)])
+        return Row(carId=key[0], stopTime=from_us(stop), length=n,
+                   startTime=from_us(min(x[0] for x in seg)),
+                   maxSpeed=int(max(x[1] for x in seg)), erraticness=err, erraticnessDesc=desc)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = self._fired(timerValues, expiredTimerInfo)
+        items = list(self.buffer.get() or [])
+        previous = self.had_stop.exists()
+        out = []
+        for stop in sorted({x[0] for x in items if x[3] and x[0] <= now}):
+            seg = [x for x in items if x[0] < stop]
+            items = [x for x in items if x[0] > stop]
+            if seg and (previous or not self.need_previous_stop):
+                out.append(self._stats(key, stop, seg))
+            previous = True
+        if previous:
+            self.had_stop.update((True,))
+        self.buffer.clear()
+        if items:
+            self.buffer.put(items)
+            stops = [x[0] for x in items if x[3]]
+            if stops:
+                self._arm(min(stops))
+        return iter(out)
 
     def close(self) -> None:
         pass
 
 
-class RangeCountProcessor(StatefulProcessor):
+class RangeCountProcessor(_OneTimer, StatefulProcessor):
     """W1 keyed by cell: for each event, the number of events of its key in
     [t - range, t] (peers included), emitted once the watermark reaches t."""
 
@@ -463,28 +494,23 @@ class RangeCountProcessor(StatefulProcessor):
         self.range_us = range_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self._init_timer(handle)
         self.events = handle.getListState("events", "t long, done boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs() * 1000
-        new = []
-        for r in rows:
-            t = to_us(r.eventTime)
-            if t < wm:
-                continue
-            new.append((t, False))
-            self.handle.registerTimer(timer_ms(t))
+        new = [(t, False) for t in (to_us(r.eventTime) for r in rows) if t >= wm]
         if new:
             self.events.appendList(new)
+            self._arm(min(t for t, _ in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        import bisect
+        now = self._fired(timerValues, expiredTimerInfo)
         ev = sorted(self.events.get() or [])
         times = [t for t, _ in ev]
         out, keep = [], []
-        import bisect
         for t, done in ev:
             if not done and t <= now:
                 lo = bisect.bisect_left(times, t - self.range_us)
@@ -496,6 +522,9 @@ class RangeCountProcessor(StatefulProcessor):
         self.events.clear()
         if keep:
             self.events.put(keep)
+            pending = [t for t, d in keep if not d]
+            if pending:
+                self._arm(min(pending))
         return iter(out)
 
     def close(self) -> None:
