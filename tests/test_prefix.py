@@ -60,8 +60,18 @@ def test_measured_bucket_width_splits_dense_keys(spark):
                                   F.col("id").alias("id"), F.lit(1.0).alias("v"))
     w = auto_width(df, ["k"], F.col("t"), target_rows=100)
     assert 1 <= w <= 5000 * 100 // 1666 + 1
-    assert auto_width(df, ["k"], F.col("t"), target_rows=10_000) >= 5000   # one bucket
+    assert auto_width(df, ["k"], F.col("t"), target_rows=10_000) is None   # no key needs splitting
+    assert order_bucket(df, ["k"], F.col("t"), None, 10_000) is None
     got = keyed_scan(df, ["k"], ["t", "id"], order_bucket(df, ["k"], F.col("t"), None, 100),
                      {"c": ("count", F.col("v"))})
     assert got.filter(F.col("c") != F.floor(F.col("t") / 3) + 1).count() == 0
     assert got.select(F.floor(F.col("t") / w)).distinct().count() > 10
+
+
+def test_plain_scan_path_equals_bucketed(spark):
+    df = spark.range(300).select((F.col("id") % 4).alias("k"), (F.col("id") * 7 % 101).alias("t"),
+                                 F.col("id").alias("id"), (F.col("id") % 5).cast("double").alias("v"))
+    specs = {"s": ("sum", F.col("v")), "l": ("last", F.col("v")), "n": ("next", F.col("v"))}
+    a = keyed_scan(df, ["k"], ["t", "id"], None, specs, inclusive=False)
+    b = keyed_scan(df, ["k"], ["t", "id"], F.floor(F.col("t") / 10), specs, inclusive=False)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())

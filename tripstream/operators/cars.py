@@ -54,7 +54,8 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str | N
     """
     gap_us = interval_seconds(gap) * 1_000_000
     t = F.col("_t")
-    ev = events.withColumns({"_bk": event_bucket(events, ["carId"], "eventTime", bucket),
+    bk = event_bucket(events, ["carId"], "eventTime", bucket)
+    ev = events.withColumns({"_bk": bk if bk is not None else F.lit(0),
                              "_t": F.unix_micros("eventTime")})
     w = Window.partitionBy("carId", "_bk").orderBy("_t", "id")
     ev = ev.withColumn("_lag", F.lag("_t").over(w))

@@ -40,28 +40,27 @@ def auto_width(df: DataFrame, keys: list[str], x: Column,
                target_rows: int = TARGET_ROWS_PER_BUCKET) -> int:
     """Bucket width (in units of the numeric order value ``x``) from measured key
     density: every key with more than ``target_rows`` rows gets buckets holding
-    about ``target_rows`` of its rows on average; if no key is that large, one
-    bucket spans everything. One small aggregation job; only a single row of
-    statistics reaches the driver."""
+    about ``target_rows`` of its rows on average. Returns None when no key is that
+    large (then one window per key is already bounded). One small aggregation
+    job; only a single row of statistics reaches the driver."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
                                     F.max(x).alias("hi"))
     need = per_key.filter(F.col("n") > target_rows)
     st = need.agg(F.min((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")).alias("w")).first()
     if st is None or st["w"] is None:
-        span = per_key.agg((F.max("hi") - F.min("lo") + 1).alias("s")).first()
-        return int(max(1, (span["s"] or 0) + 1))
+        return None                  # no key is dense enough to need splitting
     return int(max(1, st["w"]))
 
 
 def order_bucket(df: DataFrame, keys: list[str], x: Column, width=None,
-                 target_rows: int = TARGET_ROWS_PER_BUCKET) -> Column:
+                 target_rows: int = TARGET_ROWS_PER_BUCKET) -> Column | None:
     """Bucket column over the numeric order value ``x``: fixed ``width`` or, when
-    None, the measured ``auto_width``."""
+    None, the measured ``auto_width``; None when no key needs splitting."""
     w = int(width) if width is not None else auto_width(df, keys, x, target_rows)
-    return F.floor(x / F.lit(w))
+    return F.floor(x / F.lit(w)) if w is not None else None
 
 
-def event_bucket(df: DataFrame, keys: list[str], ts: str, bucket: str | None = None) -> Column:
+def event_bucket(df: DataFrame, keys: list[str], ts: str, bucket: str | None = None) -> Column | None:
     """Time bucket of ``ts``: a fixed length such as '10 minutes', or measured from
     the data when ``bucket`` is None."""
     from .util import interval_seconds
@@ -76,7 +75,30 @@ def time_bucket(ts, seconds: int) -> Column:
     return F.floor(F.unix_micros(c) / F.lit(int(seconds) * 1_000_000))
 
 
-def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
+def _plain_scan(df, keys, order, specs, inclusive, reverse) -> DataFrame:
+    """Single-bucket case: every key is small enough for one window task."""
+    o = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
+    wi = Window.partitionBy(*keys).orderBy(*o).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    wa = Window.partitionBy(*keys).orderBy(*o).rowsBetween(0 if inclusive else 1, Window.unboundedFollowing)
+    out = []
+    for name, (kind, v) in specs.items():
+        if kind == "sum":
+            expr = F.coalesce(F.sum(v).over(wi), F.lit(0))
+        elif kind == "count":
+            expr = F.count(v).over(wi)
+        elif kind == "min":
+            expr = F.min(v).over(wi)
+        elif kind == "max":
+            expr = F.max(v).over(wi)
+        elif kind == "next":
+            expr = F.first(v, ignorenulls=True).over(wa)
+        else:
+            expr = F.last(v, ignorenulls=True).over(wi)
+        out.append(expr.alias(name))
+    return df.select("*", *out)
+
+
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
                specs: dict[str, tuple[str, Column]], inclusive: bool = True,
                reverse: bool = False) -> DataFrame:
     """Add one column per spec holding the running aggregate over the rows of the
@@ -84,7 +106,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
 
     ``order`` is a list of column names giving a total order inside a key;
     ``bucket`` must be non-decreasing along that order (derive it from the first
-    order column). ``specs`` maps an output name to (kind, value column) with
+    order column); None means one bucket per key (plain per-key windows, for
+    inputs where no key is large). ``specs`` maps an output name to (kind, value column) with
     kind in sum | count | min | max | last (last non-null value in scan order) |
     next (first non-null value at or after the row, i.e. looking ahead; only
     with ``reverse=False``). ``inclusive`` decides whether the row itself is
@@ -96,6 +119,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
             raise ValueError(f"unknown aggregate kind {kind!r} for {name}")
         if kind == "next" and reverse:
             raise ValueError("'next' looks ahead already; use it with reverse=False")
+    if bucket is None:
+        return _plain_scan(df, keys, order, specs, inclusive, reverse)
     b = df.withColumn("_bk", bucket)
     for name, (_, val) in specs.items():
         b = b.withColumn(f"_v_{name}", val)
