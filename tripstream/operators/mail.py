@@ -33,7 +33,7 @@ def tf_idf(docs: DataFrame, id_col: str = "messageId", text_col: str = "body",
     scalar subquery (a one-row aggregate), not a driver round trip. The tf ⋈ df
     join is many-to-one on word; adaptive execution splits a hot word's partition.
     """
-    words = (spread(docs.select(F.col(id_col).alias("docId"), F.col(text_col).alias("_text")))
+    words = (spread(docs.select(F.col(id_col).alias("docId"), F.col(text_col).alias("_text")), key="docId")
              .select("docId", F.explode(raw_tokens("_text")).alias("word"))
              .filter(is_word("word", stop_words)))
     tf = words.groupBy("docId", "word").agg(F.count(F.lit(1)).alias("tf"))

@@ -44,7 +44,7 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Round-robin a narrow scan over the cluster before CPU-heavy per-row work.
 
     Only when the input has fewer splits than the default parallelism (e.g. one
@@ -57,4 +57,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         narrow = df.rdd.getNumPartitions() < target
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
         return df
-    return df.repartition(target) if narrow else df
+    if not narrow:
+        return df
+    # hash-partitioning on a unique key also lets a later grouping on
+    # (key, ...) reuse this partitioning instead of shuffling again
+    return df.repartition(target, key) if key else df.repartition(target)
