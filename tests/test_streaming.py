@@ -208,3 +208,15 @@ def test_nearest_with_retention_and_reset(spark):
     got = run(jobs.nearest_taxi_ttl_stream(stage(spark, df, ride_sentinel()), qs,
                                            retention="12 hours", reset="8 hours"))
     assert sorted(r.taxiId for r in got.collect() if r.rideId >= 0) == [1, 3]
+
+
+def test_state_carried_across_micro_batches(spark):
+    """Rule matches and running minima that span micro-batches (state read back)."""
+    items = fx.items(spark, SF_SMALL)
+    d = tempfile.mkdtemp(prefix="ts-two-")
+    items.filter("seq < 500").coalesce(1).write.parquet(os.path.join(d, "a"))
+    items.filter("seq >= 500").coalesce(1).write.parquet(os.path.join(d, "b"))
+    src_ = (spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", "true").parquet(d))
+    got = run(jobs.match_rules_stream(src_, [("view", "purchase"), ("click", "click")]))
+    assert rows(got) == rows(op.match_rules(items, [("view", "purchase"), ("click", "click")]))

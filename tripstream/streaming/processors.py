@@ -407,20 +407,24 @@ class RuleMatchProcessor(StatefulProcessor):
         self.waiting = handle.getMapState("waiting", "rule string", "seqs array<long>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # read every rule's waiting list once, match in memory, write back once
+        waiting = {k[0]: list(v[0]) for k, v in self.waiting.iterator()} if self.waiting.exists() else {}
+        before = {n: list(v) for n, v in waiting.items()}
         out = []
         for r in sorted(rows, key=lambda r: r.seq):
             for name, first, second in self.rules:
-                w = self.waiting.getValue((name,)) if self.waiting.containsKey((name,)) else None
-                seqs = list(w[0]) if w else []
+                seqs = waiting.get(name, [])
                 if r.shape == second and seqs:
                     out.extend(Row(rule=name, color=key[0], firstSeq=s, secondSeq=r.seq) for s in seqs)
                     seqs = []
                 if r.shape == first:
-                    seqs.append(r.seq)
-                if seqs:
-                    self.waiting.updateValue((name,), (seqs,))
-                elif w:
-                    self.waiting.removeKey((name,))
+                    seqs = seqs + [r.seq]
+                waiting[name] = seqs
+        for name, seqs in waiting.items():
+            if seqs and seqs != before.get(name):
+                self.waiting.updateValue((name,), (seqs,))
+            elif not seqs and before.get(name):
+                self.waiting.removeKey((name,))
         return iter(out)
 
     def close(self) -> None:
