@@ -186,6 +186,42 @@ def _tf_idf(source_cte: str | None, table: str, id_col: str, text_col: str) -> s
                           f"from tf join df using (word) cross join n"
 
 
+def _route_heatmap() -> str:
+    """F4 as a recursive CTE: one row per walk step of every cleansed START ride."""
+    def gx(lon):
+        return f"cast(floor(({abs(LON_WEST)}::double - abs({_d(lon)})) / {DELTA_LON}::double) as bigint)"
+
+    def gy(lat):
+        return f"cast(floor(({LAT_NORTH}::double - {_d(lat)}) / {DELTA_LAT}::double) as bigint)"
+    pts = f"""p AS (select rideId, {gx('startLon')} as x1, {gy('startLat')} as y1,
+        {gx('endLon')} as x2, {gy('endLat')} as y2
+      from rides where isStart and {nyc('startLon', 'startLat')} and {nyc('endLon', 'endLat')})"""
+    base = """b AS (select rideId,
+        case when x1 <= x2 then x1 else x2 end as sx, case when x1 <= x2 then y1 else y2 end as sy,
+        case when x1 <= x2 then x2 else x1 end as ex, case when x1 <= x2 then y2 else y1 end as ey
+      from p)"""
+    base2 = """b2 AS (select *, (ey - sy) / ((ex - sx) + 0.00000001::double) as slope from b)"""
+    run = ("((cx < ex or cy <> ey) and not (cx > ex or (slope > 0 and cy > ey) "
+           "or (not (slope > 0) and cy < ey)))")
+    step = f"""walk(rideId, cx, cy, sx, sy, ex, ey, slope) AS (
+      select rideId, sx, sy, sx, sy, ex, ey, slope from b2
+      union all
+      select rideId,
+        case when slope > 0 then (case when near or yy < cy then cx + 1 else cx end)
+             else (case when yy > cy + d then cx + d1 + 1 else cx + d1 end) end,
+        case when slope > 0 then (case when near then cy + 1 when yy < cy then cy else cy + 1 end)
+             else (case when yy > cy + d then cy + d else cy + d - 1 end) end,
+        sx, sy, ex, ey, slope
+      from (select *, case when near then 1 else 0 end as d1, case when near then -1 else 0 end as d
+            from (select *, (yy > cy - 0.05::double and yy < cy + 0.05::double) as near
+                  from (select *, (cx - sx + 0.5::double) * slope + sy
+                                  + (case when slope > 0 then -0.5::double else 0.5::double end) as yy
+                        from walk where {run})))
+    )"""
+    return ("WITH RECURSIVE " + ",\n".join([RIDES, pts, base, base2, step]) +
+            f"\nselect cast(cx + cy * {GRID_X} as integer) as cell, count(*) as cnt from walk group by 1")
+
+
 def oracle_sql() -> dict[str, str]:
     T = f"timestamp '{AS_OF}'"
     ex = ", ".join(f"'{a}'" for a in MAIL_EXCLUDE)
@@ -238,6 +274,7 @@ select 'PE' as source, * from rides where eventTime > {T} and {RULE_PREDICATE}""
 select cast(cell as varchar) as cell, eventTime, count(*) over (partition by cell order by eventTime
   range between interval 12 hour preceding and current row) as cnt
 from (select {cell('endLon', 'endLat')} as cell, eventTime from rides where not isStart)"""
+    q["route_heatmap"] = _route_heatmap()
     q["travel_time"] = with_(RIDES, f"""c AS (select rideId, isStart, eventTime,
     {cell('endLon', 'endLat')} as cell,
     cast(trunc({angle('endLon', 'endLat', 'startLon', 'startLat')} / 45) as integer) as direction,
