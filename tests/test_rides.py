@@ -123,3 +123,13 @@ def test_nearest_taxi_accepts_bounded_query_table(spark):
     a = op.nearest_taxi(rides_df(spark, rows), q).collect()
     b = op.nearest_taxi(rides_df(spark, rows), [(7, STATION[0], STATION[1])]).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_ongoing_rides_for_several_queries(spark):
+    rows = [ride(1, True, 0, taxi=1), ride(1, False, 0, 20, taxi=1), ride(2, True, 25, taxi=1),
+            ride(3, True, 50, taxi=2), ride(4, True, 5, taxi=3)]
+    df = rides_df(spark, rows)
+    qs = [(1, 30, at(60)), (2, 10, at(15)), (3, 5, at(70))]
+    got = sorted((r.queryId, r.rideId) for r in op.ongoing_rides_for_queries(df, qs).collect())
+    want = sorted((q, r.rideId) for q, m, t in qs for r in op.ongoing_rides(df, m, t).collect())
+    assert got == want and len(got) > 0

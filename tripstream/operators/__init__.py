@@ -10,7 +10,8 @@ from .mail import (distinct_mails, exclude_senders, mail_count, member_of_month,
 from .predict import predict_travel_time
 from .rides import (arrivals_window, clean_rides, drop_every_nth_ride, end_events, enrich_rides,
                     event_cell, fares_in_city, high_tip_hours, hourly_tip_leader, hourly_tips,
-                    latest_per_taxi, ongoing_rides, popular_places, popular_places_sql,
+                    latest_per_taxi, ongoing_rides, ongoing_rides_for_queries, popular_places,
+                    popular_places_sql,
                     ride_count, ride_durations, start_events, unmatched_fares, unmatched_rides)
 from .rules import match_rules
 from .trades import asof_join, latest_join

@@ -237,6 +237,28 @@ def ongoing_rides(rides: DataFrame, minutes: int, at) -> DataFrame:
     return latest.filter(F.col("isStart") & (age >= minutes))
 
 
+MAX_QUERIES = 10_000
+
+
+def ongoing_rides_for_queries(rides: DataFrame, queries) -> DataFrame:
+    """B1 for several queries (queryId, minutes, at) in one pass: each ride is paired
+    in-row with the queries it precedes (a bounded, checked list), then the latest
+    event per (query, taxi) is a map-side combined max_by."""
+    queries = list(queries)
+    if len(queries) > MAX_QUERIES:
+        raise ValueError(f"at most {MAX_QUERIES} queries")
+    arr = F.array(*[F.struct(F.lit(int(q)).alias("queryId"), F.lit(int(m)).alias("minutes"),
+                             ts_lit(t).alias("at")) for q, m, t in queries])
+    paired = (rides.select("*", F.explode(arr).alias("q"))
+              .filter(F.col("eventTime") <= F.col("q.at")))
+    latest = (paired.groupBy(F.col("q.queryId").alias("queryId"), "taxiId")
+              .agg(F.max_by(F.struct(*RIDE_COLUMNS, F.col("q.minutes").alias("_m"), F.col("q.at").alias("_at")),
+                            ride_order()).alias("r"))
+              .select("queryId", "r.*"))
+    age = F.floor((F.unix_millis("_at") - F.unix_millis("eventTime")) / 60000)
+    return latest.filter(F.col("isStart") & (age >= F.col("_m"))).drop("_m", "_at")
+
+
 # ---------------------------------------------------------------- F8, F15
 
 
