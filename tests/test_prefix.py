@@ -75,3 +75,20 @@ def test_plain_scan_path_equals_bucketed(spark):
     a = keyed_scan(df, ["k"], ["t", "id"], None, specs, inclusive=False)
     b = keyed_scan(df, ["k"], ["t", "id"], F.floor(F.col("t") / 10), specs, inclusive=False)
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_null_keys_are_scanned_like_other_keys(spark):
+    df = spark.createDataFrame([(None, 1, 1, 1.0), (None, 50, 2, 1.0), (None, 99, 3, 1.0), (1, 5, 4, 1.0)],
+                               "k int, t int, id int, v double")
+    a = keyed_scan(df, ["k"], ["t", "id"], F.floor(F.col("t") / 10), {"c": ("count", F.col("v"))})
+    b = keyed_scan(df, ["k"], ["t", "id"], None, {"c": ("count", F.col("v"))})
+    assert sorted((r.id, r.c) for r in a.collect()) == sorted((r.id, r.c) for r in b.collect()) == \
+        [(1, 1), (2, 2), (3, 3), (4, 1)]
+
+
+def test_stand_in_values_for_key_types(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(None, None, 1, 1.0), (dt.datetime(2020, 1, 1), "a", 2, 1.0)],
+                               "k timestamp, s string, t int, v double")
+    got = keyed_scan(df, ["k", "s"], ["t"], F.floor(F.col("t") / 10), {"c": ("count", F.col("v"))})
+    assert sorted(r.c for r in got.collect()) == [1, 1]

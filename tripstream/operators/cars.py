@@ -55,24 +55,28 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str | N
     gap_us = interval_seconds(gap) * 1_000_000
     t = F.col("_t")
     bk = event_bucket(events, ["carId"], "eventTime", bucket)
+    # car key as (non-null stand-in, null flag) so a null car id is a group of its own
     ev = events.withColumns({"_bk": bk if bk is not None else F.lit(0),
-                             "_t": F.unix_micros("eventTime")})
-    w = Window.partitionBy("carId", "_bk").orderBy("_t", "id")
+                             "_t": F.unix_micros("eventTime"),
+                             "_kv": F.coalesce(F.col("carId"), F.lit("")),
+                             "_kz": F.col("carId").isNull()})
+    keys = ["_kv", "_kz"]
+    w = Window.partitionBy(*keys, "_bk").orderBy("_t", "id")
     ev = ev.withColumn("_lag", F.lag("_t").over(w))
     ev = ev.withColumn("_inner", F.when(F.col("_lag").isNotNull() & (t - F.col("_lag") > gap_us), t))
-    per_bucket = (ev.groupBy("carId", "_bk")
+    per_bucket = (ev.groupBy(*keys, "_bk")
                   .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
                        F.max("_inner").alias("_lastInner")))
-    wb = Window.partitionBy("carId").orderBy("_bk")
+    wb = Window.partitionBy(*keys).orderBy("_bk")
     prev_last = F.lag("_last").over(wb)
     per_bucket = per_bucket.withColumn(
         "_firstStarts", prev_last.isNull() | (F.col("_first") - prev_last > gap_us))
     per_bucket = per_bucket.withColumn(
         "_bStart", F.coalesce(F.col("_lastInner"), F.when(F.col("_firstStarts"), F.col("_first"))))
     per_bucket = per_bucket.select(
-        "carId", "_bk", "_firstStarts",
+        *keys, "_bk", "_firstStarts",
         F.last("_bStart", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    j = ev.join(per_bucket, ["carId", "_bk"])
+    j = ev.join(per_bucket, [*keys, "_bk"])
     starts = F.when(F.col("_inner").isNotNull() | (F.col("_lag").isNull() & F.col("_firstStarts")), t)
     j = j.withColumn("_session", F.coalesce(
         F.last(starts, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_carry")))

@@ -75,6 +75,20 @@ def time_bucket(ts, seconds: int) -> Column:
     return F.floor(F.unix_micros(c) / F.lit(int(seconds) * 1_000_000))
 
 
+def _stand_in(dt) -> Column:
+    """A non-null value of the key's type (only paired with the key's null flag)."""
+    from pyspark.sql import types as T
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.lit("1970-01-01 00:00:00").cast(dt)
+    if isinstance(dt, T.BinaryType):
+        return F.lit(b"")
+    return F.lit(0).cast(dt)
+
+
 def _plain_scan(df, keys, order, specs, inclusive, reverse) -> DataFrame:
     """Single-bucket case: every key is small enough for one window task."""
     o = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
@@ -121,7 +135,18 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
             raise ValueError("'next' looks ahead already; use it with reverse=False")
     if bucket is None:
         return _plain_scan(df, keys, order, specs, inclusive, reverse)
-    b = df.withColumn("_bk", bucket)
+    # Internal key columns: a non-null stand-in plus a null flag per key, so rows
+    # with a null key form their own group (as in a plain window) while the join
+    # and the windows below stay plain equi-keys on the same columns: one shuffle.
+    b = df
+    ikeys = []
+    types = {f.name: f.dataType for f in df.schema.fields}
+    for i, k in enumerate(keys):
+        b = b.withColumn(f"_kv{i}", F.coalesce(F.col(k), _stand_in(types[k])))
+        b = b.withColumn(f"_kz{i}", F.col(k).isNull())
+        ikeys += [f"_kv{i}", f"_kz{i}"]
+    keys = ikeys
+    b = b.withColumn("_bk", bucket)
     for name, (_, val) in specs.items():
         b = b.withColumn(f"_v_{name}", val)
 
