@@ -23,8 +23,8 @@ def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0
                       checkpoint_every: int = 5) -> DataFrame:
     """r0 = 1/N; r <- (1-d)/N + d * sum over in-edges of r(src) * w.
 
-    Edges are hash-partitioned by source once and cached. Each round is one
-    join (edges ⋈ ranks on source) and one aggregation: the contributions are
+    Normalised edges are computed once and cached. Each round is one join
+    (edges ⋈ ranks on source) and one aggregation: the contributions are
     unioned with a zero row per vertex, so vertices without in-links keep the
     teleport share without a second join. Lineage is cut every few rounds with a
     reliable checkpoint into the session's shared checkpoint folder (the ranks
@@ -33,7 +33,11 @@ def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     given = edges.persist()          # read by both sides of the normalisation join
-    e = normalized_edges(given, by_degree).repartition("src").persist()
+    # cached as computed, not pre-partitioned by source: each round's join then
+    # goes through a shuffle that adaptive execution can split when one source
+    # vertex (a hub) owns a large share of the edges, or skips entirely by
+    # broadcasting the rank vector when its measured size is small
+    e = normalized_edges(given, by_degree).persist()
     vertices = e.select(F.col("src").alias("vertex")).union(e.select(F.col("dst").alias("vertex"))) \
         .distinct().persist()
     n = float(vertices.count())      # materialises e and vertices
