@@ -92,3 +92,10 @@ def test_stand_in_values_for_key_types(spark):
                                "k timestamp, s string, t int, v double")
     got = keyed_scan(df, ["k", "s"], ["t"], F.floor(F.col("t") / 10), {"c": ("count", F.col("v"))})
     assert sorted(r.c for r in got.collect()) == [1, 1]
+
+
+def test_auto_width_does_not_overflow_on_long_spans(spark):
+    from tripstream.plans.prefix import auto_width
+    df = spark.range(3000).select(F.lit(1).alias("k"), (F.col("id") * 10_000_000_000_000).alias("t"))
+    w = auto_width(df, ["k"], F.col("t"), target_rows=1000)
+    assert w > 0

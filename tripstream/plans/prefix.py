@@ -46,7 +46,9 @@ def auto_width(df: DataFrame, keys: list[str], x: Column,
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
                                     F.max(x).alias("hi"))
     need = per_key.filter(F.col("n") > target_rows)
-    st = need.agg(F.min((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")).alias("w")).first()
+    # in double: a span in microseconds times the row target overflows a long
+    span = (F.col("hi") - F.col("lo") + 1).cast("double")
+    st = need.agg(F.min(span * F.lit(float(target_rows)) / F.col("n")).alias("w")).first()
     if st is None or st["w"] is None:
         return None                  # no key is dense enough to need splitting
     return int(max(1, st["w"]))
