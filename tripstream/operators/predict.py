@@ -36,6 +36,9 @@ def predict_travel_time(rides: DataFrame, bucket: str | None = None) -> DataFram
                           "_n": ("count", F.when(end, F.lit(1)))},
                          inclusive=False)
     ok = (F.col("_n") >= 2) & (F.abs(F.col("_sxx")) >= F.lit(_TINY))
-    pred = F.when(ok, (F.col("_sxy") / F.col("_sxx") * x).cast("int")).otherwise(F.lit(-1))
+    raw = F.col("_sxy") / F.col("_sxx") * x
+    # int conversion saturates at the int range instead of failing the job
+    clamped = F.least(F.greatest(raw, F.lit(-2147483648.0)), F.lit(2147483647.0))
+    pred = F.when(ok, clamped.cast("int")).otherwise(F.lit(-1))
     return scanned.filter(F.col("isStart")).select("rideId", "eventTime", "cell", "direction",
                                                    pred.alias("predictedMinutes"))
