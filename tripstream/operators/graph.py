@@ -12,7 +12,8 @@ def normalized_edges(edges: DataFrame, by_degree: bool = False) -> DataFrame:
     """A14 + J10: each edge weight divided by its source's total out-weight
     (and, with ``by_degree``, also by the source's out-degree)."""
     sums = edges.groupBy("src").agg(F.sum("weight").alias("_total"), F.count(F.lit(1)).alias("_deg"))
-    w = F.col("weight") / F.col("_total")
+    # a source whose weights sum to zero has no usable transitions (null, not an error)
+    w = F.try_divide(F.col("weight"), F.col("_total"))
     if by_degree:
         w = w / F.col("_deg")
     return edges.join(sums, "src").select("src", "dst", w.alias("w"))
