@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,10 @@ def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0
     Normalised edges are computed once and cached. Each round is one join
     (edges ⋈ ranks on source) and one aggregation: the contributions are
     unioned with a zero row per vertex, so vertices without in-links keep the
-    teleport share without a second join. Lineage is cut every few rounds and
-    after the last one with a reliable checkpoint into the session's shared
-    checkpoint folder (the ranks are cached first, so checkpointing does not
-    recompute them); the returned ranks depend on no cached data.
+    teleport share without a second join. Every few rounds, and after the last
+    one, the ranks are written as a table into the session's shared checkpoint
+    folder (``spark.checkpoint.dir``) and read back, which cuts the lineage with
+    a single job per cut; the returned ranks depend on no cached data.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -46,22 +48,22 @@ def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0
     given.unpersist()
     zero = vertices.select("vertex", F.lit(0.0).alias("c"))
     ranks = vertices.select("vertex", F.lit(1.0 / n).alias("rank"))
-    cached = []
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagerank-{uuid.uuid4().hex}"
     for i in range(iterations):
         contrib = (e.join(ranks.withColumnRenamed("vertex", "src"), "src")
                    .select(F.col("dst").alias("vertex"), (F.col("rank") * F.col("w")).alias("c")))
         ranks = (contrib.unionByName(zero).groupBy("vertex")
                  .agg((F.lit((1 - damping) / n) + F.lit(damping) * F.sum("c")).alias("rank")))
         if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
-            kept = ranks.persist()
-            ranks = kept.checkpoint()        # eager: computed once (cached), then written
-            for c in cached:
-                c.unpersist()
-            cached = [kept]
+            # cut the lineage: one job writes the ranks into the shared checkpoint
+            # folder, later rounds read them back from there
+            path = f"{base}/round-{i + 1}"
+            ranks.write.mode("overwrite").parquet(path)
+            ranks = spark.read.parquet(path)
     if iterations > 0:
-        # the result now reads only the checkpoint files: release every cache
-        for c in cached + [e, vertices]:
-            c.unpersist()
+        # the result reads only the written ranks: release the caches
+        e.unpersist()
+        vertices.unpersist()
     if digits is not None:
         ranks = ranks.select("vertex", F.round("rank", digits).alias("rank"))
     return ranks
