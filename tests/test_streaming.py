@@ -220,3 +220,14 @@ def test_state_carried_across_micro_batches(spark):
             .option("recursiveFileLookup", "true").parquet(d))
     got = run(jobs.match_rules_stream(src_, [("view", "purchase"), ("click", "click")]))
     assert rows(got) == rows(op.match_rules(items, [("view", "purchase"), ("click", "click")]))
+
+
+def test_ride_count_and_high_tips(spark, rides):
+    got = run(jobs.ride_count_stream(stage(spark, rides, ride_sentinel())), mode="update")
+    # update mode: the last update per driver is the final count
+    final = got.groupBy("driverId").agg(F.max("cnt").alias("cnt")).filter("driverId >= 0")
+    assert rows(final) == rows(op.ride_count(rides))
+    fares = fx.fares(spark, SF_SMALL)
+    sentinel = [(-1, -1, -1, FAR, "CRD", 0.0, 0.0, 0.0)]
+    got = run(jobs.high_tip_hours_stream(stage(spark, fares, sentinel), 5.0, "24 hours"))
+    assert rows(got) == rows(op.high_tip_hours(fares, 5.0, "24 hours"))
