@@ -5,8 +5,9 @@ key" (newest customer so far, running minimum distance, regression sums, rank,
 next stop). A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a
 key into one task, which fails when one key holds a large share of the data.
 
-``keyed_scan`` splits each key into ordered buckets (e.g. one per day of event
-time):
+``keyed_scan`` splits each key into ordered buckets of its order value (the
+width measured from the data by ``auto_width`` so that a bucket of the densest
+key holds about ``TARGET_ROWS_PER_BUCKET`` rows):
 
 1. partial aggregate per (key, bucket)          – groupBy, map-side combine;
 2. carry-in per (key, bucket) over earlier buckets – window over the small
@@ -16,7 +17,8 @@ time):
 4. combine carry-in and in-bucket value.
 
 The big side is shuffled once, on (key, bucket); the join in step 4 and the
-window in step 3 share that partitioning.
+window in step 3 share that partitioning. When no key needs splitting the scan
+is a plain per-key window.
 """
 
 from __future__ import annotations
