@@ -1,9 +1,10 @@
 """Connected-car operators: per-car event order (O1), gap sessions (T5),
 stop-delimited segments (T6, T7) and their statistics (A11, F9).
 
-Every per-car ordered step goes through ``keyed_scan``, so a car with a large
-share of all events is split over (car, time bucket) tasks; the statistics are
-plain grouped aggregates with map-side combine.
+Every per-car ordered step is split over (car, time bucket) tasks — ranks and
+stops through ``keyed_scan``, sessions through ``lag`` per bucket plus a carry
+over the per-bucket table — so a car with a large share of all events is never
+one task; the statistics are plain grouped aggregates with map-side combine.
 """
 
 from __future__ import annotations
