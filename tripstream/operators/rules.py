@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.prefix import keyed_scan, order_bucket
 
+MAX_RULES = 10_000
+
 
 def match_rules(items: DataFrame, rules, seq_bucket: int | None = None) -> DataFrame:
     """Per color, an item of the rule's first shape waits for the next item of
     its second shape, which matches all waiting items (rules named Rule_n).
 
-    items: (seq, shape, color); rules: list of (first, second) shapes — a small
-    caller-side list. Output (rule, color, firstSeq, secondSeq). The next
-    matching item comes from a reverse keyed scan over seq buckets, so a single
-    color does not become a single task.
+    items: (seq, shape, color); rules: list of (first, second) shapes — a small,
+    checked caller-side list, paired with the items by an in-row explode so all
+    rules run in one scan keyed by (rule, color). Output (rule, color, firstSeq,
+    secondSeq). The next matching item comes from a reverse keyed scan over seq
+    buckets, so a single color does not become a single task.
     """
-    outs = []
-    for n, (first, second) in enumerate(rules):
-        rel = items.filter(F.col("shape").isin(first, second))
-        nxt = keyed_scan(rel, ["color"], ["seq"], order_bucket(rel, ["color"], F.col("seq"), seq_bucket),
-                         {"_next": ("last", F.when(F.col("shape") == second, F.col("seq")))},
-                         inclusive=False, reverse=True)
-        outs.append(nxt.filter((F.col("shape") == first) & F.col("_next").isNotNull())
-                    .select(F.lit(f"Rule_{n}").alias("rule"), "color",
-                            F.col("seq").alias("firstSeq"), F.col("_next").alias("secondSeq")))
-    return reduce(DataFrame.unionByName, outs)
+    rules = list(rules)
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"at most {MAX_RULES} rules")
+    arr = F.array(*[F.struct(F.lit(f"Rule_{n}").alias("rule"), F.lit(a).alias("first"),
+                             F.lit(b).alias("second")) for n, (a, b) in enumerate(rules)])
+    rel = (items.select("seq", "shape", "color", F.explode(arr).alias("r"))
+           .filter((F.col("shape") == F.col("r.first")) | (F.col("shape") == F.col("r.second")))
+           .select("seq", "shape", "color", "r.rule", "r.first", "r.second"))
+    nxt = keyed_scan(rel, ["rule", "color"], ["seq"],
+                     order_bucket(rel, ["rule", "color"], F.col("seq"), seq_bucket),
+                     {"_next": ("last", F.when(F.col("shape") == F.col("second"), F.col("seq")))},
+                     inclusive=False, reverse=True)
+    return (nxt.filter((F.col("shape") == F.col("first")) & F.col("_next").isNotNull())
+            .select("rule", "color", F.col("seq").alias("firstSeq"), F.col("_next").alias("secondSeq")))
