@@ -8,10 +8,11 @@ from .graph import normalized_edges, weighted_pagerank
 from .mail import (distinct_mails, exclude_senders, mail_count, member_of_month, reply_graph,
                    reply_pairs, tf_idf)
 from .predict import predict_travel_time
-from .rides import (arrivals_window, clean_rides, drop_every_nth_ride, end_events, enrich_rides,
+from .rides import (arrivals_last_10min, arrivals_window, clean_rides, drop_every_nth_ride, end_events, enrich_rides,
                     event_cell, fares_in_city, high_tip_hours, hourly_tip_leader, hourly_tips,
                     latest_per_taxi, ongoing_rides, ongoing_rides_for_queries, popular_places,
                     popular_places_sql,
-                    ride_count, ride_durations, start_events, unmatched_fares, unmatched_rides)
+                    ride_count, ride_durations, route_heatmap, start_events, unmatched_fares,
+                    unmatched_rides)
 from .rules import match_rules
 from .trades import asof_join, latest_join

@@ -213,6 +213,21 @@ def arrivals_window(rides: DataFrame, range_: str = "10 minutes", cell: int | No
             .select(F.col("cellId").cast("string").alias("cell"), "eventTime", "cnt"))
 
 
+def arrivals_last_10min(rides: DataFrame, cell: int | None = None) -> DataFrame:
+    """W1 with its 10-minute range."""
+    return arrivals_window(rides, "10 minutes", cell)
+
+
+def route_heatmap(rides: DataFrame) -> DataFrame:
+    """F4 user-level form: cleansed rides (START records) counted per grid cell on
+    their straight path. The walk is a vectorised pandas UDF on spread input."""
+    from ..functions.geo import cells_on_way
+    from ..plans.util import spread
+    starts = spread(start_events(clean_rides(rides)))
+    cells = starts.select(F.explode(cells_on_way("startLon", "startLat", "endLon", "endLat")).alias("cell"))
+    return cells.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 # ---------------------------------------------------------------- A15, B1
 
 

@@ -11,13 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..functions.geo import cells_on_way
 from ..sources import fixtures as fx
 from .oracle import AS_OF, MAIL_EXCLUDE, RULE_PREDICATE
-from .util import spread, to_ntz
+from .util import to_ntz
 
 
 def _q(fn):
@@ -28,10 +26,8 @@ def _q(fn):
 
 
 def route_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F4 user-level form: rides (START records, cleansed) per grid cell on their path."""
-    rides = spread(op.start_events(op.clean_rides(fx.rides(spark, sf_dir))))
-    cells = rides.select(F.explode(cells_on_way("startLon", "startLat", "endLon", "endLat")).alias("cell"))
-    return cells.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"))
+    """F4 user-level form over the rides view."""
+    return op.route_heatmap(fx.rides(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
