@@ -90,3 +90,30 @@ def strings_between(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     cuts = np.ascontiguousarray(cuts, dtype=np.int32)
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1,
                                  [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+
+
+def map_texts(docs: DataFrame, text_col: str, outputs: str, make, keep: list[str] | None = None,
+              step_bytes: int = STEP_BYTES) -> DataFrame:
+    """Run a batch function over the texts, row by row of the result.
+
+    ``make()`` is called once per task and returns a function from a string
+    array to the list of output arrays named in ``outputs`` (a DDL string).
+    ``keep``: input columns to return (default all); those named like an output
+    are replaced. Null texts reach the function as nulls.
+    """
+    from pyspark.sql import types as T
+    new = T.StructType.fromDDL(outputs)
+    names = {f.name.lower() for f in new.fields}
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("__map_text"))
+    schema = T.StructType([source.schema[c] for c in kept] + new.fields)
+
+    def run(batches):
+        work = make()
+        for piece in small_batches(batches, "__map_text", step_bytes):
+            made = work(piece.column(len(kept)))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(i) for i in range(len(kept))] + list(made),
+                names=kept + [f.name for f in new.fields])
+
+    return source.mapInArrow(run, schema)

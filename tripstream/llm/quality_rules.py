@@ -94,18 +94,18 @@ def quality_counts(docs: DataFrame, text_col: str = "text", stop_words=STOP_WORD
     text = F.coalesce(F.col(text_col), F.lit(""))
     step = docs.select(
         *kept,
-        F.array_remove(F.split(text, SPACE), "").alias("_words"),
-        F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
+        F.array_remove(F.split(text, SPACE), "").alias("__q_words"),
+        F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("__q_lines"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
     windows = F.when(
-        F.size("_words") >= 3,
-        F.transform(F.sequence(F.lit(0), F.size("_words") - 3), lambda i: F.struct(
-            F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"),
+        F.size("__q_words") >= 3,
+        F.transform(F.sequence(F.lit(0), F.size("__q_words") - 3), lambda i: F.struct(
+            F.xxhash64(F.get("__q_words", i), F.get("__q_words", i + 1), F.get("__q_words", i + 2)).alias("h"),
             i.alias("p"))))
-    step = step.withColumn("_sorted", F.sort_array(windows))
+    step = step.withColumn("__q_sorted", F.sort_array(windows))
     # a window occurs twice or more if its neighbour in hash order has the same hash
-    twice = F.filter("_sorted", lambda x, i: (F.get("_sorted", i + 1)["h"] == x["h"])
-                     | (F.get("_sorted", i - 1)["h"] == x["h"]))
+    twice = F.filter("__q_sorted", lambda x, i: (F.get("__q_sorted", i + 1)["h"] == x["h"])
+                     | (F.get("__q_sorted", i - 1)["h"] == x["h"]))
     starts = F.sort_array(F.transform(twice, lambda x: x["p"]))
     # windows cover [p, p + 3); in order of p, each adds what the last did not cover
     covered = F.aggregate(
@@ -113,16 +113,16 @@ def quality_counts(docs: DataFrame, text_col: str = "text", stop_words=STOP_WORD
         lambda acc, p: F.struct((acc["n"] + 3 - F.greatest(acc["end"] - p, F.lit(0))).alias("n"),
                                 (p + 3).alias("end")),
         lambda acc: acc["n"])
-    stop = F.filter("_words", lambda w: F.lower(w).isin(list(stop_words)))
+    stop = F.filter("__q_words", lambda w: F.lower(w).isin(list(stop_words)))
     return step.select(
         *kept,
-        F.size("_words").cast("long").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.size("__q_words").cast("long").alias("n_words"),
+        F.length(F.array_join("__q_words", "")).cast("long").alias("word_chars"),
         "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size(stop).cast("long").alias("n_stop_words"),
-        F.size("_lines").cast("long").alias("n_lines"))
+        F.size("__q_lines").cast("long").alias("n_lines"))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", base=BASE, method=METHOD,

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import quality_rules as quality
+from . import sentencepiece_agenda as pieces
+from . import token_counts as tokens
 from . import url_rules as urls
+from . import wu_manber as leaks
 
 #: (host, path, verdict) of the registered URL rules.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -32,10 +35,30 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_rules(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"),
+                                   with_ids=False, with_text=False, keep=["doc_id"])
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = leaks.decontaminate(docs, _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_sentencepiece": op3_sentencepiece,
         "op5_quality_rules": op5_quality_rules,
         "op6_url_filters": op6_url_filters,
+        "op8_token_counts": op8_token_counts,
+        "op10_decontamination": op10_decontamination,
     }
 
 
@@ -77,6 +100,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_st
 FROM flags
 """
 
+OP10_SQL = r"""
+WITH item AS (
+  SELECT DISTINCT item_id::VARCHAR AS item_id, w FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL)),
+pattern AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+place AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc)
+  JOIN (SELECT DISTINCT size FROM pattern) ON i + size - 1 <= len(w)),
+found AS (SELECT doc_id, i, size, item_id FROM place JOIN pattern USING (size, words)),
+hit AS (
+  SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n FROM found, LATERAL (SELECT unnest(range(0, size)) AS k)
+  GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*)::BIGINT AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc.doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+  coalesce(listed.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
 OP6_SQL = r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
@@ -99,4 +149,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_quality_rules": OP5_SQL.replace("STOP_LIST", _sql_list(quality.STOP_WORDS)),
         "op6_url_filters": OP6_SQL,
+        "op10_decontamination": OP10_SQL,
     }

@@ -114,9 +114,9 @@ def url_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url",
     host, path = url_parts(F.col(url_col))
     parsed = pages.select(*kept, host.alias("host"), path.alias("path"))
     active = active_rules(parsed.select("host").distinct(), rules)
-    active = active.withColumnRenamed("host", "_host").withColumnRenamed("stack", "_stack")
-    joined = parsed.join(active, F.col("host") == F.col("_host"), "left")
-    fits = F.filter("_stack", lambda r: F.startswith(F.col("path"), r["path"]))
+    active = active.withColumnRenamed("host", "__u_host").withColumnRenamed("stack", "__u_stack")
+    joined = parsed.join(active, F.col("host") == F.col("__u_host"), "left")
+    fits = F.filter("__u_stack", lambda r: F.startswith(F.col("path"), r["path"]))
     best = F.array_max(fits)
     return joined.select(
         *kept, "host", "path", best["rule"].alias("rule"),
