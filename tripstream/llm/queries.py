@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import html_consensus as html
 from . import quality_rules as quality
 from . import sentencepiece_agenda as pieces
 from . import token_counts as tokens
+from . import toxicity_mil as toxicity
 from . import url_rules as urls
 from . import wu_manber as leaks
+from .common import crc_mod
 
 #: (host, path, verdict) of the registered URL rules.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -35,12 +39,26 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_rules(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score_documents(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted",
+                         F.size("offending").cast("long").alias("n_offending"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"),
                                    with_ids=False, with_text=False, keep=["doc_id"])
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_pages(pages, keep=["page_id", "url"])
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
@@ -54,9 +72,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op3_sentencepiece": op3_sentencepiece,
         "op5_quality_rules": op5_quality_rules,
         "op6_url_filters": op6_url_filters,
+        "op7_html_extraction": op7_html_extraction,
         "op8_token_counts": op8_token_counts,
         "op10_decontamination": op10_decontamination,
     }
