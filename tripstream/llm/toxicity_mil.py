@@ -7,8 +7,9 @@ noisy-or of its sentences, 1 - prod(1 - p), and the weights are fitted to the
 document labels through it, so the sentences that make a document toxic are
 learnt without sentence labels and can be located afterwards.
 
-The model is fitted on a bounded sample of labelled rows (``SAMPLE_DOCS`` ids
-with the smallest hash, texts up to ``SAMPLE_CHARS`` characters; longer texts
+The model is fitted on a bounded sample of labelled rows (the ids
+with the smallest hash, ``SAMPLE_TOXIC`` of the toxic and ``SAMPLE_CLEAN`` of the
+clean ones, weighted by the share of their label among all labelled rows; texts up to ``SAMPLE_CHARS`` characters; longer texts
 are left to other rows, never cut). Scoring covers every whole text; its cost
 per batch is one weight sum per distinct word.
 
@@ -30,9 +31,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, strings_between, text_bytes
+from .common import map_texts, strings_between, text_bytes, write_table
 
-SAMPLE_DOCS = 8_000
+SAMPLE_TOXIC = 1_500
+SAMPLE_CLEAN = 3_500
 SAMPLE_CHARS = 20_000
 FEATURE_BITS = 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -51,8 +53,11 @@ def _feature(kind: int, text: str) -> int:
 def word_features(words: list[str]) -> np.ndarray:
     """Feature numbers per word: the word, then its prefixes; a prefix longer
     than the word repeats the word's own number with another kind."""
-    return np.array([[_feature(0, w)] + [_feature(k, w[:k]) for k in PREFIXES] for w in words],
-                    dtype=np.int64).reshape(len(words), 1 + len(PREFIXES))
+    out = np.empty((len(words), 1 + len(PREFIXES)), dtype=np.int32)
+    out[:, 0] = [_feature(0, w) for w in words]
+    for column, k in enumerate(PREFIXES, 1):
+        out[:, column] = [_feature(k, w[:k]) for w in words]
+    return out
 
 
 @dataclass
@@ -107,6 +112,24 @@ def _group_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sample_sentences(texts: list[str], step: int = 200) -> Sentences:
+    """``split_sentences`` of the sample, ``step`` texts at a time, with one
+    numbering of the words (small temporary arrays on the driver)."""
+    numbers: dict[str, int] = {}
+    words, sentences = 0, 0
+    number, first_word, first_sentence = [], [np.zeros(1, np.int32)], [np.zeros(1, np.int32)]
+    for k in range(0, len(texts), step):
+        s = split_sentences(pa.array(texts[k:k + step], pa.string()))
+        known = np.array([numbers.setdefault(w, len(numbers)) for w in s.words], dtype=np.int32)
+        number.append(known[s.number] if len(known) else s.number.astype(np.int32))
+        first_word.append((s.first_word[1:] + words).astype(np.int32))
+        first_sentence.append((s.first_sentence[1:] + sentences).astype(np.int32))
+        words += len(s.number)
+        sentences += len(s.first_word) - 1
+    return Sentences(list(numbers), np.concatenate(number), np.concatenate(first_word),
+                     np.concatenate(first_sentence), np.zeros((0, 2), np.int64))
+
+
 class Model:
     """Feature weights and bias; scores of sentences and documents."""
 
@@ -126,19 +149,26 @@ class Model:
         return np.clip(doc, 0, 1), p
 
 
-def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS, l1_docs: float = 6.0) -> Model:
+def fit(texts: list[str], labels: np.ndarray, rate: float | None = None, steps: int = STEPS,
+        l1_docs: float = 2.0) -> Model:
     """Weights by full-batch Adam on the noisy-or likelihood. Weights are evidence
     for toxicity only (never negative). In the first half of the steps a feature
     needs the pull of more than ``l1_docs`` documents to grow; the second half
-    refits those that did, with a tenth of that."""
+    refits those that did, with a tenth of that. ``rate`` is the
+    share of toxic documents, if the sample has another one."""
     labels = np.asarray(labels, dtype=np.float64)
     weights = np.zeros(1 << FEATURE_BITS)
-    rate = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-4, 1 - 1e-4))
+    share = float(labels.mean()) if len(labels) else 0.0
+    rate = float(np.clip(share if rate is None else rate, 1e-4, 1 - 1e-4))
     if len(labels) == 0 or labels.min() == labels.max():
         return Model(weights.astype(np.float32), float(np.log(rate / (1 - rate))))
-    s = split_sentences(pa.array(texts, pa.string()))
-    used, column = np.unique(word_features(s.words), return_inverse=True)
-    column = column.reshape(len(s.words), -1)
+    s = _sample_sentences(texts)
+    column = word_features(s.words)
+    used = np.flatnonzero(np.bincount(column.ravel(), minlength=1 << FEATURE_BITS))
+    place = np.zeros(1 << FEATURE_BITS, dtype=np.int32)
+    place[used] = np.arange(len(used))
+    column, number = place[column], s.number
+    weight = np.where(labels > 0, rate / share, (1 - rate) / (1 - share))
     mean = max(1.0, len(s.first_word) / len(labels))
     bias = float(np.log(rate / mean / (1 - rate / mean)))
     w = np.zeros(len(used))
@@ -149,15 +179,15 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS, l1_docs: float
         if t == steps // 2:
             chosen = w > 0
         pull = l1_docs / len(labels) * (1.0 if t < steps // 2 else 0.1)
-        z = w[column].sum(axis=1)
-        p = 1 / (1 + np.exp(-np.clip(_group_sums(z[s.number], s.first_word) + bias, -40, 40)))
+        z = sum(w[c] for c in column.T)
+        p = 1 / (1 + np.exp(-np.clip(_group_sums(z[number], s.first_word) + bias, -40, 40)))
         miss = np.exp(_group_sums(np.log1p(-np.minimum(p, 1 - 1e-9)), s.first_sentence))
         hit = np.maximum(1 - miss, 1e-6)
         # d loss / d logit of a sentence: p where the document is clean,
         # -p (1 - P) / P where it is toxic
-        g = p * np.repeat(np.where(labels > 0, -miss / hit, 1.0), per_text) / len(labels)
-        by_word = np.bincount(s.number, weights=np.repeat(g, words_of), minlength=len(s.words))
-        gw = np.bincount(column.ravel(), weights=np.repeat(by_word, column.shape[1]), minlength=len(used)) + pull
+        g = p * np.repeat(weight * np.where(labels > 0, -miss / hit, 1.0), per_text) / len(labels)
+        by_word = np.bincount(number, weights=np.repeat(g, words_of), minlength=len(s.words))
+        gw = sum(np.bincount(c, weights=by_word, minlength=len(used)) for c in column.T) + pull
         gb = g.sum()
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
@@ -171,18 +201,26 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS, l1_docs: float
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
+          label_col: str = "toxic", sample_toxic: int = SAMPLE_TOXIC,
+          sample_clean: int = SAMPLE_CLEAN, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Fit on labelled rows for which ``learn`` (a condition on the id) holds."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
              .groupBy("id").agg(F.max("label").alias("label")))
     texts = (docs.where(learn).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .where(F.length("text") <= sample_chars))
-    chosen = (texts.select("id").distinct().join(known, "id")
-              .orderBy(F.xxhash64("id"), "id").limit(sample_docs))
-    # bounded by the two parameters; of rows that share an id the first text counts
+    learnt = write_table(texts.select("id").distinct().join(known, "id"), "toxicity-labels")
+    counts = learnt.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("toxic")).first()
+    if not counts["n"]:
+        return fit([], np.zeros(0))
+    by_hash = [F.xxhash64("id"), F.col("id")]
+    chosen = (learnt.where("label > 0").orderBy(*by_hash).limit(sample_toxic)
+              .unionByName(learnt.where("label <= 0").orderBy(*by_hash).limit(sample_clean)))
+    # bounded by the three parameters; of rows that share an id the first text counts
     rows = (texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
             .orderBy(F.xxhash64("id"), "id").collect())
-    return fit([r["text"] for r in rows], np.array([r["label"] for r in rows]))
+    texts, known = [r["text"] for r in rows], np.array([r["label"] for r in rows])
+    del rows
+    return fit(texts, known, counts["toxic"] / counts["n"])
 
 
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7,
