@@ -13,8 +13,9 @@ reader comments are left out inside the container too, by tag, role, hidden
 state and the words of class and id. Character references are decoded, white
 space inside a block becomes one space, blocks are joined by one newline.
 
-Votes are pre-aggregated before the shuffle, and pages meet their host's winner
-through a salted key, so one host may hold most pages. Null or empty pages give
+Votes are pre-aggregated before the shuffle. Hosts with many pages (more than one
+in a thousand; so there are at most a thousand of them) meet their winner through
+salted keys, so one host may hold most pages. Null or empty pages give
 an empty text; a null URL counts as the empty host. Repeated pages are extracted
 one by one; input columns named like an output are replaced.
 """
@@ -28,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, write_table
 from .url_rules import url_parts
 
-#: Pieces into which the pages of one host are dealt for the join.
-SALTS = 16
+#: A host with more than one in so many pages is dealt out for the join.
+HOT = 1000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
@@ -249,7 +250,7 @@ def page_text(source: str, path: str | None) -> str:
 
 
 def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html",
-                  salts: int = SALTS, keep: list[str] | None = None) -> DataFrame:
+                  hot: int = HOT, keep: list[str] | None = None) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (its code points) of the main text."""
     kept = [c for c in (pages.columns if keep is None else keep) if c.lower() not in ("text", "n_chars")]
     source = pages.select(*[F.col(f"`{c}`") for c in kept], url_parts(F.col(url_col))[0].alias("__h_host"),
@@ -259,13 +260,21 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
         return lambda texts: [pa.array([page_vote(t) if t else None for t in texts.to_pylist()], pa.string())]
 
     # a vote is one page; equally many votes: the path first in order wins
-    counted = (map_texts(source, "__h_html", "__h_path string", votes, ["__h_host"])
-               .where(F.col("__h_path").isNotNull())
-               .groupBy("__h_host", "__h_path").agg(F.count(F.lit(1)).alias("n")))
-    winners = (counted.groupBy("__h_host").agg(F.min(F.struct((-F.col("n")).alias("n"), "__h_path")).alias("best"))
-               .select(F.col("__h_host").alias("__h_key"), F.col("best.__h_path").alias("__h_best"),
-                       F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__h_part")))
-    dealt = source.withColumn("__h_salt", F.pmod(F.xxhash64("__h_html"), F.lit(salts)).cast("int"))
+    counted = write_table(map_texts(source, "__h_html", "__h_path string", votes, ["__h_host"])
+                          .where(F.col("__h_path").isNotNull())
+                          .groupBy("__h_host", "__h_path").agg(F.count(F.lit(1)).alias("n")), "html-votes")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    best = F.min(F.struct((-F.col("n")).alias("n"), "__h_path"))
+    hosts = counted.groupBy(F.col("__h_host").alias("__h_key")).agg(
+        best["__h_path"].alias("__h_best"),
+        F.floor(F.sum("n") * F.lit(hot) / F.lit(max(total, 1))).cast("int").alias("__h_deals"))
+    # at most `hot` hosts have one in `hot` pages each: a bounded broadcast
+    busy = hosts.where("__h_deals > 0").select(F.col("__h_key").alias("__h_busy"), "__h_deals")
+    dealt = (source.join(F.broadcast(busy), F.col("__h_host") == F.col("__h_busy"), "left")
+             .withColumn("__h_salt", F.pmod(F.xxhash64("__h_html"),
+                                            F.coalesce("__h_deals", F.lit(0)) + 1).cast("int"))
+             .drop("__h_busy", "__h_deals"))
+    winners = hosts.select("__h_key", "__h_best", F.explode(F.sequence(F.lit(0), "__h_deals")).alias("__h_part"))
     joined = dealt.join(winners, (F.col("__h_host") == F.col("__h_key")) & (F.col("__h_salt") == F.col("__h_part")),
                         "left")
     # the page and its host's path go to the extractor as one text
