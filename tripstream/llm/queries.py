@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html_consensus as html
+from . import order_minhash as near
 from . import quality_rules as quality
+from . import sentence_span_dedup as spans
 from . import sentencepiece_agenda as pieces
 from . import token_counts as tokens
 from . import toxicity_mil as toxicity
@@ -26,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.remove_repeated_spans(docs)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality.quality_rules(docs)
@@ -64,6 +71,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near.near_duplicates(docs)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = leaks.decontaminate(docs, _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -74,10 +86,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": op2_toxicity,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_url_filters": op6_url_filters,
         "op7_html_extraction": op7_html_extraction,
         "op8_token_counts": op8_token_counts,
+        "op9_minhash_dedup": op9_minhash_dedup,
         "op10_decontamination": op10_decontamination,
     }
 
