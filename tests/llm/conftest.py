@@ -1,0 +1,20 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def docs_of(spark):
+    """DataFrame of (doc_id, text) rows with extra columns of clashing names."""
+    def make(rows, extra=True):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        if extra:
+            for name in ("n_tokens", "score", "n_words", "word", "run", "keys", "copy", "bucket", "path", "rule"):
+                df = df.selectExpr("*", f"'x' AS {name}")
+        return df
+    return make

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html_consensus as html
+from . import kneser_ney as lm
 from . import order_minhash as near
 from . import quality_rules as quality
 from . import sentence_span_dedup as spans
@@ -46,6 +47,15 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_rules(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
+    model = lm.train_model(docs, ~held_out)
+    scored = lm.score_documents(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -84,6 +94,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_toxicity": op2_toxicity,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_substring_dedup": op4_substring_dedup,
