@@ -93,7 +93,7 @@ class Kmers:
             return keys
         starts, size = self.ends[:-1][full], np.diff(self.ends)[full]
         for r in range(count):
-            value = mix(self.labelled ^ mix(np.uint64(r + 1) * _A))
+            value = mix(self.labelled ^ mix(np.array([r + 1], np.uint64) * _A))
             picked = np.full((len(full), minima), len(value), dtype=np.int64)
             for t in range(minima):
                 low = np.minimum.reduceat(value, starts)
@@ -257,10 +257,9 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    sketches: int = SKETCHES, minima: int = MINIMA, hubs: int = HUBS) -> DataFrame:
-    """One row per document: its id, ``class_id`` (the smallest id of its group)
-    and ``copy_class`` (a hash of its words; null without words)."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, sketches: int, minima: int,
+            hubs: int) -> DataFrame:
+    """(copy, rep, root): the group of every class of exact copies."""
     classes = write_table(_classes(docs, id_col, text_col, sketches, minima), "omh-classes")
     members = classes.select(F.explode("keys").alias("bucket"), "copy")
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
@@ -273,14 +272,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                    & texts["__o_id"].eqNullSafe(wanted["__o_rep"]))
                         .select(texts["copy"], "kmers").dropDuplicates(["copy"]), "omh-kmers")
     roots = components(_links(members, kmers, threshold, hubs))
-    rooted = classes.select("copy", "rep").join(roots, "copy", "left") \
+    return classes.select("copy", "rep").join(roots, "copy", "left") \
         .select("copy", "rep", F.coalesce("root", "copy").alias("root"))
-    heads = rooted.groupBy("root").agg(F.min("rep").alias("class_id"))
-    named = rooted.join(heads, "root").select("copy", "class_id")
 
+
+def _copies(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` and ``__o_copy``, the hash of the text's words."""
     def make():
         return lambda text: [pa.array(Kmers(text).copies(), pa.int64())]
-    copies = map_texts(docs.select(F.col(id_col), F.col(text_col)), text_col, "copy_class long", make, [id_col])
-    return (copies.join(named, copies["copy_class"] == named["copy"], "left")
-            .select(F.col(id_col), F.when(F.col("copy_class").isNull(), F.col(id_col))
-                    .otherwise(F.col("class_id")).alias("class_id"), "copy_class"))
+    return map_texts(docs, text_col, "__o_copy long", make, keep)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                    sketches: int = SKETCHES, minima: int = MINIMA, hubs: int = HUBS) -> DataFrame:
+    """One row per document: its id, ``class_id`` (the smallest id of its group)
+    and ``copy_class`` (a hash of its words; null without words)."""
+    groups = _groups(docs, id_col, text_col, threshold, sketches, minima, hubs)
+    heads = groups.groupBy("root").agg(F.min("rep").alias("__o_head"))
+    named = groups.join(heads, "root").select("copy", "__o_head")
+    copies = _copies(docs.select(id_col, text_col), text_col, [id_col])
+    return (copies.join(named, F.col("__o_copy") == F.col("copy"), "left")
+            .select(F.col(id_col), F.when(F.col("__o_copy").isNull(), F.col(id_col))
+                    .otherwise(F.col("__o_head")).alias("class_id"), F.col("__o_copy").alias("copy_class")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+             sketches: int = SKETCHES, minima: int = MINIMA, hubs: int = HUBS) -> DataFrame:
+    """``docs`` with one document of each group: that of the smallest id (of
+    texts that share it, of the smallest word hash), once if it is repeated.
+    Texts without words stay, repeated ones once per id."""
+    groups = _groups(docs, id_col, text_col, threshold, sketches, minima, hubs)
+    keys = _copies(docs.select(id_col, text_col), text_col, [id_col]).where("__o_copy IS NOT NULL")
+    stays = (keys.join(groups.select("copy", "root"), F.col("__o_copy") == F.col("copy"))
+             .groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                                                 F.col("copy").alias("copy"))).alias("s"))
+             .select(F.col("s.id").alias("__o_id"), F.col("s.copy").alias("__o_stays")))
+    whole = _copies(docs, text_col, list(docs.columns))
+    return (whole.join(stays, F.col(id_col).eqNullSafe(F.col("__o_id"))
+                       & F.col("__o_copy").eqNullSafe(F.col("__o_stays")), "left")
+            .where("__o_copy IS NULL OR __o_stays IS NOT NULL")
+            .dropDuplicates([id_col, "__o_copy"]).select(*[F.col(f"`{c}`") for c in docs.columns]))

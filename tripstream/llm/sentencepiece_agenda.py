@@ -203,9 +203,12 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", c
                     texts.append(decoded)
             out = [pa.array(counts, pa.int64()), pa.array(id_hash, pa.string()), pa.array(text_hash, pa.string())]
             if with_ids:
-                flat = [i for k in order for i in ids[k]]
+                flat = np.array([i for x in ids for i in x], dtype=np.int32)
+                begin = np.r_[0, np.cumsum(size)][number]
                 ends = np.r_[0, np.cumsum(counts)].astype(np.int32)
-                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())))
+                own = size[number]
+                at = np.repeat(begin - (np.cumsum(own) - own), own) + np.arange(own.sum())
+                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[at])))
             if with_text:
                 out.append(pa.array(texts, pa.string()))
             return out
