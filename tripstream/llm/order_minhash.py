@@ -2,10 +2,11 @@
 
 A text is its sequence of words (runs of ASCII letters and digits, lower-cased,
 and characters beyond ASCII) and of their k-mers, five consecutive words each,
-labelled by occurrence so that every k-mer of a text is distinct. For each of
-``sketches`` hash functions the ``minima`` smallest k-mers are taken and put back
-into text order; their hash is a bucket key. Two texts meet in a bucket if the
-same k-mers are smallest in both and come in the same order.
+labelled by occurrence so that every k-mer of a text is distinct. ``HASHES`` hash
+functions give as many smallest k-mers; each of ``sketches`` fixed choices of
+``minima`` among them, put back into text order, is hashed to a bucket key. Two
+texts meet in a bucket if the same k-mers are smallest in both and come in the
+same order: at similarity 0.8 all but about 0.2 % of the pairs do.
 
 Candidates are verified by banded alignment of the two k-mer sequences: matches
 further than the band from the diagonal cannot be part of a good enough
@@ -15,10 +16,11 @@ Jaccard similarity; texts at ``threshold`` or more are linked. The groups are th
 connected components.
 
 Exact copies (equal words) are one class with one set of keys, so thousands of
-copies cost one row after pre-aggregation. A bucket never emits all its pairs:
-each round, its open members are compared with a few hubs among them; those that
-match a hub are done, the others go on to the next round until none is open.
-Hubs with many members are dealt out by salted keys.
+copies cost one row after pre-aggregation. A bucket of up to ``SMALL`` classes is
+compared pair by pair. A larger one never emits all its pairs: its members are
+compared with one hub, the class that meets most others; those that match are
+done, the others go on, in finer buckets of two keys, until no bucket has any
+left. Hubs with many members are dealt out by salted keys.
 
 Texts without words are alone in their group; texts of fewer than five words are
 grouped with exact copies only. Null ids take part and get the group's smallest
@@ -35,20 +37,33 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, write_table
+from .common import map_texts, shared_path, write_table
 from .wu_manber import split_words
 
 KMER = 5
-SKETCHES = 24
-MINIMA = 4
+HASHES = 96
+SKETCHES = 32
+MINIMA = 6
 THRESHOLD = 0.8
-#: Hubs that a bucket's open members are compared with in the rounds after the first.
-HUBS = 8
+#: Buckets of so many classes are compared pair by pair.
+SMALL = 16
+#: Finer buckets that an open member enters for each one it was in, and the
+#: rounds in which buckets are made finer.
+FINER, ROUNDS = 2, 4
 #: Members of one hub that one join key takes.
 DEALT = 500
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_MAX = np.uint64(2**64 - 1)
+
+
+_DRAW = np.random.Generator(np.random.PCG64(20))
+_ODD = [int(x) | 1 for x in _DRAW.integers(0, 2**64, HASHES, dtype=np.uint64)]
+
+
+def _choices(count: int, minima: int) -> list[np.ndarray]:
+    """The hash functions of each sketch, the same on every worker."""
+    draw = np.random.Generator(np.random.PCG64(21))
+    return [draw.choice(HASHES, minima, replace=False) for _ in range(count)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,26 +101,29 @@ class Kmers:
         return [xxhash.xxh64_intdigest(raw[a:b]) - 2**63 if b > a else None for a, b in zip(f, f[1:])]
 
     def sketches(self, count: int, minima: int) -> np.ndarray:
-        """Bucket keys, one row per text with k-mers (see ``owners``)."""
+        """Bucket keys, one row per text with k-mers, in order of the texts."""
         full = np.flatnonzero(np.diff(self.ends) > 0)
         keys = np.zeros((len(full), count), dtype=np.int64)
         if not len(full):
             return keys
         starts, size = self.ends[:-1][full], np.diff(self.ends)[full]
-        for r in range(count):
-            value = mix(self.labelled ^ mix(np.array([r + 1], np.uint64) * _A))
-            picked = np.full((len(full), minima), len(value), dtype=np.int64)
-            for t in range(minima):
-                low = np.minimum.reduceat(value, starts)
-                hit = np.flatnonzero((value == np.repeat(low, size)) & (value != _MAX))
-                row, once = np.unique(np.searchsorted(starts, hit, side="right") - 1, return_index=True)
-                picked[row, t] = hit[once]
-                value[hit[once]] = _MAX
-            picked.sort(axis=1)            # back into text order
-            padded = np.r_[self.labelled, np.uint64(0)]
+        # a smallest value brings its place in the text along in its low bits
+        bits = max(int(size.max()) - 1, 1).bit_length()
+        place = (np.arange(len(self.labelled)) - np.repeat(starts, size)).astype(np.uint64)
+        high = ~np.uint64((1 << bits) - 1)
+        lowest = np.empty((len(full), HASHES), dtype=np.int64)
+        for h in range(HASHES):
+            value = self.labelled * np.uint64(_ODD[h])
+            value ^= value >> np.uint64(32)
+            value *= _B
+            value &= high
+            value |= place
+            lowest[:, h] = (np.minimum.reduceat(value, starts) & ~high).astype(np.int64)
+        for r, chosen in enumerate(_choices(count, minima)):
+            at = np.sort(lowest[:, chosen], axis=1) + starts[:, None]      # back into text order
             key = np.full(len(full), np.uint64(r), dtype=np.uint64)
             for t in range(minima):
-                key = mix(key * _A + padded[picked[:, t]])
+                key = mix(key * _A + self.labelled[at[:, t]])
             keys[:, r] = key.view(np.int64)
         return keys
 
@@ -201,39 +219,48 @@ def _verified(pairs: DataFrame, kmers: DataFrame, threshold: float) -> DataFrame
     return both.mapInArrow(run, "hub long, copy long, linked boolean")
 
 
-def _links(members: DataFrame, kmers: DataFrame, threshold: float, hubs: int) -> DataFrame:
-    """Verified links (hub, copy) among the members of each bucket."""
+def _crowded(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several, with ``n``, the bucket's size."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return members.join(sizes, "bucket")
+
+
+def _links(classes: DataFrame, members: DataFrame, kmers: DataFrame, threshold: float) -> DataFrame:
+    """Verified links (hub, copy) among the members (bucket, copy) of each bucket."""
     spark = members.sparkSession
-    links = spark.createDataFrame([], "hub long, copy long")
-    tested = spark.createDataFrame([], "hub long, copy long, linked boolean")
-    everyone, first = members, True
+    schema = "hub long, copy long, linked boolean"
+    paths: list[str] = []
+    members = write_table(_crowded(members), "omh-members")
+    # pre-aggregated: how many others a class meets, over all its buckets
+    weight = write_table(members.groupBy("copy").agg(F.sum("n").alias("weight")), "omh-weights")
+    level = 0
     while True:
-        # open members' smallest class per part of the bucket is a hub
-        part = F.lit(0) if first else F.pmod(F.xxhash64("copy"), F.lit(hubs))
-        chosen = (members.withColumn("part", part).groupBy("bucket", "part")
-                  .agg(F.min("copy").alias("hub"), F.count(F.lit(1)).alias("n")))
-        several = chosen.groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1").select("bucket")
-        chosen = chosen.join(several, "bucket", "left_semi").select("bucket", "hub")
-        # hubs of later rounds meet members that are done as well, so that no
-        # link between the hubs' groups is lost
-        trial = write_table(everyone.join(chosen, "bucket").where("copy <> hub")
-                            .select(F.least("hub", "copy").alias("hub"), F.greatest("hub", "copy").alias("copy"))
-                            .distinct().join(tested, ["hub", "copy"], "left_anti"), "omh-pairs")
-        if not trial.isEmpty():
-            done = write_table(_verified(trial, kmers, threshold), "omh-tested")
-            tested = tested.unionByName(done)
-            links = links.unionByName(done.where("linked").select("hub", "copy"))
-        both = links.unionByName(links.select(F.col("copy").alias("hub"), F.col("hub").alias("copy")))
-        matched = members.join(chosen, "bucket").join(both, ["hub", "copy"], "left_semi").select("bucket", "copy")
-        members = write_table(
-            members.join(several, "bucket", "left_semi")
-            .join(chosen.withColumnRenamed("hub", "copy"), ["bucket", "copy"], "left_anti")
-            .join(matched, ["bucket", "copy"], "left_anti"), "omh-open")
+        level += 1
+        tested = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        small = members.where(f"n <= {SMALL}").select("bucket", "copy")
+        large = members.where(f"n > {SMALL}").join(weight, "copy")
+        hubs = large.groupBy("bucket").agg(F.max(F.struct("weight", "copy"))["copy"].alias("hub"))
+        stars = large.join(hubs, "bucket").where("copy <> hub")
+        trial = (small.join(small.withColumnRenamed("copy", "hub"), "bucket").where("hub < copy").select("hub", "copy")
+                 .unionByName(stars.select("hub", "copy"))
+                 .select(F.least("hub", "copy").alias("hub"), F.greatest("hub", "copy").alias("copy")).distinct()
+                 .join(tested, ["hub", "copy"], "left_anti"))
+        path = shared_path(spark, "omh-tested")
+        _verified(write_table(trial, "omh-pairs"), kmers, threshold).write.parquet(path)
+        paths.append(path)
+        tested = spark.read.schema(schema).parquet(*paths)
+        links = tested.where("linked").select("hub", "copy")
+        either = links.unionByName(links.select(F.col("copy").alias("hub"), F.col("hub").alias("copy")))
+        left = stars.select("bucket", "copy", "hub").join(either, ["hub", "copy"], "left_anti") \
+            .select("bucket", "copy")
+        if level <= ROUNDS:
+            finer = [F.get("keys", (F.pmod(F.col("bucket"), F.lit(7)) + FINER * level + j) % F.size("keys"))
+                     for j in range(FINER)]
+            left = (left.join(classes.select("copy", "keys"), "copy")
+                    .select(F.explode(F.array(*[F.xxhash64("bucket", k) for k in finer])).alias("bucket"), "copy"))
+        members = write_table(_crowded(left.distinct()), "omh-open")
         if members.isEmpty():
             return links
-        everyone = write_table(everyone.join(members.select("bucket").distinct(), "bucket", "left_semi"),
-                               "omh-members") if first else everyone
-        first = False
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -257,13 +284,11 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, sketches: int, minima: int,
-            hubs: int) -> DataFrame:
+def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, sketches: int,
+            minima: int) -> DataFrame:
     """(copy, rep, root): the group of every class of exact copies."""
     classes = write_table(_classes(docs, id_col, text_col, sketches, minima), "omh-classes")
-    members = classes.select(F.explode("keys").alias("bucket"), "copy")
-    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = write_table(members.join(crowded, "bucket", "left_semi"), "omh-members")
+    members = write_table(_crowded(classes.select(F.explode("keys").alias("bucket"), "copy")).drop("n"), "omh-met")
     # sequences of the classes that meet another one, each from one of its texts
     wanted = (classes.join(members.select("copy").distinct(), "copy", "left_semi")
               .select("copy", F.col("rep").alias("__o_rep")))
@@ -271,7 +296,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, sketc
     kmers = write_table(texts.join(wanted, (texts["copy"] == wanted["copy"])
                                    & texts["__o_id"].eqNullSafe(wanted["__o_rep"]))
                         .select(texts["copy"], "kmers").dropDuplicates(["copy"]), "omh-kmers")
-    roots = components(_links(members, kmers, threshold, hubs))
+    roots = components(_links(classes, members, kmers, threshold))
     return classes.select("copy", "rep").join(roots, "copy", "left") \
         .select("copy", "rep", F.coalesce("root", "copy").alias("root"))
 
@@ -284,10 +309,10 @@ def _copies(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    sketches: int = SKETCHES, minima: int = MINIMA, hubs: int = HUBS) -> DataFrame:
+                    sketches: int = SKETCHES, minima: int = MINIMA) -> DataFrame:
     """One row per document: its id, ``class_id`` (the smallest id of its group)
     and ``copy_class`` (a hash of its words; null without words)."""
-    groups = _groups(docs, id_col, text_col, threshold, sketches, minima, hubs)
+    groups = _groups(docs, id_col, text_col, threshold, sketches, minima)
     heads = groups.groupBy("root").agg(F.min("rep").alias("__o_head"))
     named = groups.join(heads, "root").select("copy", "__o_head")
     copies = _copies(docs.select(id_col, text_col), text_col, [id_col])
@@ -297,11 +322,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-             sketches: int = SKETCHES, minima: int = MINIMA, hubs: int = HUBS) -> DataFrame:
+             sketches: int = SKETCHES, minima: int = MINIMA) -> DataFrame:
     """``docs`` with one document of each group: that of the smallest id (of
     texts that share it, of the smallest word hash), once if it is repeated.
     Texts without words stay, repeated ones once per id."""
-    groups = _groups(docs, id_col, text_col, threshold, sketches, minima, hubs)
+    groups = _groups(docs, id_col, text_col, threshold, sketches, minima)
     keys = _copies(docs.select(id_col, text_col), text_col, [id_col]).where("__o_copy IS NOT NULL")
     stays = (keys.join(groups.select("copy", "root"), F.col("__o_copy") == F.col("copy"))
              .groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
