@@ -87,6 +87,12 @@ def _breaks(rule: Threshold) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once: as a lambda's variable it
+    stays so where a filter is pushed below the projection that made it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def quality_counts(docs: DataFrame, text_col: str = "text", stop_words=STOP_WORDS) -> DataFrame:
     """Add the seven counts (long) to ``docs``."""
     clash = {c.lower() for c in COUNTS}
@@ -97,15 +103,13 @@ def quality_counts(docs: DataFrame, text_col: str = "text", stop_words=STOP_WORD
         F.array_remove(F.split(text, SPACE), "").alias("__q_words"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("__q_lines"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
-    windows = F.when(
-        F.size("__q_words") >= 3,
-        F.transform(F.sequence(F.lit(0), F.size("__q_words") - 3), lambda i: F.struct(
-            F.xxhash64(F.get("__q_words", i), F.get("__q_words", i + 1), F.get("__q_words", i + 2)).alias("h"),
-            i.alias("p"))))
-    step = step.withColumn("__q_sorted", F.sort_array(windows))
+    windows = _let(F.col("__q_words"), lambda w: F.when(
+        F.size(w) >= 3,
+        F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(
+            F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p")))))
     # a window occurs twice or more if its neighbour in hash order has the same hash
-    twice = F.filter("__q_sorted", lambda x, i: (F.get("__q_sorted", i + 1)["h"] == x["h"])
-                     | (F.get("__q_sorted", i - 1)["h"] == x["h"]))
+    twice = _let(F.sort_array(windows), lambda s: F.filter(
+        s, lambda x, i: (F.get(s, i + 1)["h"] == x["h"]) | (F.get(s, i - 1)["h"] == x["h"])))
     starts = F.sort_array(F.transform(twice, lambda x: x["p"]))
     # windows cover [p, p + 3); in order of p, each adds what the last did not cover
     covered = F.aggregate(
