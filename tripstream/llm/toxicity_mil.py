@@ -131,9 +131,10 @@ def _sample_sentences(texts: list[str], step: int = 200) -> Sentences:
 
 
 class Model:
-    """Feature weights and bias; scores of sentences and documents."""
+    """Feature weights and bias; scores of sentences and documents. Without
+    weights every document's score is that of the bias."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
+    def __init__(self, weights: np.ndarray | None, bias: float):
         self.weights, self.bias = weights, bias
 
     def word_weights(self, words: list[str]) -> np.ndarray:
@@ -141,6 +142,8 @@ class Model:
 
     def score(self, s: Sentences) -> tuple[np.ndarray, np.ndarray]:
         """(document scores, sentence scores)."""
+        if self.weights is None:
+            return np.full(len(s.first_sentence) - 1, 1 / (1 + np.exp(-self.bias))), np.zeros(len(s.first_word) - 1)
         logit = _group_sums(self.word_weights(s.words)[s.number], s.first_word) + self.bias
         p = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
         miss = _group_sums(np.log1p(-np.minimum(p, 1 - 1e-12)), s.first_sentence)
@@ -150,35 +153,37 @@ class Model:
 
 
 def fit(texts: list[str], labels: np.ndarray, rate: float | None = None, steps: int = STEPS,
-        l1_docs: float = 2.0) -> Model:
+        least: float = 4.0, share: float = 0.05) -> Model:
     """Weights by full-batch Adam on the noisy-or likelihood. Weights are evidence
     for toxicity only (never negative). In the first half of the steps a feature
-    needs the pull of more than ``l1_docs`` documents to grow; the second half
-    refits those that did, with a tenth of that. ``rate`` is the
+    needs the pull of more toxic documents than ``least`` and than a ``share`` of
+    them (one sentence's part of each) to grow; the second half refits those that
+    did, with a tenth of that. ``rate`` is the
     share of toxic documents, if the sample has another one."""
     labels = np.asarray(labels, dtype=np.float64)
     weights = np.zeros(1 << FEATURE_BITS)
-    share = float(labels.mean()) if len(labels) else 0.0
-    rate = float(np.clip(share if rate is None else rate, 1e-4, 1 - 1e-4))
+    own = float(labels.mean()) if len(labels) else 0.0
+    rate = float(np.clip(own if rate is None else rate, 1e-4, 1 - 1e-4))
     if len(labels) == 0 or labels.min() == labels.max():
-        return Model(weights.astype(np.float32), float(np.log(rate / (1 - rate))))
+        return Model(None, float(np.log(rate / (1 - rate))))
     s = _sample_sentences(texts)
     column = word_features(s.words)
     used = np.flatnonzero(np.bincount(column.ravel(), minlength=1 << FEATURE_BITS))
     place = np.zeros(1 << FEATURE_BITS, dtype=np.int32)
     place[used] = np.arange(len(used))
     column, number = place[column], s.number
-    weight = np.where(labels > 0, rate / share, (1 - rate) / (1 - share))
+    weight = np.where(labels > 0, rate / own, (1 - rate) / (1 - own))
     mean = max(1.0, len(s.first_word) / len(labels))
     bias = float(np.log(rate / mean / (1 - rate / mean)))
     w = np.zeros(len(used))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     per_text = np.diff(s.first_sentence)
     words_of = np.diff(s.first_word)
+    first = max(least, share * labels.sum()) * rate / own / mean / len(labels)
     for t in range(1, steps + 1):
         if t == steps // 2:
             chosen = w > 0
-        pull = l1_docs / len(labels) * (1.0 if t < steps // 2 else 0.1)
+        pull = first if t < steps // 2 else 0.1 * first
         z = sum(w[c] for c in column.T)
         p = 1 / (1 + np.exp(-np.clip(_group_sums(z[number], s.first_word) + bias, -40, 40)))
         miss = np.exp(_group_sums(np.log1p(-np.minimum(p, 1 - 1e-9)), s.first_sentence))
