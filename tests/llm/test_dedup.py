@@ -186,6 +186,7 @@ def test_groups_match_brute_force(spark, docs_of, monkeypatch):
     got = {r["doc_id"]: r["class_id"] for r in near.near_duplicates(docs_of(docs)).collect()}
     assert got == want
     monkeypatch.setattr(near, "SMALL", 3)
+    monkeypatch.setattr(near, "SMALL_FINER", 2)
     monkeypatch.setattr(near, "DEALT", 4)
     assert {r["doc_id"]: r["class_id"] for r in near.near_duplicates(docs_of(docs)).collect()} == want
 

@@ -45,8 +45,8 @@ HASHES = 96
 SKETCHES = 32
 MINIMA = 6
 THRESHOLD = 0.8
-#: Buckets of so many classes are compared pair by pair.
-SMALL = 16
+#: Buckets of so many classes are compared pair by pair; finer ones of so many.
+SMALL, SMALL_FINER = 16, 4
 #: Finer buckets that an open member enters for each one it was in, and the
 #: rounds in which buckets are made finer.
 FINER, ROUNDS = 2, 4
@@ -237,8 +237,9 @@ def _links(classes: DataFrame, members: DataFrame, kmers: DataFrame, threshold:
     while True:
         level += 1
         tested = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-        small = members.where(f"n <= {SMALL}").select("bucket", "copy")
-        large = members.where(f"n > {SMALL}").join(weight, "copy")
+        few = SMALL if level == 1 else SMALL_FINER
+        small = members.where(f"n <= {few}").select("bucket", "copy")
+        large = members.where(f"n > {few}").join(weight, "copy")
         hubs = large.groupBy("bucket").agg(F.max(F.struct("weight", "copy"))["copy"].alias("hub"))
         stars = large.join(hubs, "bucket").where("copy <> hub")
         trial = (small.join(small.withColumnRenamed("copy", "hub"), "bucket").where("hub < copy").select("hub", "copy")
