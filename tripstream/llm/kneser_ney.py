@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from .common import map_texts, shared_path, strings_between, text_bytes, write_table
 
-STEP = 24 << 20
+STEP = 12 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

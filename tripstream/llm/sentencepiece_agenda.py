@@ -214,4 +214,4 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", c
             return out
         return work
 
-    return map_texts(docs, text_col, fields, make, keep, step_bytes=24 << 20)
+    return map_texts(docs, text_col, fields, make, keep, step_bytes=12 << 20)

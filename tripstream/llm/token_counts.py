@@ -236,4 +236,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text", l
         return work
 
     return map_texts(docs, text_col, "n_bytes long, n_tokens long, over_limit boolean", make, keep,
-                     step_bytes=24 << 20)
+                     step_bytes=12 << 20)

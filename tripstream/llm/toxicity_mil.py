@@ -253,4 +253,4 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text", thres
         return work
 
     return map_texts(docs, text_col, "score double, predicted int, "
-                     "offending array<struct<start:int,end:int,score:double>>", make, keep, step_bytes=24 << 20)
+                     "offending array<struct<start:int,end:int,score:double>>", make, keep, step_bytes=8 << 20)
