@@ -54,21 +54,30 @@ def test_scale_conf_sizes_partitions():
     assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
-def test_measured_bucket_width_splits_dense_keys(spark):
-    from tripstream.plans.prefix import auto_width, order_bucket
-    df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"),
-                                  F.col("id").alias("id"), F.lit(1.0).alias("v"))
-    w = auto_width(df, ["k"], F.col("t"), target_rows=100)
-    assert 1 <= w <= 5000 * 100 // 1666 + 1
-    assert auto_width(df, ["k"], F.col("t"), target_rows=10_000) is None   # no key needs splitting
-    assert order_bucket(df, ["k"], F.col("t"), None, 10_000) is None
-    got = keyed_scan(df, ["k"], ["t", "id"], order_bucket(df, ["k"], F.col("t"), None, 100),
-                     {"c": ("count", F.col("v"))})
-    assert got.filter(F.col("c") != F.floor(F.col("t") / 3) + 1).count() == 0
-    assert got.select(F.floor(F.col("t") / w)).distinct().count() > 10
-
-
-def test_plain_scan_path_equals_bucketed(spark):
+def test_bursts_ties_and_outliers_are_split(spark):
+    """One key, most rows at one instant and an outlier: no part holds most rows."""
+    from tripstream.plans.prefix import ordered_parts
+    df = spark.range(8000).select(F.lit(7).alias("k"), F.when(F.col("id") < 6000, 5).when(F.col("id") < 7999, F.col("id"))
+                                  .otherwise(10**12).alias("t"), "id")
+    parts = ordered_parts(df, ["k"], ["t", "id"]).groupBy("_part").count().collect()
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 4000
+    got = keyed_scan(df, ["k"], ["t", "id"], None, {"c": ("count", F.lit(1))})
+    assert got.where("c <> id + 1").count() == 0
+
+
+def test_null_order_values_in_dealt_and_bucketed_scans(spark):
+    df = spark.createDataFrame([(1, None, 1, None), (1, None, 2, 7), (1, 3, 3, None), (1, 40, 4, 9), (1, 41, 5, None)],
+                               "k int, t int, id int, v int")
+    specs = {"n": ("next", F.col("v")), "l": ("last", F.col("v")), "s": ("sum", F.col("v"))}
+    want = [(1, 7, None, 0), (2, 7, 7, 7), (3, 9, 7, 7), (4, 9, 9, 16), (5, None, 9, 16)]
+    for bucket in (None, F.floor(F.col("t") / 10)):
+        got = keyed_scan(df, ["k"], ["t", "id"], bucket, specs)
+        assert sorted(tuple(r) for r in got.select("id", "n", "l", "s").collect()) == want
+        back = keyed_scan(df, ["k"], ["t", "id"], bucket, {"l": ("last", F.col("v"))}, reverse=True)
+        assert sorted(tuple(r) for r in back.select("id", "l").collect()) == [(1, 7), (2, 7), (3, 9), (4, 9), (5, None)]
+
+
+def test_dealt_scan_equals_bucketed(spark):
     df = spark.range(300).select((F.col("id") % 4).alias("k"), (F.col("id") * 7 % 101).alias("t"),
                                  F.col("id").alias("id"), (F.col("id") % 5).cast("double").alias("v"))
     specs = {"s": ("sum", F.col("v")), "l": ("last", F.col("v")), "n": ("next", F.col("v"))}
@@ -92,10 +101,3 @@ def test_stand_in_values_for_key_types(spark):
                                "k timestamp, s string, t int, v double")
     got = keyed_scan(df, ["k", "s"], ["t"], F.floor(F.col("t") / 10), {"c": ("count", F.col("v"))})
     assert sorted(r.c for r in got.collect()) == [1, 1]
-
-
-def test_auto_width_does_not_overflow_on_long_spans(spark):
-    from tripstream.plans.prefix import auto_width
-    df = spark.range(3000).select(F.lit(1).alias("k"), (F.col("id") * 10_000_000_000_000).alias("t"))
-    w = auto_width(df, ["k"], F.col("t"), target_rows=1000)
-    assert w > 0

@@ -133,3 +133,25 @@ def test_ongoing_rides_for_several_queries(spark):
     got = sorted((r.queryId, r.rideId) for r in op.ongoing_rides_for_queries(df, qs).collect())
     want = sorted((q, r.rideId) for q, m, t in qs for r in op.ongoing_rides(df, m, t).collect())
     assert got == want and len(got) > 0
+
+
+def test_arrivals_window_counts_duplicate_events_one_by_one(spark):
+    """Identical END rows are separate events: each gets its own output row."""
+    df = rides_df(spark, [ride(1, False, 0, 10), ride(1, False, 0, 10), ride(2, False, 0, 15), ride(3, False, 0, 30)])
+    got = op.arrivals_window(df, "10 minutes").collect()
+    assert sorted(r["cnt"] for r in got) == [1, 2, 2, 3]
+
+
+def test_many_queries_and_rules(spark):
+    """Query lists of any length: 20 000 location queries, 2 500 ongoing queries."""
+    df = rides_df(spark, [ride(1, True, 0), ride(2, True, 0, taxi=2), ride(2, False, 0, 10, taxi=2)])
+    near = op.nearest_taxi(df, [(k, -73.9, 40.7) for k in range(20_000)])
+    assert near.count() == 20_000
+    ongoing = op.ongoing_rides_for_queries(df, [(k, 5, "2020-01-01 12:30:00") for k in range(2_500)])
+    assert ongoing.count() == 2_500 and ongoing.select("taxiId").distinct().collect()[0][0] == 1
+
+
+def test_thresholds_are_decided_on_exact_values(spark):
+    df = fares_df(spark, [fare(1, 0, 25.0), fare(2, 1, 25.0000003)])
+    assert op.high_tip_hours(df, 50.0).count() == 1
+    assert op.high_tip_hours(df, 50.0000004).count() == 0

@@ -87,6 +87,17 @@ def test_long_rides(spark, rides, ride_stream):
     assert rows(got) == rows(op.long_rides_pattern(rides))
 
 
+def test_end_dated_before_its_start(spark):
+    """Such a ride has ended: no alert in batch, in the join form or with timers."""
+    from conftest import ride, rides_df
+    df = rides_df(spark, [ride(1, True, 60), ride(1, False, 0, 30), ride(2, True, 0), ride(3, True, 0), ride(3, False, 0, 500)])
+    want = op.long_rides(df)
+    assert sorted(r.rideId for r in want.collect()) == [2, 3]
+    for job in (jobs.long_rides_stream, jobs.long_rides_timer_stream):
+        got = run(job(stage(spark, df, ride_sentinel()))).filter("rideId >= 0")
+        assert rows(got) == rows(want)
+
+
 def test_long_rides_restart_from_checkpoint(spark, rides):
     """Stop after part of the input, restart on the same checkpoint."""
     d = tempfile.mkdtemp(prefix="ts-restart-")
@@ -143,13 +154,17 @@ def test_enrich_and_unmatched(spark, rides):
     fares = fx.fares(spark, SF_SMALL)
     r_stream = stage(spark, rides, ride_sentinel())
     f_stream = stage(spark, fares, [(-2, -1, -1, FAR, "CRD", 0.0, 0.0, 0.0)])
-    got = run(jobs.enrich_rides_stream(r_stream, f_stream))
+    got = run(jobs.enrich_rides_stream(r_stream, f_stream, "1 hour"))
     want = op.enrich_rides(rides, fares)
     assert rows(got) == rows(want)
     r_stream = stage(spark, rides, ride_sentinel())
     f_stream = stage(spark, fares, [(-2, -1, -1, FAR, "CRD", 0.0, 0.0, 0.0)])
-    got = run(jobs.unmatched_fares_stream(r_stream, f_stream, every=10)).filter("rideId >= 0")
+    got = run(jobs.unmatched_fares_stream(r_stream, f_stream, "1 hour", every=10)).filter("rideId >= 0")
     assert rows(got) == rows(op.unmatched_fares(rides, fares, every=10))
+    r_stream = stage(spark, rides, ride_sentinel())
+    f_stream = stage(spark, fares, [(-2, -1, -1, FAR, "CRD", 0.0, 0.0, 0.0)])
+    got = run(jobs.unmatched_rides_stream(r_stream, f_stream, "1 hour", every=10)).filter("rideId >= 0")
+    assert rows(got) == rows(op.unmatched_rides(rides, fares, every=10))
 
 
 def test_car_jobs(spark):

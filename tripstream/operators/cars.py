@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.prefix import event_bucket, keyed_scan
+from ..plans.prefix import duration_bucket, keyed_scan, ordered_parts
 from ..plans.util import interval_seconds
 
 
@@ -25,19 +25,20 @@ def erraticness_desc(x) -> Column:
 
 def segment_stats(events: DataFrame, keys: list, digits: int = 6) -> DataFrame:
     """A11 per group: length, start time, int(max speed), population stddev of
-    throttle (erraticness, rounded) and its description."""
-    err = F.round(F.stddev_pop("throttle"), digits)
+    throttle (erraticness, rounded in the output) and its description, which is
+    decided on the exact value."""
+    err = F.stddev_pop("throttle")
     return (events.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("length"), F.min("eventTime").alias("startTime"),
                  F.max("speed").cast("int").alias("maxSpeed"), err.alias("erraticness"))
-            .withColumn("erraticnessDesc", erraticness_desc("erraticness")))
+            .withColumns({"erraticness": F.round("erraticness", digits),
+                          "erraticnessDesc": erraticness_desc("erraticness")}))
 
 
 def sort_car_events(events: DataFrame, bucket: str | None = None) -> DataFrame:
     """O1: events of each car in event-time order, with their position ``rank``
     (1-based; ties in time broken by id). Range-partitioned global sort."""
-    ranked = keyed_scan(events, ["carId"], ["eventTime", "id"],
-                        event_bucket(events, ["carId"], "eventTime", bucket),
+    ranked = keyed_scan(events, ["carId"], ["eventTime", "id"], duration_bucket("eventTime", bucket),
                         {"rank": ("count", F.lit(1))}, inclusive=True)
     return ranked.orderBy("carId", "rank")
 
@@ -46,8 +47,8 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str | N
     """T5: per car, sessions separated by more than ``gap`` without events (two events
     exactly ``gap`` apart share a session), with segment statistics.
 
-    Batch form with a single shuffle of the events, on (car, time bucket):
-    inside a bucket the previous event comes from ``lag``; the first event of a
+    Batch form over ``ordered_parts`` of the events (or time buckets of a given
+    length), called buckets here: inside a bucket the previous event comes from ``lag``; the first event of a
     bucket is compared with the last event of the car's previous non-empty bucket
     (a window over the small per-bucket table), which also carries the latest
     session start into later buckets. A busy car is therefore split over its
@@ -55,9 +56,11 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str | N
     """
     gap_us = interval_seconds(gap) * 1_000_000
     t = F.col("_t")
-    bk = event_bucket(events, ["carId"], "eventTime", bucket)
+    bk = duration_bucket("eventTime", bucket)
+    if bk is None:
+        events, bk = ordered_parts(events, ["carId"], ["eventTime", "id"]), F.col("_part")
     # car key as (non-null stand-in, null flag) so a null car id is a group of its own
-    ev = events.withColumns({"_bk": bk if bk is not None else F.lit(0),
+    ev = events.withColumns({"_bk": bk,
                              "_t": F.unix_micros("eventTime"),
                              "_kv": F.coalesce(F.col("carId"), F.lit("")),
                              "_kz": F.col("carId").isNull()})
@@ -90,7 +93,7 @@ def _with_stops(events: DataFrame, bucket: str | None) -> DataFrame:
     before their next stop are kept."""
     stop = F.col("speed") == 0.0
     ev = events.withColumn("_isStop", stop)
-    bk = event_bucket(events, ["carId"], "eventTime", bucket)
+    bk = duration_bucket("eventTime", bucket)
     # Stops sort after non-stops of the same instant: looking ahead, an event meets
     # an equal-time stop first, so such events belong to no segment.
     order = ["eventTime", "_isStop", "id"]

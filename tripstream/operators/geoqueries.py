@@ -9,35 +9,39 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import distance_km
 from ..functions.sql import register_sql_functions
-from ..plans.prefix import event_bucket, keyed_scan
-from ..plans.util import bounded_rows, interval_seconds, ts_lit
+from ..plans.prefix import duration_bucket, keyed_scan
+from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 from .rides import end_events, latest_per_taxi
 
-MAX_QUERIES = 10_000
+#: Queries that one joined row carries.
+BLOCK = 1_000
 
 
-def _query_array(queries) -> F.Column:
-    """Location queries as a literal array of structs. The list (or a small
-    DataFrame of queries) is the caller's bounded parameter, checked against
-    MAX_QUERIES, so each ride row is paired with every query by an in-row
-    explode instead of a join."""
-    if isinstance(queries, DataFrame):
-        # (queryId, longitude, latitude) rows, fetched only after checking the bound
-        queries = [tuple(r) for r in bounded_rows(queries, MAX_QUERIES, "location queries")]
-    queries = list(queries)
-    if len(queries) > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} location queries")
-    return F.array(*[F.struct(F.lit(int(q)).alias("queryId"),
-                              F.lit(float(lon)).cast("float").alias("qLon"),
-                              F.lit(float(lat)).cast("float").alias("qLat"))
-                     for q, lon, lat in queries])
+def in_blocks(rows: DataFrame, queries: DataFrame, name: str = "q") -> DataFrame:
+    """``rows`` with every query (a struct column ``name``): the stated query set
+    is packed into blocks of ``BLOCK`` and each row meets each block through an
+    equi-join on its number, however many queries there are."""
+    blocks = max(1, -(-queries.count() // BLOCK))
+    packed = (queries.select(F.pmod(F.xxhash64(*queries.columns), F.lit(blocks)).cast("int").alias("_block"),
+                             F.struct(*queries.columns).alias("_q"))
+              .groupBy("_block").agg(F.collect_list("_q").alias("_queries")))
+    return (rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+            .join(packed, "_block").withColumn(name, F.explode("_queries")).drop("_block", "_queries"))
+
+
+def query_table(spark, queries, schema: str) -> DataFrame:
+    """Queries given as a DataFrame or as a list of tuples."""
+    return queries if isinstance(queries, DataFrame) else spark.createDataFrame(list(queries), schema)
 
 
 def query_distances(rides: DataFrame, queries) -> DataFrame:
-    """J9 + F5: every END ride against every query → (queryId, eventTime, rideId, taxiId, km)."""
-    e = end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat",
-                                 F.explode(_query_array(queries)).alias("q"))
+    """J9 + F5: every END ride against every query (queryId, longitude, latitude; a
+    table or a list of any length) → (queryId, eventTime, rideId, taxiId, km)."""
+    q = query_table(rides.sparkSession, queries, "queryId long, longitude double, latitude double")
+    q = q.toDF("queryId", "qLon", "qLat").select(F.col("queryId").cast("long"), F.col("qLon").cast("float"),
+                                                 F.col("qLat").cast("float"))
+    e = in_blocks(end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat"), q)
     return e.select("q.queryId", "eventTime", "rideId", "taxiId",
                     distance_km("q.qLon", "q.qLat", "endLon", "endLat").cast("float").alias("km"))
 
@@ -49,7 +53,7 @@ def running_minima(reports: DataFrame, key: str = "queryId", order=("eventTime",
     Skew-safe: the earlier minimum comes from ``keyed_scan`` (per-bucket minima,
     prefix over buckets, in-bucket running minimum), so one query's reports are
     spread over many tasks instead of one."""
-    scanned = keyed_scan(reports, [key], list(order), event_bucket(reports, [key], order[0], bucket),
+    scanned = keyed_scan(reports, [key], list(order), duration_bucket(order[0], bucket),
                          {"_prev": ("min", F.col(value))}, inclusive=False)
     return scanned.filter(F.col("_prev").isNull() | (F.col(value) < F.col("_prev"))).drop("_prev")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import direction_angle, direction_bucket, distance_km, to_cell_id
 from ..functions.time import travel_minutes
-from ..plans.prefix import event_bucket, keyed_scan
+from ..plans.prefix import duration_bucket, keyed_scan
 from .rides import clean_rides
 
 _TINY = 10 * 4.9e-324  # below this |sum(x^2)| the slope is undefined
@@ -30,7 +30,7 @@ def predict_travel_time(rides: DataFrame, bucket: str | None = None) -> DataFram
     end = F.col("_isEnd")
     x, y = F.col("distance"), F.col("minutes")
     scanned = keyed_scan(r, ["cell", "direction"], ["eventTime", "_isEnd", "rideId"],
-                         event_bucket(r, ["cell", "direction"], "eventTime", bucket),
+                         duration_bucket("eventTime", bucket),
                          {"_sxy": ("sum", F.when(end, x * y)),
                           "_sxx": ("sum", F.when(end, x * x)),
                           "_n": ("count", F.when(end, F.lit(1)))},

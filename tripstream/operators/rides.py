@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import cell_center_lat, cell_center_lon, is_in_nyc, to_cell_id
 from ..functions.sql import register_sql_functions
 from ..functions.time import time_diff_ms, travel_minutes
-from ..plans.prefix import keyed_scan, order_bucket
+from ..plans.prefix import keyed_scan
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 
@@ -68,17 +68,16 @@ def popular_places(rides: DataFrame, threshold: int = 20, size: str = "15 minute
 
 
 POPULAR_PLACES_SQL = """
-SELECT toCoords(cell).lon AS lon, toCoords(cell).lat AS lat,
-       window.start AS windowStart, window.end AS windowEnd, isStart, popCnt AS cnt
-FROM (
-  SELECT cell, isStart, window, count(isStart) AS popCnt
-  FROM (
-    SELECT eventTime, isStart,
-           CASE WHEN isStart THEN toCellId(startLon, startLat) ELSE toCellId(endLon, endLat) END AS cell
-    FROM {rides}
-    WHERE isInNYC(startLon, startLat) AND isInNYC(endLon, endLat))
-  GROUP BY cell, isStart, window(eventTime, '{size}', '{slide}'))
-WHERE popCnt > {threshold}
+WITH places AS (
+  SELECT eventTime, isStart, if(isStart, toCellId(startLon, startLat), toCellId(endLon, endLat)) AS cell
+  FROM {rides}
+  WHERE isInNYC(startLon, startLat) AND isInNYC(endLon, endLat)
+)
+SELECT first(toCoords(cell).lon) AS lon, first(toCoords(cell).lat) AS lat,
+       window.start AS windowStart, window.end AS windowEnd, isStart, count(*) AS cnt
+FROM places
+GROUP BY window(eventTime, '{size}', '{slide}'), cell, isStart
+HAVING cnt > {threshold}
 """
 
 
@@ -127,9 +126,11 @@ def unmatched_rides(rides: DataFrame, fares: DataFrame, every: int = 1000) -> Da
 
 
 FARES_IN_CITY_SQL = """
-SELECT f.rideId, f.driverId, f.totalFare
-FROM {rides} r INNER JOIN {fares} f ON r.rideId = f.rideId
-WHERE isInNYC(r.startLon, r.startLat) AND isInNYC(r.endLon, r.endLat)
+WITH in_city AS (
+  SELECT rideId FROM {rides}
+  WHERE isInNYC(startLon, startLat) AND isInNYC(endLon, endLat)
+)
+SELECT rideId, driverId, totalFare FROM {fares} JOIN in_city USING (rideId)
 """
 
 
@@ -168,12 +169,11 @@ def hourly_tip_leader(fares: DataFrame, size: str = "1 hour", digits: int = 6) -
 def high_tip_hours(fares: DataFrame, min_tips: float = 50.0, size: str = "1 hour",
                    digits: int = 6) -> DataFrame:
     """SUM(tip) per driver and window, HAVING sum > min_tips."""
-    # the sum is rounded first, so the threshold test does not depend on the
-    # order in which partial sums were added
+    # the exact sum decides; only the output is rounded
     return (fares.groupBy(F.window("startTime", size).alias("w"), "driverId")
-            .agg(F.round(F.sum("tip"), digits).alias("tips"))
+            .agg(F.sum("tip").alias("tips"))
             .filter(F.col("tips") > min_tips)
-            .select(F.col("w.end").alias("windowEnd"), "driverId", "tips"))
+            .select(F.col("w.end").alias("windowEnd"), "driverId", F.round("tips", digits).alias("tips")))
 
 
 # ---------------------------------------------------------------- W1, P8
@@ -186,30 +186,34 @@ def arrivals_window(rides: DataFrame, range_: str = "10 minutes", cell: int | No
 
     COUNT(*) OVER (PARTITION BY cell ORDER BY eventTime RANGE range PRECEDING) is
     rewritten as a difference of two running counts, so it runs through the
-    skew-safe ``keyed_scan`` (a busy cell is split over time buckets):
-    count = C(events at or before t) - C(events before t - range). Each event
-    adds two probe rows that read the running count at those two positions.
+    skew-safe ``keyed_scan`` (a busy cell is split over ranges of time):
+    count = C(events at or before t) - C(events before t - range). Events of a
+    cell at the same time are counted first (map-side combined) and read the
+    running count through two probe rows; each of them is one output row.
     """
     width_us = interval_seconds(range_) * 1_000_000
-    e = end_events(rides).select(to_cell_id("endLon", "endLat").alias("cellId"), "eventTime",
-                                 F.col("rideId").alias("_ref"))
+    e = end_events(rides).select(to_cell_id("endLon", "endLat").alias("cellId"), "eventTime")
     if cell is not None:
         e = e.filter(F.col("cellId") == F.lit(int(cell)))  # P8
+    e = e.groupBy("cellId", "eventTime").agg(F.count(F.lit(1)).alias("_same"))
     t = F.unix_micros("eventTime")
-    # one scan: every event becomes itself (kind 1, counted) and two probes that
+    none = F.lit(None).cast("long")
+    # one scan: the events of an instant (kind 1, counted) and two probes that
     # read the running count at t (kind 2, after its peers) and just before
     # t - range (kind 0)
-    rows = e.select("cellId", "_ref", "eventTime", F.explode(F.array(
-        F.struct(t.alias("_t"), F.lit(1).alias("_kind"), F.lit(1).alias("_v")),
-        F.struct(t.alias("_t"), F.lit(2).alias("_kind"), F.lit(None).cast("int").alias("_v")),
-        F.struct((t - width_us).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_v")),
-    )).alias("_p")).select("cellId", "_ref", "eventTime", "_p.*")
+    rows = e.select("cellId", "eventTime", "_same", F.explode(F.array(
+        F.struct(t.alias("_t"), F.lit(1).alias("_kind"), F.col("_same").alias("_v")),
+        F.struct(t.alias("_t"), F.lit(2).alias("_kind"), none.alias("_v")),
+        F.struct((t - width_us).alias("_t"), F.lit(0).alias("_kind"), none.alias("_v")),
+    )).alias("_p")).select("cellId", "eventTime", "_same", "_p.*")
     width = interval_seconds(bucket) * 1_000_000 if bucket is not None else None
-    scanned = keyed_scan(rows, ["cellId"], ["_t", "_kind", "_ref"],
-                         order_bucket(rows, ["cellId"], F.col("_t"), width), {"_c": ("count", F.col("_v"))})
+    scanned = keyed_scan(rows, ["cellId"], ["_t", "_kind"],
+                         F.floor(F.col("_t") / F.lit(width)) if width is not None else None,
+                         {"_c": ("sum", F.col("_v"))})
     probes = scanned.filter(F.col("_kind") != 1)
     cnt = F.sum(F.when(F.col("_kind") == 2, F.col("_c")).otherwise(-F.col("_c")))
-    return (probes.groupBy("cellId", "_ref", "eventTime").agg(cnt.alias("cnt"))
+    return (probes.groupBy("cellId", "eventTime").agg(cnt.alias("cnt"), F.max("_same").alias("_same"))
+            .withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_same"))))
             .select(F.col("cellId").cast("string").alias("cell"), "eventTime", "cnt"))
 
 
@@ -252,20 +256,17 @@ def ongoing_rides(rides: DataFrame, minutes: int, at) -> DataFrame:
     return latest.filter(F.col("isStart") & (age >= minutes))
 
 
-MAX_QUERIES = 10_000
-
-
 def ongoing_rides_for_queries(rides: DataFrame, queries) -> DataFrame:
-    """B1 for several queries (queryId, minutes, at) in one pass: each ride is paired
-    in-row with the queries it precedes (a bounded, checked list), then the latest
-    event per (query, taxi) is a map-side combined max_by."""
-    queries = list(queries)
-    if len(queries) > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} queries")
-    arr = F.array(*[F.struct(F.lit(int(q)).alias("queryId"), F.lit(int(m)).alias("minutes"),
-                             ts_lit(t).alias("at")) for q, m, t in queries])
-    paired = (rides.select("*", F.explode(arr).alias("q"))
-              .filter(F.col("eventTime") <= F.col("q.at")))
+    """B1 for many queries (queryId, minutes, at; a table or a list of any length)
+    in one pass: each ride meets the queries block by block, then the latest event
+    per (query, taxi) is a map-side combined max_by."""
+    from .geoqueries import in_blocks
+    if not isinstance(queries, DataFrame):
+        queries = rides.sparkSession.createDataFrame(
+            [(int(q), int(m), str(t)) for q, m, t in queries], "queryId long, minutes long, at string") \
+            .withColumn("at", F.col("at").cast("timestamp"))
+    paired = in_blocks(rides, queries.select("queryId", "minutes", "at")) \
+        .filter(F.col("eventTime") <= F.col("q.at"))
     latest = (paired.groupBy(F.col("q.queryId").alias("queryId"), "taxiId")
               .agg(F.max_by(F.struct(*RIDE_COLUMNS, F.col("q.minutes").alias("_m"), F.col("q.at").alias("_at")),
                             ride_order()).alias("r"))

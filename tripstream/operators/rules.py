@@ -5,31 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.prefix import keyed_scan, order_bucket
-
-MAX_RULES = 10_000
+from ..plans.prefix import keyed_scan
 
 
 def match_rules(items: DataFrame, rules, seq_bucket: int | None = None) -> DataFrame:
     """Per color, an item of the rule's first shape waits for the next item of
     its second shape, which matches all waiting items (rules named Rule_n).
 
-    items: (seq, shape, color); rules: list of (first, second) shapes — a small,
-    checked caller-side list, paired with the items by an in-row explode so all
-    rules run in one scan keyed by (rule, color). Output (rule, color, firstSeq,
+    items: (seq, shape, color); rules: list of (first, second) shapes or a table
+    (rule, first, second), of any length. An item meets only the rules that name
+    its shape (an equi-join on the shape), and all rules run in one scan keyed by
+    (rule, color). Output (rule, color, firstSeq,
     secondSeq). The next matching item comes from a reverse keyed scan over seq
     buckets, so a single color does not become a single task.
     """
-    rules = list(rules)
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
-    arr = F.array(*[F.struct(F.lit(f"Rule_{n}").alias("rule"), F.lit(a).alias("first"),
-                             F.lit(b).alias("second")) for n, (a, b) in enumerate(rules)])
-    rel = (items.select("seq", "shape", "color", F.explode(arr).alias("r"))
-           .filter((F.col("shape") == F.col("r.first")) | (F.col("shape") == F.col("r.second")))
-           .select("seq", "shape", "color", "r.rule", "r.first", "r.second"))
+    if not isinstance(rules, DataFrame):
+        rules = items.sparkSession.createDataFrame(
+            [(f"Rule_{n}", a, b) for n, (a, b) in enumerate(rules)], "rule string, first string, second string")
+    named = (rules.withColumn("shape", F.explode(F.array_distinct(F.array("first", "second")))))
+    rel = (items.select("seq", "shape", "color").join(named, "shape")
+           .select("seq", "shape", "color", "rule", "first", "second"))
     nxt = keyed_scan(rel, ["rule", "color"], ["seq"],
-                     order_bucket(rel, ["rule", "color"], F.col("seq"), seq_bucket),
+                     F.floor(F.col("seq") / F.lit(seq_bucket)) if seq_bucket is not None else None,
                      {"_next": ("last", F.when(F.col("shape") == F.col("second"), F.col("seq")))},
                      inclusive=False, reverse=True)
     return (nxt.filter((F.col("shape") == F.col("first")) & F.col("_next").isNotNull())

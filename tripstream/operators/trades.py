@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.prefix import event_bucket, keyed_scan
+from ..plans.prefix import duration_bucket, keyed_scan
 
 
 def _enrich(trades: DataFrame, customers: DataFrame, order_col, bucket: str | None,
@@ -21,7 +21,7 @@ def _enrich(trades: DataFrame, customers: DataFrame, order_col, bucket: str | No
                          F.struct(F.col("eventTime").alias("customerTime"), "customerInfo").alias("_cust"))
     both = t.unionByName(c)
     scanned = keyed_scan(both, ["customerId"], ["_o", "_side", "tradeInfo", "_cust"],
-                         event_bucket(both, ["customerId"], "_o", bucket),
+                         duration_bucket("_o", bucket),
                          {"_match": ("last", F.col("_cust"))}, inclusive=True)
     return (scanned.filter(F.col("_side") == 1)
             .select("eventTime", "customerId", "tradeInfo",

@@ -6,9 +6,21 @@ the generated tables, and the grid/distance functions are spelled out inline.
 
 from __future__ import annotations
 
-from ..functions.geo import DELTA_LAT, DELTA_LON, GRID_X, LAT_NORTH, LAT_SOUTH, LON_EAST, LON_WEST
-from ..functions.text import STOP_WORDS
-
+# Fixed values of the grid and the mail terms, spelled out here on their own so
+# that the oracle does not follow the code under test.
+LON_EAST, LON_WEST, LAT_NORTH, LAT_SOUTH = -73.7, -74.05, 41.0, 40.5
+DELTA_LON, DELTA_LAT, GRID_X = 0.0014, 0.00125, 250
+STOP_WORDS = (
+    "the", "i", "a", "an", "at", "are", "am", "for", "and", "or", "is",
+    "there", "it", "this", "that", "on", "was", "by", "of", "to", "in",
+    "to", "message", "not", "be", "with", "you", "have", "as", "can",
+)
+
+#: Arrival of an event at the join: up to an hour after its own time.
+ARRIVAL = "(ts + to_seconds(cast(event_id * 7919 % 3600 as bigint)))"
+ONGOING_QUERIES = [(1, 30, "2024-01-15 12:00:00"), (2, 0, "2024-01-08 00:00:00"), (3, 600, "2024-01-28 06:30:00")]
+#: The cell of the registered single-cell arrivals.
+CELL = 103978
 AS_OF = "2024-01-15 12:00:00"
 MAIL_EXCLUDE = ("user0@example.org",)
 RULE_PREDICATE = "isStart and passengerCnt > 3"
@@ -139,7 +151,7 @@ def _segments(between: bool) -> str:
         {prev} from car_events)""") + f"""
 select carId, stopTime, count(*) as length, min(eventTime) as startTime,
   cast(trunc(max(speed)) as integer) as maxSpeed, round(stddev_pop(throttle), 6) as erraticness,
-  case cast(trunc(round(stddev_pop(throttle), 6) / 2.5) as integer) when 0 then 'calm' when 1 then 'busy'
+  case cast(trunc(stddev_pop(throttle) / 2.5) as integer) when 0 then 'calm' when 1 then 'busy'
     else 'crazy' end as erraticnessDesc
 from s where eventTime < stopTime{cond} group by carId, stopTime"""
 
@@ -251,15 +263,19 @@ select windowEnd, driverId, tips from (select *, row_number() over (
     q["high_tip_hours"] = with_(FARES) + """
 select time_bucket(interval 24 hour, startTime, timestamp '1970-01-01') + interval 24 hour as windowEnd,
   driverId, round(sum(tip), 6) as tips
-from fares group by 1, 2 having round(sum(tip), 6) > 10"""
+from fares group by 1, 2 having sum(tip) > 10"""
     q["long_rides"] = _long(strict=False, clean=False)
     q["long_rides_clean"] = _long(strict=False, clean=True)
     q["long_rides_pattern"] = _long(strict=True, clean=False)
-    q["latest_per_taxi"] = with_(RIDES) + f"select * from {_latest(f'eventTime <= {T}')}"
+    q["latest_per_taxi"] = with_(RIDES) + f"select * from {_latest('true')}"
+    q["ongoing_rides_for_queries"] = " union all ".join(
+        f"""(with {RIDES} select {n}::bigint as queryId, * from {_latest(f"eventTime <= timestamp '{at}'")}
+where isStart and floor((epoch_ms(timestamp '{at}') - epoch_ms(eventTime)) / 60000) >= {minutes})"""
+        for n, minutes, at in ONGOING_QUERIES)
     q["ongoing_rides"] = with_(RIDES) + f"""select * from {_latest(f'eventTime <= {T}')}
 where isStart and floor((epoch_ms({T}) - epoch_ms(eventTime)) / 60000) >= 30"""
-    q["nearest_taxi"] = with_(RIDES, """q AS (select * from (values (1, -74.0::double, 41.0::double),
-      (2, -73.7781::double, 40.6413::double), (3, -73.977664::double, 40.761484::double)) t(queryId, qLon, qLat))""",
+    q["nearest_taxi"] = with_(RIDES, """q AS (select * from (values (1::bigint, -74.0::double, 41.0::double),
+      (2::bigint, -73.7781::double, 40.6413::double), (3::bigint, -73.977664::double, 40.761484::double)) t(queryId, qLon, qLat))""",
                               f"""d AS (select q.queryId, r.eventTime, r.rideId, r.taxiId,
       cast({dist('q.qLon', 'q.qLat', 'r.endLon', 'r.endLat')} as float) as km
     from rides r cross join q where not r.isStart)""",
@@ -274,6 +290,10 @@ select 'PE' as source, * from rides where eventTime > {T} and {RULE_PREDICATE}""
 select cast(cell as varchar) as cell, eventTime, count(*) over (partition by cell order by eventTime
   range between interval 12 hour preceding and current row) as cnt
 from (select {cell('endLon', 'endLat')} as cell, eventTime from rides where not isStart)"""
+    q["arrivals_window_cell"] = with_(RIDES) + f"""
+select cast(cell as varchar) as cell, eventTime, count(*) over (partition by cell order by eventTime
+  range between interval 12 hour preceding and current row) as cnt
+from (select {cell('endLon', 'endLat')} as cell, eventTime from rides where not isStart) where cell = {CELL}"""
     q["route_heatmap"] = _route_heatmap()
     q["travel_time"] = with_(RIDES, f"""c AS (select rideId, isStart, eventTime,
     {cell('endLon', 'endLat')} as cell,
@@ -296,7 +316,7 @@ from s where isStart"""
     then 1 else 0 end) over (partition by carId order by eventTime, id rows unbounded preceding) as sid from p)""") + """
 select carId, count(*) as length, min(eventTime) as startTime, cast(trunc(max(speed)) as integer) as maxSpeed,
   round(stddev_pop(throttle), 6) as erraticness,
-  case cast(trunc(round(stddev_pop(throttle), 6) / 2.5) as integer) when 0 then 'calm' when 1 then 'busy'
+  case cast(trunc(stddev_pop(throttle) / 2.5) as integer) when 0 then 'calm' when 1 then 'busy'
     else 'crazy' end as erraticnessDesc
 from f group by carId, sid"""
     q["driving_segments"] = _segments(between=False)
@@ -307,7 +327,17 @@ from f group by carId, sid"""
 select t.eventTime, t.customerId, t.tradeInfo, c.eventTime as customerTime, c.customerInfo
 from trades t asof left join customers c on t.customerId = c.customerId and t.eventTime >= c.eventTime"""
     q["asof_join"] = asof
-    q["latest_join"] = asof
+    q["latest_join"] = f"""with trades AS (
+  select ts as eventTime, {ARRIVAL} as arrived, user_id as customerId, concat('trade-', cast(event_id as varchar)) as tradeInfo
+  from events where event_type = 'purchase'),
+customers AS (
+  select ts as eventTime, {ARRIVAL} as arrived, user_id as customerId, concat('customer-', cast(event_id as varchar)) as customerInfo
+  from events where event_type = 'signup'),
+received AS (
+  select t.*, c.eventTime as customerTime, c.customerInfo, row_number() over (
+    partition by t.tradeInfo order by c.arrived desc, c.customerInfo desc) as k
+  from trades t left join customers c on t.customerId = c.customerId and c.arrived <= t.arrived)
+select eventTime, customerId, tradeInfo, customerTime, customerInfo from received where k = 1"""
     q["match_rules"] = with_(ITEMS, "r AS (select seq, shape, color from items where shape in ('view', 'purchase'))",
                              """n AS (select *, min(case when shape = 'purchase' then seq end) over (
       partition by color order by seq rows between 1 following and unbounded following) as nxt from r)""") + """

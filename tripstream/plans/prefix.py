@@ -5,72 +5,50 @@ key" (newest customer so far, running minimum distance, regression sums, rank,
 next stop). A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a
 key into one task, which fails when one key holds a large share of the data.
 
-``keyed_scan`` splits each key into ordered buckets of its order value (the
-width measured from the data by ``auto_width`` so that a bucket of the densest
-key holds about ``TARGET_ROWS_PER_BUCKET`` rows):
-
-1. partial aggregate per (key, bucket)          – groupBy, map-side combine;
-2. carry-in per (key, bucket) over earlier buckets – window over the small
-   bucket table (one row per key and bucket, not per event);
-3. running aggregate inside (key, bucket)       – window partitioned by
-   (key, bucket), so a hot key spreads over as many tasks as it has buckets;
-4. combine carry-in and in-bucket value.
-
-The big side is shuffled once, on (key, bucket); the join in step 4 and the
-window in step 3 share that partitioning. When no key needs splitting the scan
-is a plain per-key window.
+``keyed_scan`` has one plan for every input size. ``ordered_parts`` deals the
+rows out by ranges of (key, order columns), measured by Spark's range
+partitioning, so a hot key, a burst and rows of equal time (told apart by the
+later order columns) all spread over as many parts as their share asks for:
+
+1. partial aggregate per (key, part)          – groupBy, map-side combine;
+2. carry-in per (key, part) over earlier parts – window over the small part
+   table (one row per key and part, not per event);
+3. running aggregate inside (key, part)       – window partitioned by (key, part);
+4. combine carry-in and in-part value.
+
+The dealt rows are written to the shared checkpoint folder: both uses of them see
+the same ranges, and a lost executor costs no new sampling. A caller that knows
+a good monotone bucket of the first order column can pass it instead.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KINDS = ("sum", "count", "min", "max", "last", "next")
-
-# Bucket width bounds the rows of one key that a single task sees: a key holding
-# a third of all events still only puts one bucket's worth of them into a task.
-# Narrower buckets mean smaller tasks but a larger bucket table (at most one row
-# per key and bucket). By default the width is measured from the data so that a
-# bucket of the densest key holds about TARGET_ROWS_PER_BUCKET rows.
-
-
-TARGET_ROWS_PER_BUCKET = 1_000_000
+from ..session import ensure_checkpoint_dir
+from .util import interval_seconds
 
-
-def auto_width(df: DataFrame, keys: list[str], x: Column,
-               target_rows: int = TARGET_ROWS_PER_BUCKET) -> int:
-    """Bucket width (in units of the numeric order value ``x``) from measured key
-    density: every key with more than ``target_rows`` rows gets buckets holding
-    about ``target_rows`` of its rows on average. Returns None when no key is that
-    large (then one window per key is already bounded). One small aggregation
-    job; only a single row of statistics reaches the driver."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"),
-                                    F.max(x).alias("hi"))
-    need = per_key.filter(F.col("n") > target_rows)
-    # in double: a span in microseconds times the row target overflows a long
-    span = (F.col("hi") - F.col("lo") + 1).cast("double")
-    st = need.agg(F.min(span * F.lit(float(target_rows)) / F.col("n")).alias("w")).first()
-    if st is None or st["w"] is None:
-        return None                  # no key is dense enough to need splitting
-    return int(max(1, st["w"]))
+KINDS = ("sum", "count", "min", "max", "last", "next")
 
 
-def order_bucket(df: DataFrame, keys: list[str], x: Column, width=None,
-                 target_rows: int = TARGET_ROWS_PER_BUCKET) -> Column | None:
-    """Bucket column over the numeric order value ``x``: fixed ``width`` or, when
-    None, the measured ``auto_width``; None when no key needs splitting."""
-    w = int(width) if width is not None else auto_width(df, keys, x, target_rows)
-    return F.floor(x / F.lit(w)) if w is not None else None
+def ordered_parts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``_part``: the number of its range of (keys, order). Along
+    the order (nulls first) of a key's rows the parts never decrease."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = df.repartitionByRange(n, *[F.col(c).asc() for c in [*keys, *order]]) \
+        .withColumn("_part", F.spark_partition_id())
+    path = f"{ensure_checkpoint_dir(spark)}/scan-{uuid.uuid4().hex}"
+    parts.write.parquet(path)
+    return spark.read.schema(parts.schema).parquet(path)
 
 
-def event_bucket(df: DataFrame, keys: list[str], ts: str, bucket: str | None = None) -> Column | None:
-    """Time bucket of ``ts``: a fixed length such as '10 minutes', or measured from
-    the data when ``bucket`` is None."""
-    from .util import interval_seconds
-    x = F.unix_micros(F.col(ts))
-    width = interval_seconds(bucket) * 1_000_000 if bucket is not None else None
-    return order_bucket(df, keys, x, width)
+def duration_bucket(ts: str, bucket: str | None) -> Column | None:
+    """Time bucket of ``ts`` for a duration such as '10 minutes'; None for None."""
+    return time_bucket(ts, interval_seconds(bucket)) if bucket is not None else None
 
 
 def time_bucket(ts, seconds: int) -> Column:
@@ -93,39 +71,16 @@ def _stand_in(dt) -> Column:
     return F.lit(0).cast(dt)
 
 
-def _plain_scan(df, keys, order, specs, inclusive, reverse) -> DataFrame:
-    """Single-bucket case: every key is small enough for one window task."""
-    o = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
-    wi = Window.partitionBy(*keys).orderBy(*o).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    wa = Window.partitionBy(*keys).orderBy(*o).rowsBetween(0 if inclusive else 1, Window.unboundedFollowing)
-    out = []
-    for name, (kind, v) in specs.items():
-        if kind == "sum":
-            expr = F.coalesce(F.sum(v).over(wi), F.lit(0))
-        elif kind == "count":
-            expr = F.count(v).over(wi)
-        elif kind == "min":
-            expr = F.min(v).over(wi)
-        elif kind == "max":
-            expr = F.max(v).over(wi)
-        elif kind == "next":
-            expr = F.first(v, ignorenulls=True).over(wa)
-        else:
-            expr = F.last(v, ignorenulls=True).over(wi)
-        out.append(expr.alias(name))
-    return df.select("*", *out)
-
-
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None,
                specs: dict[str, tuple[str, Column]], inclusive: bool = True,
                reverse: bool = False) -> DataFrame:
     """Add one column per spec holding the running aggregate over the rows of the
     same key that precede each row in ``order`` (or follow it, if ``reverse``).
 
-    ``order`` is a list of column names giving a total order inside a key;
-    ``bucket`` must be non-decreasing along that order (derive it from the first
-    order column); None means one bucket per key (plain per-key windows, for
-    inputs where no key is large). ``specs`` maps an output name to (kind, value column) with
+    ``order`` is a list of column names giving a total order inside a key (nulls
+    first); ``bucket`` must be non-decreasing along that order (derive it from
+    the first order column, null where that is null); None deals the rows out by
+    ``ordered_parts``. ``specs`` maps an output name to (kind, value column) with
     kind in sum | count | min | max | last (last non-null value in scan order) |
     next (first non-null value at or after the row, i.e. looking ahead; only
     with ``reverse=False``). ``inclusive`` decides whether the row itself is
@@ -137,8 +92,12 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
             raise ValueError(f"unknown aggregate kind {kind!r} for {name}")
         if kind == "next" and reverse:
             raise ValueError("'next' looks ahead already; use it with reverse=False")
+    columns = df.columns
     if bucket is None:
-        return _plain_scan(df, keys, order, specs, inclusive, reverse)
+        df = ordered_parts(df.select("*", *[v.alias(f"_v_{name}") for name, (_, v) in specs.items()]), keys, order)
+        bucket = F.col("_part")
+    else:
+        df = df.select("*", *[v.alias(f"_v_{name}") for name, (_, v) in specs.items()])
     # Internal key columns: a non-null stand-in plus a null flag per key, so rows
     # with a null key form their own group (as in a plain window) while the join
     # and the windows below stay plain equi-keys on the same columns: one shuffle.
@@ -150,9 +109,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
         b = b.withColumn(f"_kz{i}", F.col(k).isNull())
         ikeys += [f"_kv{i}", f"_kz{i}"]
     keys = ikeys
-    b = b.withColumn("_bk", bucket)
-    for name, (_, val) in specs.items():
-        b = b.withColumn(f"_v_{name}", val)
+    # nulls of the order come first, so their bucket does too
+    b = b.withColumn("_bk", F.coalesce(bucket.cast("long"), F.lit(-(2**63)).cast("long")))
 
     ord_struct = F.struct(*[F.col(c) for c in order])
     if reverse:
@@ -223,4 +181,4 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
         else:
             expr = F.coalesce(F.last(v, ignorenulls=True).over(wi), c)
         out.append(expr.alias(name))
-    return joined.select(*[F.col(c) for c in df.columns], *out)
+    return joined.select(*[F.col(c) for c in columns], *out)

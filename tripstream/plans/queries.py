@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import operators as op
 from ..sources import fixtures as fx
-from .oracle import AS_OF, MAIL_EXCLUDE, RULE_PREDICATE
+from .oracle import AS_OF, CELL, MAIL_EXCLUDE, ONGOING_QUERIES, RULE_PREDICATE
 from .util import to_ntz
 
 
@@ -46,11 +46,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "long_rides": _q(lambda s, d: op.long_rides(R(s, d), 120)),
         "long_rides_clean": _q(lambda s, d: op.long_rides_clean(R(s, d), 120)),
         "long_rides_pattern": _q(lambda s, d: op.long_rides_pattern(R(s, d), 120)),
-        "latest_per_taxi": _q(lambda s, d: op.latest_per_taxi(R(s, d), AS_OF)),
+        "latest_per_taxi": _q(lambda s, d: op.latest_per_taxi(R(s, d))),
+        "ongoing_rides_for_queries": _q(lambda s, d: op.ongoing_rides_for_queries(R(s, d), ONGOING_QUERIES)),
         "ongoing_rides": _q(lambda s, d: op.ongoing_rides(R(s, d), 30, AS_OF)),
         "nearest_taxi": _q(lambda s, d: op.nearest_taxi(R(s, d), fx.LOCATION_QUERIES)),
         "match_rides": _q(lambda s, d: op.match_rides(R(s, d), RULE_PREDICATE, AS_OF)),
         "arrivals_window": _q(lambda s, d: op.arrivals_window(R(s, d), "12 hours")),
+        "arrivals_window_cell": _q(lambda s, d: op.arrivals_window(R(s, d), "12 hours", cell=CELL)),
         "route_heatmap": _q(route_heatmap),
         "travel_time": _q(lambda s, d: op.predict_travel_time(R(s, d))),
         "driving_sessions": _q(lambda s, d: op.driving_sessions(fx.car_events(s, d), "12 hours")),
@@ -59,7 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _q(lambda s, d: op.driving_segments_between_stops(fx.car_events(s, d))),
         "sort_car_events": _q(lambda s, d: op.sort_car_events(fx.car_events(s, d))),
         "asof_join": _q(lambda s, d: op.asof_join(fx.trades(s, d), fx.customers(s, d))),
-        "latest_join": _q(lambda s, d: op.latest_join(fx.trades(s, d), fx.customers(s, d))),
+        "latest_join": _q(lambda s, d: op.latest_join(fx.trades(s, d, arrival=True), fx.customers(s, d, arrival=True), "arrivalTime")),
         "match_rules": _q(lambda s, d: op.match_rules(fx.items(s, d), [("view", "purchase")])),
         "mail_count": _q(lambda s, d: op.mail_count(fx.mails(s, d))),
         "tf_idf": _q(lambda s, d: op.tf_idf(fx.documents(s, d), "doc_id", "text")),

@@ -78,18 +78,23 @@ def car_events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> Dat
     )
 
 
-def trades(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+def _arrival(on: bool) -> list:
+    """Arrival of an event: up to an hour after its own time, another order."""
+    return [(_ts() + F.make_dt_interval(secs=F.col("event_id") * 7919 % 3600)).alias("arrivalTime")] if on else []
+
+
+def trades(spark: SparkSession, sf_dir: str, streaming: bool = False, arrival: bool = False) -> DataFrame:
     ev = table(spark, sf_dir, "events", streaming)
     return (ev.filter(F.col("event_type") == "purchase")
             .select(_ts().alias("eventTime"), F.col("user_id").alias("customerId"),
-                    F.concat(F.lit("trade-"), F.col("event_id").cast("string")).alias("tradeInfo")))
+                    F.concat(F.lit("trade-"), F.col("event_id").cast("string")).alias("tradeInfo"), *_arrival(arrival)))
 
 
-def customers(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+def customers(spark: SparkSession, sf_dir: str, streaming: bool = False, arrival: bool = False) -> DataFrame:
     ev = table(spark, sf_dir, "events", streaming)
     return (ev.filter(F.col("event_type") == "signup")
             .select(_ts().alias("eventTime"), F.col("user_id").alias("customerId"),
-                    F.concat(F.lit("customer-"), F.col("event_id").cast("string")).alias("customerInfo")))
+                    F.concat(F.lit("customer-"), F.col("event_id").cast("string")).alias("customerInfo"), *_arrival(arrival)))
 
 
 def items(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:

@@ -96,30 +96,40 @@ def _rides_and_fares(rides: DataFrame, fares: DataFrame, delay: str):
     return r, f
 
 
-def enrich_rides_stream(rides: DataFrame, fares: DataFrame, delay: str = RIDE_DELAY,
-                        bound: str = "1 hour") -> DataFrame:
-    """Stream-stream inner join; the time bound (START event time is the ride's
-    start time) lets both sides' state expire."""
+def _near(retention: str):
+    """Same ride, and event times at most ``retention`` apart: the join's state of
+    a row expires that long after it."""
+    span = F.expr(f"interval {retention}")
+    return ((F.col("r.rideId") == F.col("f.fareRideId"))
+            & F.col("f.fareStartTime").between(F.col("r.eventTime") - span, F.col("r.eventTime") + span))
+
+
+def enrich_rides_stream(rides: DataFrame, fares: DataFrame, retention: str, delay: str = RIDE_DELAY) -> DataFrame:
+    """Stream-stream inner join. ``retention`` is how far the event times of a
+    ride's START and its fare may lie apart; rows that find no partner within it
+    are those of ``unmatched_rides_stream`` and ``unmatched_fares_stream``."""
     r, f = _rides_and_fares(rides, fares, delay)
-    cond = ((F.col("r.rideId") == F.col("f.fareRideId"))
-            & F.col("f.fareStartTime").between(F.col("r.eventTime") - F.expr(f"interval {bound}"),
-                                               F.col("r.eventTime") + F.expr(f"interval {bound}")))
-    return r.join(f, cond, "inner").drop("fareRideId")
+    return r.join(f, _near(retention), "inner").drop("fareRideId")
 
 
-def unmatched_fares_stream(rides: DataFrame, fares: DataFrame, every: int = 1000,
-                           delay: str = RIDE_DELAY, bound: str = "1 hour") -> DataFrame:
-    """Fares without a ride within the bound, emitted once the watermark has passed."""
+def unmatched_fares_stream(rides: DataFrame, fares: DataFrame, retention: str, every: int = 1000,
+                           delay: str = RIDE_DELAY) -> DataFrame:
+    """Fares without a ride within ``retention``, emitted once the watermark has passed."""
     r, f = _rides_and_fares(op.drop_every_nth_ride(rides, every), fares, delay)
-    cond = ((F.col("r.rideId") == F.col("f.fareRideId"))
-            & F.col("r.eventTime").between(F.col("f.fareStartTime") - F.expr(f"interval {bound}"),
-                                           F.col("f.fareStartTime") + F.expr(f"interval {bound}")))
-    out = f.join(r, cond, "left_outer").filter(F.col("r.rideId").isNull())
+    out = f.join(r, _near(retention), "left_outer").filter(F.col("r.rideId").isNull())
     return out.select(F.col("fareRideId").alias("rideId"), F.col("fareTaxiId").alias("taxiId"),
                       F.col("fareDriverId").alias("driverId"), F.col("fareStartTime").alias("startTime"),
                       "paymentType", "tip", "tolls", "totalFare")
 
 
+def unmatched_rides_stream(rides: DataFrame, fares: DataFrame, retention: str, every: int = 1000,
+                           delay: str = RIDE_DELAY) -> DataFrame:
+    """START rides without a fare within ``retention``, emitted likewise."""
+    r, f = _rides_and_fares(op.drop_every_nth_ride(rides, every), fares, delay)
+    out = r.join(f, _near(retention), "left_outer").filter(F.col("f.fareRideId").isNull())
+    return out.select(*[F.col(f"r.{c}") for c in RIDE_COLUMNS])
+
+
 def driving_sessions_stream(events: DataFrame, gap: str = "15 seconds", delay: str = CAR_DELAY) -> DataFrame:
     """T5 with ``session_window`` (append mode)."""
     ev = with_watermark(events, "eventTime", delay)
@@ -142,17 +152,20 @@ def match_rides_stream(rides: DataFrame, predicate: str, delay: str = RIDE_DELAY
 # ---------------------------------------------------------------- transformWithState
 
 def long_rides_stream(rides: DataFrame, limit_minutes: int = 120, strict: bool = False,
-                      delay: str = RIDE_DELAY) -> DataFrame:
+                      delay: str = RIDE_DELAY, early: str = "1 day") -> DataFrame:
     """T8 (T10 with ``strict``) as a time-bounded stream-stream left outer join,
     entirely JVM-side: a START is emitted, null-padded, once the watermark shows
-    that no END with event time in [start, start + limit] can still arrive."""
+    that no END with event time up to start + limit can still arrive. An END dated
+    before its START counts as in the batch form if it is at most ``early``
+    before it; that bound lets the state of ENDs expire."""
     r = with_watermark(rides, "eventTime", delay)
     starts = r.filter(F.col("isStart")).alias("s")
     ends = r.filter(~F.col("isStart")).select(F.col("rideId").alias("endRideId"),
                                                F.col("eventTime").alias("endAt")).alias("e")
     deadline = F.col("s.eventTime") + F.expr(f"interval {int(limit_minutes)} minutes")
     upper = F.col("e.endAt") < deadline if strict else F.col("e.endAt") <= deadline
-    cond = (F.col("s.rideId") == F.col("e.endRideId")) & (F.col("e.endAt") >= F.col("s.eventTime")) & upper
+    cond = (F.col("s.rideId") == F.col("e.endRideId")) & upper \
+        & (F.col("e.endAt") >= F.col("s.eventTime") - F.expr(f"interval {early}"))
     return starts.join(ends, cond, "left_outer").filter(F.col("endRideId").isNull()) \
         .select(*[F.col(f"s.{c}") for c in RIDE_COLUMNS])
 
@@ -233,7 +246,7 @@ def arrivals_window_stream(rides: DataFrame, range_: str = "10 minutes", delay:
                                 "cell string, eventTime timestamp, cnt long", "Append", "EventTime"))
 
 
-NEAREST_OUT = "queryId int, eventTime timestamp, rideId long, taxiId long, km float"
+NEAREST_OUT = "queryId long, eventTime timestamp, rideId long, taxiId long, km float"
 
 
 def nearest_taxi_stream(rides: DataFrame, queries) -> DataFrame:

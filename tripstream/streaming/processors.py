@@ -226,12 +226,17 @@ class LatestJoinProcessor(_OneTimer, StatefulProcessor):
                 out.append(self._row(key, t, r.info, c))
             elif t >= wm:
                 wait.append((t, r.info))
-        self.customers.clear()
-        if cust:
-            self.customers.put(cust)
         if wait:
             self.waiting.appendList(wait)
             self._arm(min(t for t, _ in wait))
+        # only the last row before the watermark and before the oldest waiting
+        # trade can still be asked for, and the rows after it
+        horizon = min([wm, *(t for t, _ in self.waiting.get() or [])])
+        older = [c for c in cust if c[0] <= horizon]
+        kept = older[-1:] + cust[len(older):]
+        self.customers.clear()
+        if kept:
+            self.customers.put(kept)
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -382,7 +387,8 @@ class TravelTimeProcessor(StatefulProcessor):
         for r in sorted(rows, key=lambda r: (r.eventTime, not r.isStart, r.rideId)):
             if r.isStart:
                 ok = n >= 2 and abs(sxx) >= 10 * 4.9e-324
-                pred = int(sxy / sxx * r.distance) if ok else -1
+                # saturates at the int range, as the batch form does
+                pred = int(min(max(sxy / sxx * r.distance, -2147483648.0), 2147483647.0)) if ok else -1
                 out.append(Row(rideId=r.rideId, eventTime=r.eventTime, cell=key[0],
                                direction=key[1], predictedMinutes=pred))
             else:
@@ -397,34 +403,39 @@ class TravelTimeProcessor(StatefulProcessor):
 
 
 class RuleMatchProcessor(StatefulProcessor):
-    """B5 keyed by color: items of a rule's first shape wait; the next item of its
-    second shape matches all of them and clears the list."""
+    """B5 keyed by color. Two indexes lead from an item's shape to the rules it
+    completes and to those it opens, so only these rules' waiting lists are read,
+    changed and written back, once per batch."""
 
     def __init__(self, rules):
-        self.rules = [(f"Rule_{i}", a, b) for i, (a, b) in enumerate(rules)]
+        self.completes, self.opens = {}, {}
+        for i, (first, second) in enumerate(rules):
+            self.completes.setdefault(second, []).append(f"Rule_{i}")
+            self.opens.setdefault(first, []).append(f"Rule_{i}")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.waiting = handle.getMapState("waiting", "rule string", "seqs array<long>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # read every rule's waiting list once, match in memory, write back once
-        waiting = {k[0]: list(v[0]) for k, v in self.waiting.iterator()} if self.waiting.exists() else {}
-        before = {n: list(v) for n, v in waiting.items()}
+        lists: dict[str, list[int]] = {}
+
+        def pending(rule):
+            if rule not in lists:
+                lists[rule] = list(self.waiting.getValue((rule,))[0]) if self.waiting.containsKey((rule,)) else []
+            return lists[rule]
+
         out = []
-        for r in sorted(rows, key=lambda r: r.seq):
-            for name, first, second in self.rules:
-                seqs = waiting.get(name, [])
-                if r.shape == second and seqs:
-                    out.extend(Row(rule=name, color=key[0], firstSeq=s, secondSeq=r.seq) for s in seqs)
-                    seqs = []
-                if r.shape == first:
-                    seqs = seqs + [r.seq]
-                waiting[name] = seqs
-        for name, seqs in waiting.items():
-            if seqs and seqs != before.get(name):
-                self.waiting.updateValue((name,), (seqs,))
-            elif not seqs and before.get(name):
-                self.waiting.removeKey((name,))
+        for item in sorted(rows, key=lambda r: r.seq):
+            for rule in self.completes.get(item.shape, ()):
+                out += [Row(rule=rule, color=key[0], firstSeq=s, secondSeq=item.seq) for s in pending(rule)]
+                lists[rule] = []
+            for rule in self.opens.get(item.shape, ()):
+                pending(rule).append(item.seq)
+        for rule, seqs in lists.items():
+            if seqs:
+                self.waiting.updateValue((rule,), (seqs,))
+            elif self.waiting.containsKey((rule,)):
+                self.waiting.removeKey((rule,))
         return iter(out)
 
     def close(self) -> None:
