@@ -37,9 +37,9 @@ def tf_idf(docs: DataFrame, id_col: str = "messageId", text_col: str = "body",
              .select("docId", F.explode(raw_tokens("_text")).alias("word"))
              .filter(is_word("word", stop_words)))
     tf = words.groupBy("docId", "word").agg(F.count(F.lit(1)).alias("tf"))
-    # count(tf) keeps the tf column alive, so both join sides share one
+    # reading tf's value keeps that column alive, so both join sides share one
     # tokenise-and-count exchange instead of tokenising the texts twice
-    df = tf.groupBy("word").agg(F.count("tf").alias("df"))
+    df = tf.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     return (tf.join(df, "word")
             .select(F.col("docId").alias(id_col), "word",
@@ -51,6 +51,8 @@ def reply_pairs(mails: DataFrame, exclude=()) -> DataFrame:
     m = exclude_senders(mails, exclude).select(
         "messageId", "replyTo", address_of("sender").alias("addr"))
     reply, orig = m.alias("r"), m.alias("o")
+    # thread roots ('null') answer nobody: they need no shuffle
+    reply = reply.filter(F.col("r.replyTo") != "null")
     return (reply.join(orig, F.col("r.replyTo") == F.col("o.messageId"))
             .select(F.col("r.addr").alias("replier"), F.col("o.addr").alias("original")))
 

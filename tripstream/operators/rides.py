@@ -224,12 +224,13 @@ def arrivals_last_10min(rides: DataFrame, cell: int | None = None) -> DataFrame:
 
 def route_heatmap(rides: DataFrame) -> DataFrame:
     """F4 user-level form: cleansed rides (START records) counted per grid cell on
-    their straight path. The walk is a vectorised pandas UDF on spread input."""
+    their straight path. Rides with the same end points are counted first, so each
+    distinct path is walked once, by a vectorised pandas UDF."""
     from ..functions.geo import cells_on_way
-    from ..plans.util import spread
-    starts = spread(start_events(clean_rides(rides)))
-    cells = starts.select(F.explode(cells_on_way("startLon", "startLat", "endLon", "endLat")).alias("cell"))
-    return cells.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"))
+    ends = ["startLon", "startLat", "endLon", "endLat"]
+    paths = start_events(clean_rides(rides)).groupBy(*ends).agg(F.count(F.lit(1)).alias("_n"))
+    cells = paths.select("_n", F.explode(cells_on_way(*ends)).alias("cell"))
+    return cells.groupBy("cell").agg(F.sum("_n").alias("cnt"))
 
 
 # ---------------------------------------------------------------- A15, B1

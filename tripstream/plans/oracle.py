@@ -267,6 +267,16 @@ from fares group by 1, 2 having sum(tip) > 10"""
     q["long_rides"] = _long(strict=False, clean=False)
     q["long_rides_clean"] = _long(strict=False, clean=True)
     q["long_rides_pattern"] = _long(strict=True, clean=False)
+    sec = "date_trunc('second', {0}) as {0}"
+    whole = ", ".join(sec.format(c) for c in ("startTime", "endTime", "eventTime"))
+    q["ride_lines"] = with_(RIDES) + f"select * replace ({whole}) from rides"
+    q["raw_trips"] = q["ride_lines"]
+    q["raw_fares"] = with_(FARES) + f"select * replace ({sec.format('startTime')}) from fares"
+    q["car_lines"] = with_(CARS) + f"""select id, carId, {sec.format('eventTime')},
+  8.5::float as longitude, 47.25::float as latitude, 0::float as consumption, speed::float::double as speed,
+  throttle::float::double as throttle, 0::float as engineload from car_events"""
+    q["mail_records"] = with_(MAILS) + "select * from mails"
+    q["mbox_mails"] = with_(MAILS) + """select * replace (chr(10) || rtrim(body, chr(10)) || chr(10) as body) from mails"""
     q["latest_per_taxi"] = with_(RIDES) + f"select * from {_latest('true')}"
     q["ongoing_rides_for_queries"] = " union all ".join(
         f"""(with {RIDES} select {n}::bigint as queryId, * from {_latest(f"eventTime <= timestamp '{at}'")}

@@ -11,9 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..operators.mail import distinct_mails
 from ..sources import fixtures as fx
+from ..sources.cars import parse_car_lines
+from ..sources.mail import mail_records, parse_mail_records, parse_mbox_mails
+from ..sources.rides import line_to_ride, raw_fares_to_fares, ride_to_line, trips_to_ride_events
 from .oracle import AS_OF, CELL, MAIL_EXCLUDE, ONGOING_QUERIES, RULE_PREDICATE
 from .util import to_ntz
 
@@ -30,10 +35,66 @@ def route_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.route_heatmap(fx.rides(spark, sf_dir))
 
 
+def _ride_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ride as a text line and back."""
+    return line_to_ride(ride_to_line(fx.rides(spark, sf_dir)))
+
+
+def _car_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: every car event as a 23-field line, parsed."""
+    blank = [F.lit("")] * 23
+    at = {0: F.col("carId"), 1: F.col("id"), 9: F.col("speed").cast("string"), 12: F.col("throttle").cast("string"),
+          20: F.lit("8.5"), 21: F.lit("47.25"), 22: F.date_format("eventTime", "yyyy-MM-dd'T'HH:mm:ss'+0000'")}
+    for place, value in at.items():
+        blank[place] = value
+    return parse_car_lines(fx.car_events(spark, sf_dir).select(F.concat_ws(", ", *blank).alias("value")))
+
+
+def _mail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mail as a delimited record and back."""
+    return parse_mail_records(mail_records(fx.mails(spark, sf_dir)))
+
+
+def _mbox_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mail as an mbox text, parsed."""
+    sent = F.to_timestamp("time", "yyyy-MM-dd-HH:mm:ss")
+    text = F.concat_ws(
+        "\n", F.concat(F.lit("From dev-return-1 "), F.date_format(sent, "EEE MMM dd HH:mm:ss yyyy")),
+        F.concat(F.lit("Subject: "), "subject"), F.concat(F.lit("From: "), "sender"),
+        F.concat(F.lit("Message-ID: "), "messageId"),
+        F.when(F.col("replyTo") != "null", F.concat(F.lit("In-Reply-To: "), "replyTo")), F.lit(""), "body")
+    return distinct_mails(parse_mbox_mails(fx.mails(spark, sf_dir).select(text.alias("value")), "dev-return"))
+
+
+def _raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trip columns of every event → START and END records in time order."""
+    r = fx.rides(spark, sf_dir).filter(~F.col("isStart"))
+    show = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    at = {1: F.col("taxiId"), 2: F.col("driverId"), 6: show("startTime"), 7: show("endTime"), 8: F.col("passengerCnt"),
+          11: F.col("startLon"), 12: F.col("startLat"), 13: F.col("endLon"), 14: F.col("endLat")}
+    raw = r.select("rideId", *[(at[i] if i in at else F.lit("")).cast("string").alias(f"_c{i - 1}") for i in range(1, 15)])
+    return trips_to_ride_events(raw, "rideId")
+
+
+def _raw_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw fare columns of every fare → fare records."""
+    at = {1: F.col("taxiId"), 2: F.col("driverId"), 4: F.date_format("startTime", "yyyy-MM-dd HH:mm:ss"),
+          5: F.col("paymentType"), 9: F.col("tip"), 10: F.col("tolls"), 11: F.concat(F.col("totalFare").cast("string"), F.lit("\r"))}
+    raw = fx.fares(spark, sf_dir).select(
+        "rideId", *[(at[i] if i in at else F.lit("")).cast("string").alias(f"_c{i - 1}") for i in range(1, 12)])
+    return raw_fares_to_fares(raw, "rideId")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     R, Fa = fx.rides, fx.fares
     return {
         "clean_rides": _q(lambda s, d: op.clean_rides(R(s, d))),
+        "ride_lines": _q(_ride_lines),
+        "car_lines": _q(_car_lines),
+        "mail_records": _q(_mail_records),
+        "mbox_mails": _q(_mbox_mails),
+        "raw_trips": _q(_raw_trips),
+        "raw_fares": _q(_raw_fares),
         "popular_places": _q(lambda s, d: op.popular_places(R(s, d), 5, "12 hours", "4 hours")),
         "popular_places_sql": _q(lambda s, d: op.popular_places_sql(s, R(s, d), 5, "12 hours", "4 hours")),
         "ride_count": _q(lambda s, d: op.ride_count(R(s, d))),

@@ -22,16 +22,25 @@ FIELD_DELIM = "#|#"
 
 def read_mails(spark: SparkSession, path: str, fields=None) -> DataFrame:
     """Mail records, projected to ``fields`` (names from MAIL_FIELDS)."""
+    return parse_mail_records(spark.read.option("lineSep", RECORD_DELIM).text(path), fields)
+
+
+def parse_mail_records(raw: DataFrame, fields=None) -> DataFrame:
+    """Record texts (column ``value``) → ``fields``; blank records are skipped."""
     fields = list(fields or MAIL_FIELDS)
-    raw = spark.read.option("lineSep", RECORD_DELIM).text(path)
     parts = F.split(F.col("value"), r"#\|#")
     rec = raw.filter(F.length(F.regexp_replace("value", r"^\s+$", "")) > 0).select(parts.alias("p"))
     return rec.select(*[F.element_at("p", MAIL_FIELDS.index(f) + 1).alias(f) for f in fields])
 
 
+def mail_records(mails: DataFrame) -> DataFrame:
+    """Mails as record texts (column ``value``)."""
+    return mails.select(F.concat_ws(FIELD_DELIM, *[F.col(c) for c in MAIL_FIELDS]).alias("value"))
+
+
 def write_mails(mails: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Records re-joined with the two delimiters."""
-    (mails.select(F.concat_ws(FIELD_DELIM, *[F.col(c) for c in MAIL_FIELDS]).alias("value"))
+    (mail_records(mails)
      .write.mode(mode).option("lineSep", RECORD_DELIM).text(path))
 
 
