@@ -170,6 +170,7 @@ def test_catalog_and_table_options(spark):
     with pytest.raises(KeyError):
         cat.get_table("TaxiFares")
     assert spark.sql(f"select count(*) c from {cat.view_name('TaxiRides')}").first().c == 2
+    assert cat.sql("select count(*) c from nyc.TaxiRides where rideId > 0").first().c == 2
     with pytest.raises(ValueError):
         src.register_table(spark, "bad", "taxi-rides", {"path": rp, "max-event-delay-secs": -1})
     t = src.register_table(spark, "rides_opt", "taxi-rides", {"path": rp, "max-event-delay-secs": 60})
@@ -191,5 +192,7 @@ def test_query_lines(spark):
     q = src.location_queries_from_lines(lines).collect()
     assert [(round(r.longitude, 2), round(r.latitude, 2)) for r in q] == [(-73.99, 40.75), (-74.0, 41.0)]
     assert len({r.queryId for r in q}) == 2
+    own = src.location_queries_from_lines(lines.selectExpr("*", "length(value) id"), id_col="id").collect()
+    assert [r.queryId for r in own] == [r.id for r in lines.selectExpr("length(value) id").collect()]
     m = src.minutes_queries_from_lines(spark.createDataFrame([(" 30",)], "value string")).first()
     assert m.minutes == 30

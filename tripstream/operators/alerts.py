@@ -3,7 +3,7 @@
 A START is reported when no END of the same ride arrives within the limit.
 T8 accepts an END exactly at start + limit, the pattern form T10 does not.
 The streaming form with state and event-time timers is in
-``tripstream.streaming.alerts``.
+``tripstream.streaming.jobs``.
 """
 
 from __future__ import annotations

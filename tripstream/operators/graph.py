@@ -60,10 +60,12 @@ def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0
             path = f"{base}/round-{i + 1}"
             ranks.write.mode("overwrite").parquet(path)
             ranks = spark.read.parquet(path)
-    if iterations > 0:
-        # the result reads only the written ranks: release the caches
-        e.unpersist()
-        vertices.unpersist()
+    if iterations == 0:
+        ranks.write.parquet(f"{base}/round-0")
+        ranks = spark.read.parquet(f"{base}/round-0")
+    # the result reads only the written ranks: release the caches
+    e.unpersist()
+    vertices.unpersist()
     if digits is not None:
         ranks = ranks.select("vertex", F.round("rank", digits).alias("rank"))
     return ranks

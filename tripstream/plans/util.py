@@ -36,14 +36,6 @@ def interval_seconds(text: str) -> int:
     return int(float(n) * mult)
 
 
-def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
-    """Collect a small side (queries, rules) after checking its size bound."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what}: more than {limit} rows; pass them as a table join instead")
-    return rows
-
-
 def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Round-robin a narrow scan over the cluster before CPU-heavy per-row work.
 

@@ -29,6 +29,13 @@ class TaxiCatalog:
             raise KeyError(f"table {self.schema}.{name} does not exist")
         return self._tables[name]
 
+    def sql(self, text: str) -> DataFrame:
+        """Run a query that names the tables ``schema.Table``."""
+        tables = {f"{self.schema}_{n}": df for n, df in self._tables.items()}
+        for name in self._tables:
+            text = text.replace(f"{self.schema}.{name}", "{" + f"{self.schema}_{name}" + "}")
+        return self.spark.sql(text, **tables)
+
     def view_name(self, name: str) -> str:
         self.get_table(name)
         return f"{self.schema}_{name}"
@@ -42,7 +49,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
-    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session): let the read decide
+    except AttributeError:  # no JVM gateway (e.g. a remote session): let the read decide
         return True
 
 

@@ -169,11 +169,13 @@ def register_table(spark: SparkSession, name: str, kind: str, options: dict,
 
 # ---------------------------------------------------------------- S18 query lines
 
-def location_queries_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """S18: "lon, lat" text lines → (queryId, longitude, latitude); the id is the
-    caller's (here a hash of the line and its position in the input)."""
+def location_queries_from_lines(lines: DataFrame, col: str = "value", id_col: str | None = None) -> DataFrame:
+    """S18: "lon, lat" text lines → (queryId, longitude, latitude). The id is the
+    caller's column ``id_col``; without one it is a hash of the line, so equal
+    lines are one query however the input is partitioned."""
     parts = F.split(F.trim(F.col(col)), r",\s*")
-    return lines.select(F.xxhash64(F.col(col), F.monotonically_increasing_id()).alias("queryId"),
+    own = F.col(id_col).cast("long") if id_col else F.xxhash64(F.trim(F.col(col)))
+    return lines.select(own.alias("queryId"),
                         parts.getItem(0).cast("float").alias("longitude"),
                         parts.getItem(1).cast("float").alias("latitude"))
 
