@@ -50,6 +50,15 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
             F.xxhash64(F.col(text_col)).alias("_key_text")]
 
 
+def bounded_batches(spark: SparkSession, most: str = "16m") -> None:
+    """Bound Arrow batches by bytes in this session (rows vary in length by many
+    orders of magnitude); a smaller bound that the session has stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > 16 << 20:
+        spark.conf.set(key, most)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], text_col: str,
                   step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of one piece have about
@@ -105,6 +114,7 @@ def map_texts(docs: DataFrame, text_col: str, outputs: str, make, keep: list[str
     new = T.StructType.fromDDL(outputs)
     names = {f.name.lower() for f in new.fields}
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
+    bounded_batches(docs.sparkSession)
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("__map_text"))
     schema = T.StructType([source.schema[c] for c in kept] + new.fields)
 
@@ -115,5 +125,7 @@ def map_texts(docs: DataFrame, text_col: str, outputs: str, make, keep: list[str
             yield pa.RecordBatch.from_arrays(
                 [piece.column(i) for i in range(len(kept))] + list(made),
                 names=kept + [f.name for f in new.fields])
+        # a worker process serves many tasks: hand back what this one has freed
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)

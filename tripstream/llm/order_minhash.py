@@ -37,10 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, shared_path, write_table
+from .common import bounded_batches, map_texts, shared_path, write_table
 from .wu_manber import split_words
 
 KMER = 5
+#: Bytes of text of one step of a task.
+STEP = 4 << 20
 HASHES = 96
 SKETCHES = 32
 MINIMA = 6
@@ -172,7 +174,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, sketches: int, minima:
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel(), pa.int64()))]
         return work
     source = docs.select(F.col(id_col).alias("__o_id"), F.col(text_col).alias("__o_text"))
-    found = map_texts(source, "__o_text", "copy long, n long, keys array<long>", make, ["__o_id"])
+    found = map_texts(source, "__o_text", "copy long, n long, keys array<long>", make, ["__o_id"], STEP)
     return (found.where("copy IS NOT NULL").groupBy("copy")
             .agg(F.min("__o_id").alias("rep"), F.max("n").alias("n"), F.max("keys").alias("keys")))
 
@@ -187,7 +189,7 @@ def _sequences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(k.ends.astype(np.int32)), pa.array(small))]
         return work
     source = docs.select(F.col(id_col).alias("__o_id"), F.col(text_col).alias("__o_text"))
-    return map_texts(source, "__o_text", "copy long, kmers array<int>", make, ["__o_id"])
+    return map_texts(source, "__o_text", "copy long, kmers array<int>", make, ["__o_id"], STEP)
 
 
 def _verified(pairs: DataFrame, kmers: DataFrame, threshold: float) -> DataFrame:
@@ -216,6 +218,7 @@ def _verified(pairs: DataFrame, kmers: DataFrame, threshold: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(hub, pa.int64()), pa.array(copy, pa.int64()),
                                               pa.array(linked, pa.bool_())], names=["hub", "copy", "linked"])
 
+    bounded_batches(pairs.sparkSession)
     return both.mapInArrow(run, "hub long, copy long, linked boolean")
 
 
@@ -306,7 +309,7 @@ def _copies(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` and ``__o_copy``, the hash of the text's words."""
     def make():
         return lambda text: [pa.array(Kmers(text).copies(), pa.int64())]
-    return map_texts(docs, text_col, "__o_copy long", make, keep)
+    return map_texts(docs, text_col, "__o_copy long", make, keep, STEP)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,

@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, text_bytes
+from .common import bounded_batches, map_texts, text_bytes
 
 MIN_WORDS = 20
-LONE_WORDS = 40
+LONE_WORDS = 25
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -150,6 +150,8 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     at = next(k for k, c in enumerate(kept) if c == text_col)
     schema = T.StructType([joined.schema[c] for c in kept] + [T.StructField(c, T.LongType()) for c in outputs])
 
+    bounded_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             texts = batch.column(at)
