@@ -47,7 +47,7 @@ HASHES = 96
 SKETCHES = 32
 MINIMA = 6
 THRESHOLD = 0.8
-#: Buckets of so many classes are compared pair by pair; finer ones of so many.
+#: Buckets of so many classes are compared pair by pair; those made finer once, of so many.
 SMALL, SMALL_FINER = 16, 4
 #: Finer buckets that an open member enters for each one it was in, and the
 #: rounds in which buckets are made finer.
@@ -240,7 +240,7 @@ def _links(classes: DataFrame, members: DataFrame, kmers: DataFrame, threshold:
     while True:
         level += 1
         tested = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-        few = SMALL if level == 1 else SMALL_FINER
+        few = SMALL_FINER if level == 2 else SMALL
         small = members.where(f"n <= {few}").select("bucket", "copy")
         large = members.where(f"n > {few}").join(weight, "copy")
         hubs = large.groupBy("bucket").agg(F.max(F.struct("weight", "copy"))["copy"].alias("hub"))
