@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from llm_docs import docs_of  # noqa: F401
 from tripstream.llm import wu_manber as leaks
 
 

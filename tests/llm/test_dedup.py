@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from llm_docs import docs_of  # noqa: F401
 from tripstream.llm import order_minhash as near
 from tripstream.llm import queries
 from tripstream.llm import sentence_span_dedup as spans

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from llm_docs import docs_of  # noqa: F401
 from tripstream.llm import kneser_ney as lm
 from tripstream.llm.queries import op1_lm_scoring
 

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from llm_docs import docs_of  # noqa: F401
 from tripstream.llm import quality_rules as quality
 from tripstream.llm import queries
 from tripstream.llm import url_rules as urls

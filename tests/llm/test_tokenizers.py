@@ -7,6 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from llm_docs import docs_of  # noqa: F401
 from tripstream.llm import queries
 from tripstream.llm import sentencepiece_agenda as pieces
 from tripstream.llm import token_counts as tokens

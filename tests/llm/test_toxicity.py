@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from llm_docs import docs_of  # noqa: F401
 from tripstream.llm import queries
 from tripstream.llm import toxicity_mil as tox
 
