@@ -34,7 +34,7 @@ import bisect
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, map_texts, shared_path, write_table
@@ -233,16 +233,16 @@ def _links(classes: DataFrame, members: DataFrame, kmers: DataFrame, threshold:
     spark = members.sparkSession
     schema = "hub long, copy long, linked boolean"
     paths: list[str] = []
-    members = write_table(_crowded(members), "omh-members")
-    # pre-aggregated: how many others a class meets, over all its buckets
-    weight = write_table(members.groupBy("copy").agg(F.sum("n").alias("weight")), "omh-weights")
+    # weight: how many others a class meets over all its (at most `sketches`) buckets
+    weight = F.sum("n").over(Window.partitionBy("copy"))
+    members = write_table(_crowded(members).withColumn("weight", weight), "omh-members")
     level = 0
     while True:
         level += 1
         tested = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
         few = SMALL_FINER if level == 2 else SMALL
         small = members.where(f"n <= {few}").select("bucket", "copy")
-        large = members.where(f"n > {few}").join(weight, "copy")
+        large = members.where(f"n > {few}").drop("n")
         hubs = large.groupBy("bucket").agg(F.max(F.struct("weight", "copy"))["copy"].alias("hub"))
         stars = large.join(hubs, "bucket").where("copy <> hub")
         trial = (small.join(small.withColumnRenamed("copy", "hub"), "bucket").where("hub < copy").select("hub", "copy")
@@ -255,13 +255,13 @@ def _links(classes: DataFrame, members: DataFrame, kmers: DataFrame, threshold:
         tested = spark.read.schema(schema).parquet(*paths)
         links = tested.where("linked").select("hub", "copy")
         either = links.unionByName(links.select(F.col("copy").alias("hub"), F.col("hub").alias("copy")))
-        left = stars.select("bucket", "copy", "hub").join(either, ["hub", "copy"], "left_anti") \
-            .select("bucket", "copy")
+        left = stars.join(either, ["hub", "copy"], "left_anti").select("bucket", "copy", "weight")
         if level <= ROUNDS:
             finer = [F.get("keys", (F.pmod(F.col("bucket"), F.lit(7)) + FINER * level + j) % F.size("keys"))
                      for j in range(FINER)]
             left = (left.join(classes.select("copy", "keys"), "copy")
-                    .select(F.explode(F.array(*[F.xxhash64("bucket", k) for k in finer])).alias("bucket"), "copy"))
+                    .select(F.explode(F.array(*[F.xxhash64("bucket", k) for k in finer])).alias("bucket"),
+                            "copy", "weight"))
         members = write_table(_crowded(left.distinct()), "omh-open")
         if members.isEmpty():
             return links
