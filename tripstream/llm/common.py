@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -59,6 +61,14 @@ def bounded_batches(spark: SparkSession, most: str = "16m") -> None:
         spark.conf.set(key, most)
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system: a worker process serves many tasks,
+    and what its allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):     # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], text_col: str,
                   step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of one piece have about
@@ -125,7 +135,7 @@ def map_texts(docs: DataFrame, text_col: str, outputs: str, make, keep: list[str
             yield pa.RecordBatch.from_arrays(
                 [piece.column(i) for i in range(len(kept))] + list(made),
                 names=kept + [f.name for f in new.fields])
-        # a worker process serves many tasks: hand back what this one has freed
-        pa.default_memory_pool().release_unused()
+            del made
+            release_memory()
 
     return source.mapInArrow(run, schema)

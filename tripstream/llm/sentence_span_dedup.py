@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, map_texts, text_bytes
+from .common import bounded_batches, map_texts, release_memory, small_batches, text_bytes
 
+#: Bytes of text of one step of a task.
+STEP = 4 << 20
 MIN_WORDS = 20
 LONE_WORDS = 25
 
@@ -124,7 +126,7 @@ def sentence_runs(docs: DataFrame, id_col: str, text_col: str, min_words: int, l
     source = docs.select(F.col(id_col).alias("__s_id"), F.xxhash64(text_col).alias("__s_hash"),
                          F.col(text_col).alias("__s_text"))
     found = map_texts(source, "__s_text", "runs array<struct<run:long,start:int,end:int>>", make,
-                      ["__s_id", "__s_hash"])
+                      ["__s_id", "__s_hash"], STEP)
     return found.select("__s_id", "__s_hash", F.inline("runs"))
 
 
@@ -153,7 +155,7 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     bounded_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, text_col, STEP):
             texts = batch.column(at)
             s = Sentences(texts)
             later, raw = batch.column(len(kept)).to_pylist(), s.data.tobytes()
@@ -174,5 +176,6 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
             columns = [pa.array(out, texts.type) if k == at else batch.column(k) for k in range(len(kept))]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(c, pa.int64()) for c in counts],
                                              names=[*kept, *outputs])
+            release_memory()
 
     return joined.mapInArrow(run, schema)
