@@ -192,6 +192,30 @@ def test_groups_match_brute_force(spark, docs_of, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in near.near_duplicates(docs_of(docs)).collect()} == want
 
 
+def test_links_that_miss_the_hub(docs_of):
+    """Texts linked to one member of a crowded family each, and not to its hub."""
+    rng = np.random.default_rng(5)
+    docs = []
+    for family in range(2):
+        base = rng.integers(0, 50000, 240)
+        for _ in range(60):
+            core = base.copy()
+            core[rng.choice(np.arange(0, 240, 6), 3, replace=False)] = rng.integers(0, 50000, 3)
+            second = core.copy()
+            second[rng.choice(np.arange(3, 240, 6), 4, replace=False)] = rng.integers(0, 50000, 4)
+            docs += [(len(docs) + k, " ".join(f"w{w}" for w in own)) for k, own in enumerate((core, second))]
+    k = near.Kmers(pa.array([t for _, t in docs]))
+    own, keys = [k.labelled[a:b] for a, b in zip(k.ends, k.ends[1:])], k.sketches(near.SKETCHES, near.MINIMA)
+    root = list(range(len(docs)))
+    for i in range(len(docs)):          # the pairs that share a bucket, all of them
+        for j in np.flatnonzero((keys[:i] == keys[i]).any(axis=1)).tolist():
+            if near.alignment(own[i], own[j], 0.8) >= 0.8 - 1e-12:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    got = {r["doc_id"]: r["class_id"] for r in near.near_duplicates(docs_of(docs)).collect()}
+    assert got == dict(enumerate(root))
+
+
 def test_keep_one_repeated_rows_null_ids_and_empty_table(docs_of):
     text = " ".join(f"w{k}" for k in range(60))
     near_copy = text.replace("w30", "other")

@@ -17,10 +17,14 @@ connected components.
 
 Exact copies (equal words) are one class with one set of keys, so thousands of
 copies cost one row after pre-aggregation. A bucket of up to ``SMALL`` classes is
-compared pair by pair. A larger one never emits all its pairs: its members are
-compared with one hub, the class that meets most others; those that match are
-done, the others go on, in finer buckets of two keys, until no bucket has any
-left. Hubs with many members are dealt out by salted keys.
+compared pair by pair. Of a larger one all members are compared with one hub, the
+class that meets most others. The links so far make components; a bucket inside
+one component is done. In any other one each open member (outside the bucket's
+largest component) meets every member of another component: blocks of open
+members and the bucket, both dealt out by salted keys, are sorted next to each
+other and compared without a join. A pair is compared in the first bucket it
+shares, so each pair that shares a bucket is compared once or lies in one
+component already. Hubs with many members are dealt out by salted keys.
 
 Texts without words are alone in their group; texts of fewer than five words are
 grouped with exact copies only. Null ids take part and get the group's smallest
@@ -47,12 +51,10 @@ HASHES = 96
 SKETCHES = 32
 MINIMA = 6
 THRESHOLD = 0.8
-#: Buckets of so many classes are compared pair by pair; those made finer once, of so many.
-SMALL, SMALL_FINER = 16, 4
-#: Finer buckets that an open member enters for each one it was in, and the
-#: rounds in which buckets are made finer.
-FINER, ROUNDS = 2, 4
-#: Members of one hub that one join key takes.
+#: Buckets of so many classes are compared pair by pair; open members of a larger one
+#: are compared in blocks of about so many.
+SMALL, SMALL_FINER = 16, 32
+#: Members of one hub, or of a bucket beside one block, that one key takes.
 DEALT = 500
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -229,42 +231,113 @@ def _crowded(members: DataFrame) -> DataFrame:
 
 
 def _links(classes: DataFrame, members: DataFrame, kmers: DataFrame, threshold: float) -> DataFrame:
-    """Verified links (hub, copy) among the members (bucket, copy) of each bucket."""
-    spark = members.sparkSession
-    schema = "hub long, copy long, linked boolean"
-    paths: list[str] = []
+    """Links (hub, copy) among the members (bucket, copy) of each bucket: verified,
+    and enough of them for the components of all."""
     # weight: how many others a class meets over all its (at most `sketches`) buckets
     weight = F.sum("n").over(Window.partitionBy("copy"))
     members = write_table(_crowded(members).withColumn("weight", weight), "omh-members")
-    level = 0
-    while True:
-        level += 1
-        tested = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-        few = SMALL_FINER if level == 2 else SMALL
-        small = members.where(f"n <= {few}").select("bucket", "copy")
-        large = members.where(f"n > {few}").drop("n")
-        hubs = large.groupBy("bucket").agg(F.max(F.struct("weight", "copy"))["copy"].alias("hub"))
-        stars = large.join(hubs, "bucket").where("copy <> hub")
-        trial = (small.join(small.withColumnRenamed("copy", "hub"), "bucket").where("hub < copy").select("hub", "copy")
-                 .unionByName(stars.select("hub", "copy"))
-                 .select(F.least("hub", "copy").alias("hub"), F.greatest("hub", "copy").alias("copy")).distinct()
-                 .join(tested, ["hub", "copy"], "left_anti"))
-        path = shared_path(spark, "omh-tested")
-        _verified(write_table(trial, "omh-pairs"), kmers, threshold).write.parquet(path)
-        paths.append(path)
-        tested = spark.read.schema(schema).parquet(*paths)
-        links = tested.where("linked").select("hub", "copy")
-        either = links.unionByName(links.select(F.col("copy").alias("hub"), F.col("hub").alias("copy")))
-        left = stars.join(either, ["hub", "copy"], "left_anti").select("bucket", "copy", "weight")
-        if level <= ROUNDS:
-            finer = [F.get("keys", (F.pmod(F.col("bucket"), F.lit(7)) + FINER * level + j) % F.size("keys"))
-                     for j in range(FINER)]
-            left = (left.join(classes.select("copy", "keys"), "copy")
-                    .select(F.explode(F.array(*[F.xxhash64("bucket", k) for k in finer])).alias("bucket"),
-                            "copy", "weight"))
-        members = write_table(_crowded(left.distinct()), "omh-open")
-        if members.isEmpty():
-            return links
+    small = members.where(f"n <= {SMALL}").select("bucket", "copy")
+    large = members.where(f"n > {SMALL}").drop("n")
+    hubs = large.groupBy("bucket").agg(F.max(F.struct("weight", "copy"))["copy"].alias("hub"))
+    stars = large.join(hubs, "bucket").where("copy <> hub")
+    trial = (small.join(small.withColumnRenamed("copy", "hub"), "bucket").where("hub < copy").select("hub", "copy")
+             .unionByName(stars.select("hub", "copy"))
+             .select(F.least("hub", "copy").alias("hub"), F.greatest("hub", "copy").alias("copy")).distinct())
+    tested = write_table(_verified(write_table(trial, "omh-pairs"), kmers, threshold), "omh-tested")
+    links = tested.where("linked").select("hub", "copy")
+    if large.isEmpty():
+        return links
+    # the hub has met all others of its bucket
+    met = stars.select("bucket", "copy").join(components(links), "copy", "left") \
+        .select("bucket", "copy", F.coalesce("root", "copy").alias("root"))
+    parts = met.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("n"),
+                                         F.max("n").alias("most"), F.count(F.lit(1)).alias("roots"))
+             .where("roots > 1")
+             .select("bucket", "main", F.ceil((F.col("n") - F.col("most")) / SMALL_FINER).cast("int").alias("blocks"),
+                     F.ceil(F.col("n") / DEALT).cast("int").alias("deals")))
+    mixed = write_table(met.join(mixed, "bucket").withColumn("open", F.expr("root <> main")).drop("main"), "omh-mixed")
+    if mixed.isEmpty():
+        return links
+    return links.unionByName(write_table(_met_in_blocks(mixed, classes, kmers, threshold), "omh-late"))
+
+
+def _met_in_blocks(mixed: DataFrame, classes: DataFrame, kmers: DataFrame, threshold: float) -> DataFrame:
+    """Links (hub, copy) between the open members of each bucket and its members
+    of other components, where they are not linked through others in the block."""
+    own = F.xxhash64("copy")
+    block, deal = F.pmod(own, F.col("blocks")).cast("int"), F.pmod(own, F.col("deals")).cast("int")
+    full = mixed.join(kmers, "copy").join(classes.select("copy", "keys"), "copy")
+    rest = ["copy", "root", "open", "keys", "kmers"]
+    opened = full.where("open").select("bucket", block.alias("block"), F.lit(0).alias("side"), *rest,
+                                       F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"))
+    others = full.select("bucket", deal.alias("deal"), F.lit(1).alias("side"), *rest,
+                         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    place = ["bucket", "block", "deal"]
+    both = (opened.unionByName(others).select(*place, "side", *rest).repartition(*place)
+            .sortWithinPartitions(*place, "side"))
+
+    def run(batches):
+        at, held = None, _Block(threshold)
+        for batch in batches:
+            places = zip(*(batch.column(k).to_pylist() for k in range(3)))
+            side, copy, root, opened = (batch.column(k).to_pylist() for k in range(3, 7))
+            lists = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False))
+                     for c in (batch.column(7), batch.column(8))]
+            found: list[tuple[int, int]] = []
+            for k, here in enumerate(places):
+                if here != at:
+                    at, held = here, _Block(threshold)
+                keys, own = (values[ends[k]:ends[k + 1]] for ends, values in lists)
+                if side[k] == 0:
+                    held.add(copy[k], root[k], keys, own)
+                else:
+                    found += held.meet(here[0], copy[k], root[k], opened[k], keys, own)
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                                              pa.array([f[1] for f in found], pa.int64())], names=["hub", "copy"])
+
+    bounded_batches(mixed.sparkSession)
+    return both.mapInArrow(run, "hub long, copy long")
+
+
+class _Block:
+    """Open members of one bucket, which its other members meet one by one."""
+
+    def __init__(self, threshold: float):
+        self.threshold = threshold
+        self.copy, self.root, self.keys, self.kmers, self.order = [], [], [], [], []
+        self.all_keys: np.ndarray | None = None
+        self.joined: dict[int, int] = {}
+
+    def add(self, copy: int, root: int, keys: np.ndarray, kmers: np.ndarray) -> None:
+        self.copy.append(copy)
+        self.root.append(root)
+        self.keys.append(keys.copy())
+        self.kmers.append(kmers.copy())
+        self.order.append(np.argsort(kmers, kind="stable"))
+
+    def _find(self, root: int) -> int:
+        while (above := self.joined.get(root, root)) != root:
+            root = above
+        return root
+
+    def meet(self, bucket: int, copy: int, root: int, opened: bool, keys: np.ndarray, kmers: np.ndarray):
+        """Links of the block's members to this one, without pairs of one component,
+        of an earlier shared bucket, or (both open) of the other direction."""
+        if self.all_keys is None:
+            self.all_keys = np.stack(self.keys)
+            self.size = np.array([len(x) for x in self.kmers])
+        first = (self.all_keys == keys).argmax(axis=1)
+        fit = np.minimum(self.size, len(kmers)) >= self.threshold * np.maximum(self.size, len(kmers)) - 1e-9
+        found = []
+        for k in np.flatnonzero((keys[first] == bucket) & fit).tolist():
+            if opened and self.copy[k] >= copy:
+                continue
+            a, b = self._find(self.root[k]), self._find(root)
+            if a != b and alignment(self.kmers[k], kmers, self.threshold, self.order[k]) >= self.threshold - 1e-12:
+                self.joined[a] = b
+                found.append((self.copy[k], copy))
+        return found
 
 
 def components(links: DataFrame) -> DataFrame:
