@@ -39,6 +39,27 @@ def test_learns_from_document_labels_and_locates_the_sentence():
     assert text[s.span[1, 0]:s.span[1, 1]].strip() == "You vile GROBNAK person."
 
 
+def test_learns_many_rare_words():
+    """200 offending words, each in about one in a hundred toxic documents."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    word = lambda: "".join(rng.choice(letters, 9))
+    rare, usual = [word() for _ in range(200)], np.array([word() for _ in range(800)])
+    texts, labels = [], []
+    for k in range(3200):
+        parts = [" ".join(rng.choice(usual, 8)) + "." for _ in range(8)]
+        if k % 2 == 0:
+            for w in rng.choice(rare, 2, replace=False):
+                parts[rng.integers(0, 8)] = f"{rng.choice(usual)} {w} {rng.choice(usual)}."
+        texts.append(" ".join(parts))
+        labels.append(int(k % 2 == 0))
+    labels = np.array(labels)
+    model = tox.fit(texts[:2800], labels[:2800])
+    score, _ = model.score(tox.split_sentences(pa.array(texts[2800:])))
+    found = score >= 0.7
+    assert found[labels[2800:] > 0].mean() > 0.8 and found[labels[2800:] == 0].mean() < 0.05
+
+
 def test_noisy_or():
     model = tox.Model(np.zeros(1 << tox.FEATURE_BITS, np.float32), -1.0)
     p = 1 / (1 + np.exp(1.0))

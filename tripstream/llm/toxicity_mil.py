@@ -152,14 +152,31 @@ class Model:
         return np.clip(doc, 0, 1), p
 
 
+def _squares(g: np.ndarray, s: Sentences, column: np.ndarray, features: int) -> np.ndarray:
+    """Of each feature, the sum over documents of the squared pull of the
+    document's sentences ``g`` on it."""
+    by_word = np.repeat(g, np.diff(s.first_word))
+    document = np.repeat(np.repeat(np.arange(len(s.first_sentence) - 1), np.diff(s.first_sentence)),
+                         np.diff(s.first_word))
+    out = np.zeros(features)
+    for c in column.T:
+        both, where = np.unique(document * features + c[s.number], return_inverse=True)
+        out += np.bincount(both % features, weights=np.bincount(where, weights=by_word) ** 2, minlength=features)
+    return out
+
+
 def fit(texts: list[str], labels: np.ndarray, rate: float | None = None, steps: int = STEPS,
-        least: float = 4.0, share: float = 0.05) -> Model:
+        least: float = 4.0, share: float = 0.05,
+        sure: float = 3.0) -> Model:
     """Weights by full-batch Adam on the noisy-or likelihood. Weights are evidence
     for toxicity only (never negative). In the first half of the steps a feature
-    needs the pull of more toxic documents than ``least`` and than a ``share`` of
-    them (one sentence's part of each) to grow; the second half refits those that
-    did, with a tenth of that. ``rate`` is the
-    share of toxic documents, if the sample has another one."""
+    needs the pull of more toxic documents than ``least``, and than a ``share`` of
+    them (one sentence's part of each) or ``sure`` standard errors of its own pull,
+    whichever is less, to grow. The error is the root of the summed squares of the
+    pulls of its documents, toxic and clean, at the first step, so the bar of a rare
+    word of toxic documents alone is ``sure`` squared of them in a sample of any
+    size. The second half refits those that did, with a tenth of that. ``rate`` is
+    the share of toxic documents, if the sample has another one."""
     labels = np.asarray(labels, dtype=np.float64)
     weights = np.zeros(1 << FEATURE_BITS)
     own = float(labels.mean()) if len(labels) else 0.0
@@ -179,11 +196,10 @@ def fit(texts: list[str], labels: np.ndarray, rate: float | None = None, steps:
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     per_text = np.diff(s.first_sentence)
     words_of = np.diff(s.first_word)
-    first = max(least, share * labels.sum()) * rate / own / mean / len(labels)
+    one = rate / own / mean / len(labels)
     for t in range(1, steps + 1):
         if t == steps // 2:
             chosen = w > 0
-        pull = first if t < steps // 2 else 0.1 * first
         z = sum(w[c] for c in column.T)
         p = 1 / (1 + np.exp(-np.clip(_group_sums(z[number], s.first_word) + bias, -40, 40)))
         miss = np.exp(_group_sums(np.log1p(-np.minimum(p, 1 - 1e-9)), s.first_sentence))
@@ -191,6 +207,10 @@ def fit(texts: list[str], labels: np.ndarray, rate: float | None = None, steps:
         # d loss / d logit of a sentence: p where the document is clean,
         # -p (1 - P) / P where it is toxic
         g = p * np.repeat(weight * np.where(labels > 0, -miss / hit, 1.0), per_text) / len(labels)
+        if t == 1:
+            first = np.minimum(share * labels.sum() * one, sure * np.sqrt(_squares(g, s, column, len(used))))
+            first = np.maximum(first, least * one)
+        pull = first if t < steps // 2 else 0.1 * first
         by_word = np.bincount(number, weights=np.repeat(g, words_of), minlength=len(s.words))
         gw = sum(np.bincount(c, weights=by_word, minlength=len(used)) for c in column.T) + pull
         gb = g.sum()
