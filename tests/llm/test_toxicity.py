@@ -60,6 +60,16 @@ def test_learns_many_rare_words():
     assert found[labels[2800:] > 0].mean() > 0.8 and found[labels[2800:] == 0].mean() < 0.05
 
 
+def test_labels_of_long_texts_count(spark, docs_of):
+    """All toxic texts are longer than the sample takes by itself."""
+    texts, labels = sample(80)
+    docs = docs_of([(k, t + " " * 400 * int(y)) for k, (t, y) in enumerate(zip(texts, labels))])
+    known = spark.createDataFrame([(k, int(y)) for k, y in enumerate(labels)], "doc_id long, toxic int")
+    model = tox.train(docs, known, F.lit(True), sample_chars=300)
+    score, _ = model.score(tox.split_sentences(pa.array(["you vile grobnak person.", "the sun is out."])))
+    assert score[0] >= 0.7 and score[1] < 0.3
+
+
 def test_noisy_or():
     model = tox.Model(np.zeros(1 << tox.FEATURE_BITS, np.float32), -1.0)
     p = 1 / (1 + np.exp(1.0))

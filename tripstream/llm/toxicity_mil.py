@@ -9,8 +9,8 @@ learnt without sentence labels and can be located afterwards.
 
 The model is fitted on a bounded sample of labelled rows (the ids
 with the smallest hash, ``SAMPLE_TOXIC`` of the toxic and ``SAMPLE_CLEAN`` of the
-clean ones, weighted by the share of their label among all labelled rows; texts up to ``SAMPLE_CHARS`` characters; longer texts
-are left to other rows, never cut). Scoring covers every whole text; its cost
+clean ones, weighted by the share of their label among all labelled rows; texts up to ``SAMPLE_CHARS`` characters, and where
+those of a label run out its shortest longer ones, up to ``SAMPLE_CHARS`` times the missing rows in all; never cut). Scoring covers every whole text; its cost
 per batch is one weight sum per distinct word.
 
 Null and empty texts have no sentence and get the score of the model's bias.
@@ -231,17 +231,28 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     """Fit on labelled rows for which ``learn`` (a condition on the id) holds."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
              .groupBy("id").agg(F.max("label").alias("label")))
-    texts = (docs.where(learn).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-             .where(F.length("text") <= sample_chars))
-    learnt = write_table(texts.select("id").distinct().join(known, "id"), "toxicity-labels")
+    texts = docs.where(learn).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sizes = texts.groupBy("id").agg(F.min(F.length("text")).alias("chars"))
+    learnt = write_table(sizes.join(known, "id"), "toxicity-labels")
     counts = learnt.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("toxic")).first()
     if not counts["n"]:
         return fit([], np.zeros(0))
-    by_hash = [F.xxhash64("id"), F.col("id")]
-    chosen = (learnt.where("label > 0").orderBy(*by_hash).limit(sample_toxic)
-              .unionByName(learnt.where("label <= 0").orderBy(*by_hash).limit(sample_clean)))
-    # bounded by the three parameters; of rows that share an id the first text counts
-    rows = (texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    ids = []
+    for label, most in (("label > 0", sample_toxic), ("label <= 0", sample_clean)):
+        of = learnt.where(label)
+        short = of.where(F.col("chars") <= sample_chars).orderBy(F.xxhash64("id"), "id").limit(most).collect()
+        ids += short
+        left = (most - len(short)) * sample_chars
+        if left:
+            for r in (of.where(F.col("chars") > sample_chars).orderBy("chars", F.xxhash64("id"), "id")
+                      .limit(most - len(short)).collect()):
+                left -= r["chars"]
+                if left < 0:
+                    break
+                ids.append(r)
+    chosen = docs.sparkSession.createDataFrame(ids, learnt.schema)
+    # bounded by the three parameters; of rows that share an id the first of the shortest counts
+    rows = (texts.join(F.broadcast(chosen), "id").where(F.length("text") == F.col("chars")).groupBy("id", "label").agg(F.min("text").alias("text"))
             .orderBy(F.xxhash64("id"), "id").collect())
     texts, known = [r["text"] for r in rows], np.array([r["label"] for r in rows])
     del rows
