@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import html_consensus as html
 from . import kneser_ney as lm
 from . import order_minhash as near
+from . import periodic_runs as periodic
 from . import quality_rules as quality
 from . import sentence_span_dedup as spans
 from . import sentencepiece_agenda as pieces
@@ -92,6 +93,37 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def _periodic_tail(docs: DataFrame) -> DataFrame:
+    """``docs`` with the words from a on of every tenth text (by crc32 of its id)
+    replaced by repeats of the p words there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.select("doc_id", "text", g.alias("_g"), words.alias("_w")).withColumn("_n", F.size("_w"))
+    docs = docs.withColumn("_a", F.when(F.col("_n") > 0, (F.col("_g") % F.col("_n")).cast("int")))
+    left = F.col("_n") - F.col("_a")
+    docs = docs.withColumn("_p", (1 + F.floor(left / (3 + F.col("_g") % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice("_w", F.col("_a") + 1, F.col("_p")), F.ceil(left / F.col("_p")).cast("int")))
+    again = F.concat(F.slice("_w", F.lit(1), F.col("_a")), F.slice(tail, F.lit(1), left))
+    return docs.select("doc_id", F.when(F.col("_n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.periodic_runs(_periodic_tail(docs), keep=["doc_id"])
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    better = lambda a, b: F.coalesce(b["length"] * a["period"] > a["length"] * b["period"], F.lit(True))
+    best = F.reduce("runs", none, lambda a, b: F.when(better(a, b), b).otherwise(a))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_best.start").alias("start"),
+        F.col("_best.length").alias("length"), F.col("_best.period").alias("period"),
+        F.floor(F.col("_best.length") * 1000 / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -104,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_decontamination": op10_decontamination,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 
