@@ -36,13 +36,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` into the shared folder and read it back: cuts lineage at a
-    copy every executor sees, so later steps survive a lost executor."""
+def store_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``write_table`` with the path, for ``remove_table``."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the shared folder and read it back: cuts lineage at a
+    copy every executor sees, so later steps survive a lost executor."""
+    return store_table(df, name)[0]
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that a later one has replaced."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def row_key(id_col: str, text_col: str) -> list[Column]:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import conversation_trie as trie
 from . import html_consensus as html
 from . import kneser_ney as lm
 from . import order_minhash as near
@@ -124,6 +125,23 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def _rebuilt(talks: DataFrame) -> DataFrame:
+    """Every conversation with its first h turns from the conversation whose
+    number is the next lower multiple of 20."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    talks = talks.withColumn("_from", F.col("conv_id") - F.col("conv_id") % 20)
+    base = talks.where("conv_id = _from").select("_from", F.slice("turns", 1, 3).alias("_base"))
+    none = F.slice("turns", 1, 0)
+    turns = F.concat(F.slice(F.coalesce("_base", none), F.lit(1), h), F.slice("turns", h + 1, F.greatest(F.size("turns") - h, F.lit(0))))
+    return talks.join(base, "_from", "left").select("conv_id", turns.alias("turns"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    nodes = trie.prefix_trie(_rebuilt(trie.conversation_turns(rows)))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -137,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minhash_dedup": op9_minhash_dedup,
         "op10_decontamination": op10_decontamination,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_conversation_trie": op12_conversation_trie,
     }
 
 
@@ -223,9 +242,52 @@ FROM parts LEFT JOIN fits ON parts.page_id = fits.page_id AND k = 1
 """
 
 
+OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, sha256(length(role)::VARCHAR || ':' || role || text)) AS p FROM t),
+c AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda r, i: xor(r >> 1, (r & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS own, p, role, text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND p <= h
+  UNION ALL SELECT c.conv_id, 1, p, role, text FROM c JOIN o USING (conv_id) WHERE p > h),
+prefix AS (
+  SELECT conv_id, row_number() OVER w AS depth, list(struct_pack(role := role, text := text)) OVER w AS path,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS words
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+member AS (
+  SELECT sha256(to_json(path)::VARCHAR) AS node, CASE WHEN depth > 1 THEN sha256(to_json(path[:-2])::VARCHAR) ELSE '' END AS parent,
+    conv_id, depth, words, path FROM prefix
+  UNION ALL SELECT '', NULL, conv_id, 0, 0, NULL FROM c),
+node AS (
+  SELECT node, any_value(parent) AS parent, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs,
+    (count(*) - 1) * any_value(words) AS own FROM member GROUP BY node),
+child AS (SELECT parent AS node, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent),
+sized AS (SELECT node.*, coalesce(child.n, 0) AS n_children FROM node LEFT JOIN child USING (node)),
+above AS (
+  SELECT DISTINCT a.node AS top, m.node FROM member m JOIN member a ON a.conv_id = m.conv_id AND a.depth <= m.depth),
+below AS (
+  SELECT top AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens
+  FROM above JOIN sized USING (node) GROUP BY top),
+longest AS (SELECT conv_id, max(depth) AS depth FROM member GROUP BY conv_id),
+ends AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM member JOIN longest USING (conv_id, depth) GROUP BY node)
+SELECT s.conv_id, s.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, s.n_convs::BIGINT AS n_convs,
+  s.n_children::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM sized s JOIN below b USING (node) LEFT JOIN sized p ON p.node = s.parent LEFT JOIN ends e ON e.node = s.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_quality_rules": OP5_SQL.replace("STOP_LIST", _sql_list(quality.STOP_WORDS)),
         "op6_url_filters": OP6_SQL,
         "op10_decontamination": OP10_SQL,
+        "op12_conversation_trie": OP12_SQL,
     }
