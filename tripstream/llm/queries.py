@@ -13,6 +13,7 @@ from . import html_consensus as html
 from . import kneser_ney as lm
 from . import order_minhash as near
 from . import periodic_runs as periodic
+from . import quality_kernel as kernel
 from . import quality_rules as quality
 from . import sentence_span_dedup as spans
 from . import sentencepiece_agenda as pieces
@@ -142,6 +143,14 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = kernel.train(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    scored = kernel.score_documents(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -156,6 +165,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontamination": op10_decontamination,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_conversation_trie": op12_conversation_trie,
+        "op13_quality_classifier": op13_quality_classifier,
     }
 
 
