@@ -142,6 +142,8 @@ def test_odd_rows(spark, docs_of):
     rows = kernel.score_documents(df, model).collect()
     assert len(rows) == len(TEXTS) + 2 and all(0 <= r["score"] <= 1 for r in rows) and rows[0]["word"] == "x"
     assert len({r["score"] for r in rows if not r["text"]}) == 1
+    described = kernel.score_statistics(kernel.document_statistics(df), model).collect()
+    assert sorted((r["doc_id"] or -1, r["score"]) for r in described) == sorted((r["doc_id"] or -1, r["score"]) for r in rows)
     empty = kernel.score_documents(df.where("false"), model)
     assert empty.count() == 0
     assert kernel.train(df.where("false"), labels, F.lit(True)).rates[0] == 0.5

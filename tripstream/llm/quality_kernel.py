@@ -270,13 +270,21 @@ def _constant(rate: float) -> Model:
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> Model:
     """Fit on all labelled rows for which ``learn`` (a condition on the id) holds."""
+    described, at = store_table(document_statistics(docs.where(learn), text_col, keep=[id_col]), "quality-described")
+    model = train_statistics(described, labels, F.lit(True), id_col, label_col)
+    remove_table(docs.sparkSession, at)
+    return model
+
+
+def train_statistics(described: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
+                     label_col: str = "quality") -> Model:
+    """``train`` from documents that have ``stats``: texts do not meet the labels."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
              .groupBy("id").agg((F.min("label") > 0).cast("int").alias("label")))
-    texts = docs.where(learn).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    spark = docs.sparkSession
+    rows = described.where(learn).select(F.col(id_col).alias("id"), "stats").join(known, "id")
+    spark = described.sparkSession
     rows, rows_at = store_table(
-        document_statistics(texts.join(known, "id"), keep=["id", "label"])
-        .select("stats", "label", F.pmod(F.xxhash64("id"), F.lit(FOLDS)).cast("int").alias("fold")), "quality-statistics")
+        rows.select("stats", "label", F.pmod(F.xxhash64("id"), F.lit(FOLDS)).cast("int").alias("fold")), "quality-rows")
     s = [F.get("stats", F.lit(k)) for k in range(len(STATS))]
     seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones"), F.array(*map(F.avg, s)).alias("mean"),
                     F.array(*map(F.stddev_pop, s)).alias("scale")).first()
@@ -333,3 +341,22 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text", thres
         return work
 
     return map_texts(spread(docs), text_col, "score double, predicted int", make, keep, step_bytes=4 << 20)
+
+
+def score_statistics(described: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """``score_documents`` from documents that have ``stats``, which go."""
+    from pyspark.sql import types as T
+    kept = [c for c in described.columns if c.lower() not in ("stats", "score", "predicted")]
+    shared = described.sparkSession.sparkContext.broadcast(model)
+    source = described.select(*[F.col(f"`{c}`") for c in kept], F.col("stats"))
+    schema = T.StructType([source.schema[c] for c in kept] + T.StructType.fromDDL("score double, predicted int").fields)
+
+    def run(batches):
+        for batch in batches:
+            stats = batch.column(len(kept)).flatten().to_numpy().reshape(-1, len(STATS))
+            score = np.clip(shared.value.score(stats), 0, 1)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(k) for k in range(len(kept))], pa.array(score), pa.array((score >= threshold).astype(np.int32))],
+                names=[*kept, "score", "predicted"])
+
+    return source.mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from . import token_counts as tokens
 from . import toxicity_mil as toxicity
 from . import url_rules as urls
 from . import wu_manber as leaks
-from .common import crc_mod
+from .common import crc_mod, write_table
 
 #: (host, path, verdict) of the registered URL rules.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -146,8 +146,9 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
-    model = kernel.train(docs, _table(spark, sf_dir, "labels"), ~held_out)
-    scored = kernel.score_documents(docs, model, keep=["doc_id"])
+    described = write_table(kernel.document_statistics(docs, keep=["doc_id"]), "quality-described")   # texts are read once
+    model = kernel.train_statistics(described, _table(spark, sf_dir, "labels"), ~held_out)
+    scored = kernel.score_statistics(described, model)
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
