@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -37,14 +38,19 @@ def test_keyed_scan_equals_plain_windows(spark):
 
 def test_single_hot_key_is_spread_over_tasks(spark):
     """All rows share one key: the in-bucket windows still run in many tasks."""
-    df = spark.range(20000).select(F.lit(7).alias("k"), (F.col("id") * 37).alias("t"),
+    n = 20_000
+    df = spark.range(n).select((F.col("id") % 1 + 7).alias("k"), (F.col("id") * 37).alias("t"),
                                    F.col("id").alias("id"), F.lit(1.0).alias("v"))
     out = keyed_scan(df, ["k"], ["t", "id"], F.floor(F.col("t") / 10000),
                      {"c": ("count", F.col("v"))})
+    dealt = keyed_scan(df, ["k"], ["t", "id"], None, {"c": ("count", F.col("v"))})
+    for scan in (out, dealt):
+        per_task = scan.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(per_task) >= 4 and max(r["count"] for r in per_task) < n / 2
     per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_task) >= 4
-    assert max(r["count"] for r in per_task) < 20000 / 2
-    assert out.agg(F.max("c")).first()[0] == 20000
+    assert max(r["count"] for r in per_task) < n / 2
+    assert out.agg(F.max("c")).first()[0] == n
 
 
 def test_scale_conf_sizes_partitions():
@@ -101,3 +107,42 @@ def test_stand_in_values_for_key_types(spark):
                                "k timestamp, s string, t int, v double")
     got = keyed_scan(df, ["k", "s"], ["t"], F.floor(F.col("t") / 10), {"c": ("count", F.col("v"))})
     assert sorted(r.c for r in got.collect()) == [1, 1]
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_the_rows_move_once(spark, tmp_path):
+    """One exchange of the events; what the part table needs is combined before its own."""
+    path = str(tmp_path / "events")
+    spark.range(30000).selectExpr("id % 3 AS k", "id AS t", "id", "'text' AS payload").write.parquet(path)
+    df = spark.read.parquet(path)
+    for bucket in (None, F.floor(F.col("t") / 1000)):
+        plan = _plan(keyed_scan(df, ["k"], ["t", "id"], bucket, {"c": ("count", F.lit(1)), "n": ("next", F.col("t"))}))
+        scans = [line for line in plan.split("\n") if "FileScan" in line]
+        assert len(scans) == 2 and sum("payload" in line for line in scans) == 1
+        assert plan.count("REPARTITION_BY_NUM") == 1
+        # every other exchange takes aggregated rows
+        for line in plan.split("Exchange hashpartitioning")[1:]:
+            assert "REPARTITION_BY_NUM" in line or re.search(r"HashAggregate|SortAggregate|Project", line)
+
+
+def test_part_bounds_of_hot_keys_only(spark):
+    from tripstream.plans.prefix import part_bounds
+    df = spark.range(4000).selectExpr("IF(id % 2 = 0, 0, id) AS k", "id AS t", "id")
+    found = part_bounds(df, ["k"], ["t", "id"])
+    assert [k for k, _ in found] == [(0,)] and 4 <= len(found[0][1]) < 16
+    assert part_bounds(df.where("k > 0"), ["k"], ["t", "id"]) == [] == part_bounds(df.where("false"), ["k"], ["t", "id"])
+
+
+def test_the_operators_move_their_events_once(spark):
+    """driving_sessions, driving_segments and sort_car_events: one exchange of the events each."""
+    from conftest import SF_ORACLE
+    from tripstream import operators as op
+    from tripstream.sources import fixtures as fx
+    cars = fx.car_events(spark, SF_ORACLE)
+    for df in (op.driving_sessions(cars, "12 hours"), op.driving_segments(cars)):
+        plan = _plan(df)
+        assert plan.count("FileScan") <= 2 and plan.count("REPARTITION_BY_NUM") == 1

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.prefix import duration_bucket, keyed_scan, ordered_parts
+from ..plans.prefix import dealt, duration_bucket, keyed_scan, ordered_parts
 from ..plans.util import interval_seconds
 
 
@@ -60,17 +60,18 @@ def driving_sessions(events: DataFrame, gap: str = "15 seconds", bucket: str | N
     if bk is None:
         events, bk = ordered_parts(events, ["carId"], ["eventTime", "id"]), F.col("_part")
     # car key as (non-null stand-in, null flag) so a null car id is a group of its own
-    ev = events.withColumns({"_bk": bk,
-                             "_t": F.unix_micros("eventTime"),
-                             "_kv": F.coalesce(F.col("carId"), F.lit("")),
-                             "_kz": F.col("carId").isNull()})
+    ev = events.select("carId", "id", "eventTime", "speed", "throttle", bk.alias("_bk"), F.unix_micros("eventTime").alias("_t"),
+                       F.coalesce(F.col("carId"), F.lit("")).alias("_kv"), F.col("carId").isNull().alias("_kz"))
     keys = ["_kv", "_kz"]
+    ev = dealt(ev, [*keys, "_bk"])
     w = Window.partitionBy(*keys, "_bk").orderBy("_t", "id")
     ev = ev.withColumn("_lag", F.lag("_t").over(w))
     ev = ev.withColumn("_inner", F.when(F.col("_lag").isNotNull() & (t - F.col("_lag") > gap_us), t))
+    # of every column, so that both uses of the rows read one exchange
+    whole = F.max(F.xxhash64(*ev.columns))
     per_bucket = (ev.groupBy(*keys, "_bk")
                   .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
-                       F.max("_inner").alias("_lastInner")))
+                       F.max("_inner").alias("_lastInner"), whole.alias("_whole")).where("_whole IS NOT NULL"))
     wb = Window.partitionBy(*keys).orderBy("_bk")
     prev_last = F.lag("_last").over(wb)
     per_bucket = per_bucket.withColumn(

@@ -5,45 +5,103 @@ key" (newest customer so far, running minimum distance, regression sums, rank,
 next stop). A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a
 key into one task, which fails when one key holds a large share of the data.
 
-``keyed_scan`` has one plan for every input size. ``ordered_parts`` deals the
-rows out by ranges of (key, order columns), measured by Spark's range
-partitioning, so a hot key, a burst and rows of equal time (told apart by the
-later order columns) all spread over as many parts as their share asks for:
-
-1. partial aggregate per (key, part)          – groupBy, map-side combine;
-2. carry-in per (key, part) over earlier parts – window over the small part
+``keyed_scan`` splits such keys. ``ordered_parts`` numbers ranges of the order of
+every key whose share of a bounded sample is above one task's, so a hot key, a
+burst and rows of equal time (told apart by the later order columns) spread over
+as many parts as their share asks for; all other keys are one part. The bounds
+are collected before the plan is built, so they stay the same when a task is run
+again, and meet the rows through a broadcast of one row per split key. The rows
+move once, by (key, part), for steps 3 and 4; step 1 reads only the columns it
+needs and combines them before its exchange:
+
+1. partial aggregate per (key, part);
+2. carry-in per (key, part) over earlier parts - a window over the small part
    table (one row per key and part, not per event);
-3. running aggregate inside (key, part)       – window partitioned by (key, part);
+3. running aggregate inside (key, part);
 4. combine carry-in and in-part value.
 
-The dealt rows are written to the shared checkpoint folder: both uses of them see
-the same ranges, and a lost executor costs no new sampling. A caller that knows
-a good monotone bucket of the first order column can pass it instead.
+Rows that are equal in all order columns stay together: give a unique last one.
+A caller that knows a good monotone bucket of the first order column can pass it
+instead.
 """
 
 from __future__ import annotations
 
-import uuid
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
 from .util import interval_seconds
 
 KINDS = ("sum", "count", "min", "max", "last", "next")
 
 
-def ordered_parts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``df`` with ``_part``: the number of its range of (keys, order). Along
-    the order (nulls first) of a key's rows the parts never decrease."""
+#: Sampled rows per shuffle partition, and at most in all.
+SAMPLE_PER_PART, SAMPLE_MOST = 60, 100_000
+
+
+def part_bounds(df: DataFrame, keys: list[str], order: list[str]) -> list[tuple]:
+    """(key values, bounds) of every key with more rows than an even task would
+    hold: the rows at which its parts after the first begin, in order. From one
+    sample of ``SAMPLE_PER_PART`` rows per shuffle partition."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(n, *[F.col(c).asc() for c in [*keys, *order]]) \
-        .withColumn("_part", F.spark_partition_id())
-    path = f"{ensure_checkpoint_dir(spark)}/scan-{uuid.uuid4().hex}"
-    parts.write.parquet(path)
-    return spark.read.schema(parts.schema).parquet(path)
+    narrow = df.select(*dict.fromkeys([*keys, *order]))
+    rows, wanted = narrow.count(), min(SAMPLE_PER_PART * n, SAMPLE_MOST)
+    if not rows:
+        return []
+    sample = narrow.sample(min(1.0, wanted / rows), 7) if wanted < rows else narrow
+    # sorted by Spark, so that its order and not Python's decides
+    pair = F.struct(F.struct(*keys).alias("k"), F.struct(*order).alias("o"))
+    drawn = sample.agg(F.array_sort(F.collect_list(pair)).alias("s")).first()["s"]
+    of_key: dict[tuple, list] = {}
+    for r in drawn:
+        of_key.setdefault(tuple(r["k"]), []).append(r["o"])
+    found = []
+    for key, places in of_key.items():
+        parts = min(math.ceil(2 * n * len(places) / len(drawn)), len(places))
+        if len(places) * n > len(drawn) and parts > 1:
+            found.append((key, [places[k * len(places) // parts] for k in range(1, parts)]))
+    return found
+
+
+def ordered_parts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``_part``: along the order (nulls first) of a key's rows the parts
+    never decrease, and a key with a large share of the rows has many."""
+    found = part_bounds(df, keys, order)
+    if not found:
+        return df.withColumn("_part", F.lit(0))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    place = T.StructType([T.StructField(c, types[c]) for c in order])
+    schema = T.StructType([*[T.StructField(f"_bk{i}", types[k]) for i, k in enumerate(keys)],
+                           T.StructField("_chunks", T.ArrayType(T.ArrayType(place)))])
+    rows = []
+    for key, bounds in found:
+        size = math.isqrt(len(bounds)) + 1
+        rows.append((*key, [bounds[i:i + size] for i in range(0, len(bounds), size)]))
+    # one row per split key, some two bounds per shuffle partition in all
+    table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    on = None
+    for i, k in enumerate(keys):
+        same = df[k].eqNullSafe(table[f"_bk{i}"])
+        on = same if on is None else on & same
+    at = F.struct(*[F.col(c) for c in order])
+    # bounds come in chunks: first the chunk by its first bound, then the bound in it
+    joined = df.join(table, on, "left").withColumn(
+        "_chunk", F.size(F.filter(F.transform("_chunks", lambda c: c[0]), lambda b: b <= at)))
+    before = F.aggregate(F.slice("_chunks", F.lit(1), F.col("_chunk") - 1), F.lit(0), lambda n, c: n + F.size(c))
+    inside = F.size(F.filter(F.get("_chunks", F.col("_chunk") - 1), lambda b: b <= at))
+    part = F.when(F.col("_chunk") > 0, before + inside).otherwise(F.lit(0))
+    return joined.withColumn("_part", part).drop("_chunk", "_chunks", *[f"_bk{i}" for i in range(len(keys))])
+
+
+def dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The only exchange of a scan's rows: the join and the windows by ``keys`` after
+    it all ask for this partitioning. Its number is given, else
+    adaptive execution puts rows that compress well into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def duration_bucket(ts: str, bucket: str | None) -> Column | None:
@@ -59,7 +117,6 @@ def time_bucket(ts, seconds: int) -> Column:
 
 def _stand_in(dt) -> Column:
     """A non-null value of the key's type (only paired with the key's null flag)."""
-    from pyspark.sql import types as T
     if isinstance(dt, T.StringType):
         return F.lit("")
     if isinstance(dt, T.BooleanType):
@@ -164,7 +221,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
           .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     wa = (Window.partitionBy(*keys, "_bk").orderBy(*in_order)
           .rowsBetween(0 if inclusive else 1, Window.unboundedFollowing))
-    joined = b.join(buckets, on=[*keys, "_bk"], how="left")
+    joined = dealt(b, [*keys, "_bk"]).join(buckets, on=[*keys, "_bk"], how="left")
     out = []
     for name, (kind, _) in specs.items():
         v, c = F.col(f"_v_{name}"), F.col(f"_c_{name}")
