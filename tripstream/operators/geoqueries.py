@@ -4,11 +4,12 @@ incremental ones."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import distance_km
 from ..functions.sql import register_sql_functions
+from ..plans.nearest import candidates, first_per_place
 from ..plans.prefix import duration_bucket, keyed_scan
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
@@ -18,49 +19,71 @@ from .rides import end_events, latest_per_taxi
 BLOCK = 1_000
 
 
-def in_blocks(rows: DataFrame, queries: DataFrame, name: str = "q") -> DataFrame:
-    """``rows`` with every query (a struct column ``name``): the stated query set
-    is packed into blocks of ``BLOCK`` and each row meets each block through an
-    equi-join on its number, however many queries there are."""
-    blocks = max(1, -(-queries.count() // BLOCK))
-    packed = (queries.select(F.pmod(F.xxhash64(*queries.columns), F.lit(blocks)).cast("int").alias("_block"),
-                             F.struct(*queries.columns).alias("_q"))
-              .groupBy("_block").agg(F.collect_list("_q").alias("_queries")))
-    return (rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-            .join(packed, "_block").withColumn(name, F.explode("_queries")).drop("_block", "_queries"))
-
-
 def query_table(spark, queries, schema: str) -> DataFrame:
     """Queries given as a DataFrame or as a list of tuples."""
     return queries if isinstance(queries, DataFrame) else spark.createDataFrame(list(queries), schema)
 
 
+def _locations(rides: DataFrame, queries) -> DataFrame:
+    q = query_table(rides.sparkSession, queries, "queryId long, longitude double, latitude double")
+    return q.toDF("queryId", "qLon", "qLat").select(F.col("queryId").cast("long"), F.col("qLon").cast("float"),
+                                                    F.col("qLat").cast("float"))
+
+
 def query_distances(rides: DataFrame, queries) -> DataFrame:
     """J9 + F5: every END ride against every query (queryId, longitude, latitude; a
-    table or a list of any length) → (queryId, eventTime, rideId, taxiId, km)."""
-    q = query_table(rides.sparkSession, queries, "queryId long, longitude double, latitude double")
-    q = q.toDF("queryId", "qLon", "qLat").select(F.col("queryId").cast("long"), F.col("qLon").cast("float"),
-                                                 F.col("qLat").cast("float"))
-    e = in_blocks(end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat"), q)
+    table or a list of any length) → (queryId, eventTime, rideId, taxiId, km).
+
+    All pairs are the result. Queries are packed into rows of ``BLOCK``, each
+    copied to as many salts as there are shuffle partitions; a ride goes to its
+    own salt of each block, so rides spread over the tasks however few queries
+    there are. ``nearest_taxi`` does not go through this."""
+    q = _locations(rides, queries)
+    salts = int(rides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-(q.count() if isinstance(queries, DataFrame) else len(queries)) // BLOCK))
+    packed = (q.select(F.pmod(F.xxhash64("queryId", "qLon", "qLat"), F.lit(blocks)).cast("int").alias("_block"),
+                       F.struct(*q.columns).alias("_q"))
+              .groupBy("_block").agg(F.collect_list("_q").alias("_queries"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    e = end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat",
+                                 F.pmod(F.xxhash64("rideId", "eventTime"), F.lit(salts)).cast("int").alias("_salt"),
+                                 F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    e = e.join(packed, ["_block", "_salt"]).withColumn("q", F.explode("_queries"))
     return e.select("q.queryId", "eventTime", "rideId", "taxiId",
                     distance_km("q.qLon", "q.qLat", "endLon", "endLat").cast("float").alias("km"))
 
 
 def running_minima(reports: DataFrame, key: str = "queryId", order=("eventTime", "rideId"),
-                   value: str = "km", bucket: str | None = None) -> DataFrame:
+                   value: str = "km", bucket: str | Column | None = None) -> DataFrame:
     """Keep the reports that are strictly below every earlier report of their key.
 
     Skew-safe: the earlier minimum comes from ``keyed_scan`` (per-bucket minima,
     prefix over buckets, in-bucket running minimum), so one query's reports are
-    spread over many tasks instead of one."""
-    scanned = keyed_scan(reports, [key], list(order), duration_bucket(order[0], bucket),
-                         {"_prev": ("min", F.col(value))}, inclusive=False)
+    spread over many tasks instead of one. ``bucket``: a duration, or a column
+    that rises with the order."""
+    by = duration_bucket(order[0], bucket) if bucket is None or isinstance(bucket, str) else bucket
+    scanned = keyed_scan(reports, [key], list(order), by, {"_prev": ("min", F.col(value))}, inclusive=False)
     return scanned.filter(F.col("_prev").isNull() | (F.col(value) < F.col("_prev"))).drop("_prev")
 
 
-def nearest_taxi(rides: DataFrame, queries, bucket: str | None = None) -> DataFrame:
-    """B2: for each location query, the stream of ever-closer ending taxis."""
-    return running_minima(query_distances(rides, queries), bucket=bucket)
+def near_reports(rides: DataFrame, locations: DataFrame, best: str | None = None) -> DataFrame:
+    """Reports (as ``query_distances``, with ``_slice``) of the END rides that can be
+    new minima of a query (queryId, qLon, qLat): of each end point only the first
+    ride, and only where the grid lets it be nearer than all before."""
+    ends = end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat")
+    ends = first_per_place(ends, ["eventTime", "rideId"], "endLon", "endLat")
+    met = candidates(ends, locations, "eventTime", "endLon", "endLat", best=best)
+    kept = [c for c in locations.columns if c not in ("queryId", "qLon", "qLat")]
+    return met.select("queryId", "eventTime", "rideId", "taxiId",
+                      distance_km("qLon", "qLat", "endLon", "endLat").cast("float").alias("km"), *kept, "_slice")
+
+
+def nearest_taxi(rides: DataFrame, queries) -> DataFrame:
+    """B2: for each location query, the stream of ever-closer ending taxis. A ride
+    meets the queries whose nearest distance so far it can beat (``near_reports``),
+    not all of them."""
+    reports = near_reports(rides, _locations(rides, queries))
+    return running_minima(reports, bucket=F.col("_slice")).drop("_slice")
 
 
 def _with_rule_columns(rides: DataFrame, delay_s: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import cell_center_lat, cell_center_lon, is_in_nyc, to_cell_id
 from ..functions.sql import register_sql_functions
 from ..functions.time import time_diff_ms, travel_minutes
+from ..plans.intervals import stab
 from ..plans.prefix import keyed_scan
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
@@ -257,23 +258,37 @@ def ongoing_rides(rides: DataFrame, minutes: int, at) -> DataFrame:
     return latest.filter(F.col("isStart") & (age >= minutes))
 
 
+def ride_states(rides: DataFrame) -> DataFrame:
+    """Each event with ``validUntil``, the time of its taxi's next event in ride order
+    (null for the last): the event is its taxi's latest from its own time until then."""
+    r = rides.withColumn("_end", ~F.col("isStart"))
+    return keyed_scan(r, ["taxiId"], ["eventTime", "_end", "rideId"], None,
+                      {"validUntil": ("next", F.col("eventTime"))}, inclusive=False).drop("_end")
+
+
 def ongoing_rides_for_queries(rides: DataFrame, queries) -> DataFrame:
-    """B1 for many queries (queryId, minutes, at; a table or a list of any length)
-    in one pass: each ride meets the queries block by block, then the latest event
-    per (query, taxi) is a map-side combined max_by."""
-    from .geoqueries import in_blocks
+    """B1 for many queries (queryId, minutes, at; a table or a list of any length).
+
+    A START is its taxi's latest event from its time to the taxi's next event, and
+    old enough for a query from ``minutes`` after its time: a query matches the
+    STARTs whose interval holds its time. Intervals and times meet by ``stab``,
+    so no ride meets a query at whose time it is not the latest."""
     if not isinstance(queries, DataFrame):
         queries = rides.sparkSession.createDataFrame(
             [(int(q), int(m), str(t)) for q, m, t in queries], "queryId long, minutes long, at string") \
             .withColumn("at", F.col("at").cast("timestamp"))
-    paired = in_blocks(rides, queries.select("queryId", "minutes", "at")) \
-        .filter(F.col("eventTime") <= F.col("q.at"))
-    latest = (paired.groupBy(F.col("q.queryId").alias("queryId"), "taxiId")
-              .agg(F.max_by(F.struct(*RIDE_COLUMNS, F.col("q.minutes").alias("_m"), F.col("q.at").alias("_at")),
-                            ride_order()).alias("r"))
-              .select("queryId", "r.*"))
-    age = F.floor((F.unix_millis("_at") - F.unix_millis("eventTime")) / 60000)
-    return latest.filter(F.col("isStart") & (age >= F.col("_m"))).drop("_m", "_at")
+    asked = queries.select("queryId", F.col("minutes").cast("long").alias("_minutes"), F.unix_micros("at").alias("_at"))
+    # the last events last until after the last query
+    last = asked.agg(F.max("_at")).first()[0]
+    if last is None:
+        last = 0
+    states = start_events(ride_states(rides)).withColumns({
+        "_since": F.unix_micros("eventTime"),
+        "_till": F.least(F.coalesce(F.unix_micros("validUntil"), F.lit(last + 1)), F.lit(last + 1))})
+    met = stab(states.select(*RIDE_COLUMNS, "_since", "_till"), asked, "_since", "_till", "_at")
+    # whole minutes between the times in milliseconds
+    age = F.floor((F.floor(F.col("_at") / 1000) - F.floor(F.col("_since") / 1000)) / 60000)
+    return met.filter(age >= F.col("_minutes")).select("queryId", *RIDE_COLUMNS)
 
 
 # ---------------------------------------------------------------- F8, F15
