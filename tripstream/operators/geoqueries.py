@@ -86,17 +86,22 @@ def nearest_taxi(rides: DataFrame, queries) -> DataFrame:
     return running_minima(reports, bucket=F.col("_slice")).drop("_slice")
 
 
-def _with_rule_columns(rides: DataFrame, delay_s: int) -> DataFrame:
-    # what a rule may refer to besides the ride columns: the ride's current
-    # position (start for START, end for END) and the watermark at the ride
+def with_rule_columns(rides: DataFrame, watermark: Column) -> DataFrame:
+    """``rides`` with what a rule may refer to besides their columns: the ride's
+    current position (start for START, end for END) and the watermark."""
     pos = F.col("isStart")
     return rides.withColumns({
         "lon": F.when(pos, F.col("startLon")).otherwise(F.col("endLon")),
         "lat": F.when(pos, F.col("startLat")).otherwise(F.col("endLat")),
-        "watermark": F.col("eventTime") - F.make_dt_interval(secs=F.lit(delay_s)),
+        "watermark": watermark,
     })
 
 
+def _with_rule_columns(rides: DataFrame, delay_s: int) -> DataFrame:
+    # the watermark at the ride
+    return with_rule_columns(rides, F.col("eventTime") - F.make_dt_interval(secs=F.lit(delay_s)))
+
+
 def match_rides(rides: DataFrame, predicate: str, rule_time=None, delay: str = "60 seconds") -> DataFrame:
     """Rides satisfying a Spark SQL predicate over the ride columns plus
     ``lon``/``lat`` (current position), ``watermark`` and the registered SQL
