@@ -171,6 +171,15 @@ def test_catalog_and_table_options(spark):
         cat.get_table("TaxiFares")
     assert spark.sql(f"select count(*) c from {cat.view_name('TaxiRides')}").first().c == 2
     assert cat.sql("select count(*) c from nyc.TaxiRides where rideId > 0").first().c == 2
+    # names are resolved by the parser: case, aliases, literals and patterns
+    for text, want in (("select count(*) c from NYC.taxirides", 2), ("select count(*) c from nyc.TaxiRides as r where r.rideId > 0", 2),
+                       ("select count(*) c from nyc.TaxiRides where 'nyc.TaxiRides' = concat('nyc', '.TaxiRides')", 2),
+                       ("select count(*) c from `nyc`.`TaxiRides` where 'xn' rlike 'n{1}'", 2)):
+        assert cat.sql(text).first().c == want
+    plain = src.ride_table(src.read_rides(spark, rp))
+    assert sorted(map(tuple, cat.get_table("TaxiRides").select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    again = src.register_catalog(spark, rp, None)        # same names, the same file again
+    assert again.get_table("TaxiRides").count() == 2
     with pytest.raises(ValueError):
         src.register_table(spark, "bad", "taxi-rides", {"path": rp, "max-event-delay-secs": -1})
     t = src.register_table(spark, "rides_opt", "taxi-rides", {"path": rp, "max-event-delay-secs": 60})

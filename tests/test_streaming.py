@@ -135,6 +135,25 @@ def test_latest_join_and_ttl(spark, rides):
     cs = stage(spark, customers, [(FAR, -1, "c-sentinel")])
     got = run(jobs.latest_join_stream(ts, cs)).filter("customerId >= 0")
     assert rows(got) == rows(op.latest_join(trades, customers))
+    # by receipt: customers and trades arrive up to an hour after their time
+    trades, customers = fx.trades(spark, SF_SMALL, arrival=True), fx.customers(spark, SF_SMALL, arrival=True)
+    ts = stage(spark, trades, [tuple(FAR if f.dataType.typeName() == "timestamp" else -1 if f.name == "customerId" else "s"
+                                     for f in trades.schema)])
+    cs = stage(spark, customers, [tuple(FAR if f.dataType.typeName() == "timestamp" else -1 if f.name == "customerId" else "s"
+                                        for f in customers.schema)])
+    got = run(jobs.latest_join_stream(ts, cs, "1 hour", arrival="arrivalTime")).filter("customerId >= 0")
+    want = op.latest_join(trades, customers, "arrivalTime", delay="1 hour")
+    assert rows(got) == rows(want)
+    # received in the other order than their times: the last received wins
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    trades = spark.createDataFrame([(at(25), 1, "t", at(50)), (at(26), 1, "early", at(35))],
+                                   "eventTime timestamp, customerId long, tradeInfo string, arrivalTime timestamp")
+    customers = spark.createDataFrame([(at(10), 1, "a", at(40)), (at(20), 1, "b", at(30))],
+                                      "eventTime timestamp, customerId long, customerInfo string, arrivalTime timestamp")
+    ts, cs = stage(spark, trades, [(FAR, -1, "s", FAR)]), stage(spark, customers, [(FAR, -1, "s", FAR)])
+    got = run(jobs.latest_join_stream(ts, cs, "1 hour", arrival="arrivalTime")).filter("customerId >= 0")
+    assert {r["tradeInfo"]: r["customerInfo"] for r in got.collect()} == {"t": "a", "early": "b"}
+    trades, customers = fx.trades(spark, SF_SMALL), fx.customers(spark, SF_SMALL)
     # With retention covering the whole input and no reset it equals B2
     qs = [(q, lon, lat, "2023-12-31 00:00:00") for q, lon, lat in fx.LOCATION_QUERIES]
     got = run(jobs.nearest_taxi_ttl_stream(stage(spark, rides, ride_sentinel()), qs,

@@ -142,6 +142,12 @@ def fares_in_city(spark: SparkSession, rides: DataFrame, fares: DataFrame) -> Da
     return spark.sql(FARES_IN_CITY_SQL, rides=rides, fares=fares)
 
 
+def fares_in_city_of(catalog) -> DataFrame:
+    """J5 over the tables ``TaxiRides`` and ``TaxiFares`` of a catalog schema."""
+    register_sql_functions(catalog.spark)
+    return catalog.sql(FARES_IN_CITY_SQL.format(rides=catalog.view_name("TaxiRides"), fares=catalog.view_name("TaxiFares")))
+
+
 # ---------------------------------------------------------------- A8–A10, T1, T2
 
 

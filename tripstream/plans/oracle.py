@@ -255,6 +255,8 @@ select * from rides r where r.isStart and r.rideId % 1000 <> 0
     q["fares_in_city"] = with_(RIDES, FARES) + f"""
 select f.rideId, f.driverId, f.totalFare from rides r join fares f on r.rideId = f.rideId
 where {nyc('r.startLon', 'r.startLat')} and {nyc('r.endLon', 'r.endLat')}"""
+    q["catalog_fares_in_city"] = q["fares_in_city"]
+    q["tsv_edges"] = with_(EDGES) + "select src, dst, cast(weight as double) as weight from edges"
     q["hourly_tip_leader"] = with_(RIDES, FARES, """h AS (
   select time_bucket(interval 6 hour, startTime, timestamp '1970-01-01') + interval 6 hour as windowEnd,
     driverId, round(sum(tip), 6) as tips from fares group by 1, 2)""") + """

@@ -8,6 +8,7 @@ timestamp_ntz so that both sides report the same column types.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..operators.mail import distinct_mails
 from ..sources import fixtures as fx
+from ..session import ensure_checkpoint_dir
 from ..sources.cars import parse_car_lines
+from ..sources.catalog import TaxiCatalog
+from ..sources.graph import read_edges, write_tsv
 from ..sources.mail import mail_records, parse_mail_records, parse_mbox_mails
 from ..sources.rides import line_to_ride, raw_fares_to_fares, ride_to_line, trips_to_ride_events
 from .oracle import AS_OF, CELL, MAIL_EXCLUDE, ONGOING_QUERIES, RULE_PREDICATE
@@ -85,6 +89,26 @@ def _raw_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_fares_to_fares(raw, "rideId")
 
 
+def _catalog_fares_in_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ride and fare views as tables of a catalog schema, joined by name."""
+    events = f"parquet.`{sf_dir.rstrip('/')}/events.parquet`"
+    cat = TaxiCatalog(spark, "nyc_events")
+    cat.add_view("TaxiRides", f"""SELECT event_id AS rideId, isStart, cast(-74.08 + (event_id % 7) * 0.06 AS float) AS startLon,
+        cast(40.48 + (event_id % 5) * 0.12 AS float) AS startLat, cast(-74.08 + (event_id % 11) * 0.037 AS float) AS endLon,
+        cast(40.48 + (event_id % 3) * 0.2 AS float) AS endLat
+        FROM {events} LATERAL VIEW explode(array(true, false)) AS isStart""")
+    cat.add_view("TaxiFares", f"""SELECT event_id AS rideId, event_id % 97 AS driverId, value AS totalFare
+        FROM {events} WHERE event_id % 13 <> 0""")
+    return op.fares_in_city_of(cat)
+
+
+def _tsv_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges written as tab-separated lines and read back, out-weight by source."""
+    path = f"{ensure_checkpoint_dir(spark)}/edges-{uuid.uuid4().hex}"
+    write_tsv(fx.edges(spark, sf_dir).select("src", "dst", F.col("weight").cast("double").alias("weight")), path)
+    return read_edges(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     R, Fa = fx.rides, fx.fares
     return {
@@ -102,6 +126,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unmatched_fares": _q(lambda s, d: op.unmatched_fares(R(s, d), Fa(s, d))),
         "unmatched_rides": _q(lambda s, d: op.unmatched_rides(R(s, d), Fa(s, d))),
         "fares_in_city": _q(lambda s, d: op.fares_in_city(s, R(s, d), Fa(s, d))),
+        "catalog_fares_in_city": _q(_catalog_fares_in_city),
+        "tsv_edges": _q(_tsv_edges),
         "hourly_tip_leader": _q(lambda s, d: op.hourly_tip_leader(Fa(s, d), "6 hours")),
         "high_tip_hours": _q(lambda s, d: op.high_tip_hours(Fa(s, d), 10.0, "24 hours")),
         "long_rides": _q(lambda s, d: op.long_rides(R(s, d), 120)),

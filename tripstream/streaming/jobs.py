@@ -201,11 +201,14 @@ def asof_join_stream(trades: DataFrame, customers: DataFrame, delay: str = "0 se
             .transformWithState(AsOfJoinProcessor(), TRADE_OUT, "Append", "EventTime"))
 
 
-def latest_join_stream(trades: DataFrame, customers: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """Join with the last customer row received; wait for the watermark if none."""
+def latest_join_stream(trades: DataFrame, customers: DataFrame, delay: str = "0 seconds",
+                       arrival: str | None = None) -> DataFrame:
+    """Join with the last customer row received; wait for the watermark if none.
+    ``arrival``: a timestamp column of both sides with the order of receipt (else
+    the event time is taken for it)."""
     _ship()
     proc = LatestJoinProcessor(interval_seconds(delay) * 1_000_000)
-    return (with_watermark(_trade_union(trades, customers), "eventTime", delay).groupBy("customerId")
+    return (with_watermark(_trade_union(trades, customers, arrival), "eventTime", delay).groupBy("customerId")
             .transformWithState(proc, TRADE_OUT, "Append", "EventTime"))
 
 

@@ -7,6 +7,7 @@ Rows are Row objects; timestamps are Python datetimes (UTC).
 
 from __future__ import annotations
 
+import bisect
 import datetime as _dt
 from typing import Iterator
 
@@ -143,40 +144,40 @@ class AsOfJoinProcessor(_OneTimer, StatefulProcessor):
             self.customers.appendList(new_c)
         if new_t:
             self.trades.appendList(new_t)
-            self._arm(min(t for t, _ in new_t))
+        if new_c or new_t:
+            # a customer without trades is pruned too
+            self._arm(max(min(t for t, _ in new_c + new_t), wm + 1))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         now = self._fired(timerValues, expiredTimerInfo)
         cust = sorted(self.customers.get() or [])
-        pending = list(self.trades.get() or [])
-        out, keep = [], []
-        for t, info in pending:
-            if t <= now:
-                match = None
-                for ct, cinfo in cust:
-                    if ct <= t:
-                        match = (ct, cinfo)
-                    else:
-                        break
-                out.append(Row(eventTime=from_us(t), customerId=key[0], tradeInfo=info,
-                               customerTime=from_us(match[0]) if match else None,
-                               customerInfo=match[1] if match else None))
-            else:
-                keep.append((t, info))
+        pending = sorted(self.trades.get() or [])
+        due = bisect.bisect_right(pending, now, key=lambda x: x[0])
+        out, at = [], 0
+        for t, info in pending[:due]:          # both in time order: one pass
+            while at < len(cust) and cust[at][0] <= t:
+                at += 1
+            match = cust[at - 1] if at else None
+            out.append(Row(eventTime=from_us(t), customerId=key[0], tradeInfo=info,
+                           customerTime=from_us(match[0]) if match else None,
+                           customerInfo=match[1] if match else None))
+        keep = pending[due:]
         self.trades.clear()
         if keep:
             self.trades.put(keep)
-            self._arm(min(t for t, _ in keep))
-        # prune: keep the newest customer row at or before the oldest pending time
-        horizon = min([t for t, _ in keep] + [now])
-        older = [c for c in cust if c[0] <= horizon]
-        newer = [c for c in cust if c[0] > horizon]
+        # of the customers up to the oldest pending time only the newest can match
+        horizon = min([now, *(t for t, _ in keep[:1])])
+        older = bisect.bisect_right(cust, horizon, key=lambda x: x[0])
+        kept = cust[max(older - 1, 0):]
         self.customers.clear()
-        kept = (older[-1:] if older else []) + newer
         if kept:
             self.customers.put(kept)
+        # the next trade, or the next customer that makes an older one useless
+        ahead = [x[0][0] for x in (keep, kept[1:]) if x]
+        if ahead:
+            self._arm(max(min(ahead), now + 1))
         return iter(out)
 
     def close(self) -> None:
@@ -204,13 +205,8 @@ class LatestJoinProcessor(_OneTimer, StatefulProcessor):
 
     @staticmethod
     def _last_by(cust, limit):
-        best = None
-        for c in cust:
-            if c[0] <= limit:
-                best = c
-            else:
-                break
-        return best
+        k = bisect.bisect_right(cust, limit, key=lambda c: c[0])
+        return cust[k - 1] if k else None
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs() * 1000
@@ -219,7 +215,7 @@ class LatestJoinProcessor(_OneTimer, StatefulProcessor):
         for r in sorted(rows, key=lambda r: (r.arrival, r.side)):
             a, t = to_us(r.arrival), to_us(r.eventTime)
             if r.side == 0:
-                cust.append((a, t, r.info))
+                bisect.insort(cust, (a, t, r.info))
                 continue
             c = self._last_by(cust, a)
             if c is not None:
@@ -469,12 +465,12 @@ class StopSegmentsProcessor(_OneTimer, StatefulProcessor):
     def _stats(self, key, stop, seg):
         n = len(seg)
         mean = sum(x[2] for x in seg) / n
-        err = round((sum((x[2] - mean) ** 2 for x in seg) / n) ** 0.5, self.digits)
-        k = int(err / 2.5)
+        err = (sum((x[2] - mean) ** 2 for x in seg) / n) ** 0.5
+        k = int(err / 2.5)                     # the exact value decides, as in the batch form
         desc = "calm" if k == 0 else "busy" if k == 1 else "crazy"
         return Row(carId=key[0], stopTime=from_us(stop), length=n,
                    startTime=from_us(min(x[0] for x in seg)),
-                   maxSpeed=int(max(x[1] for x in seg)), erraticness=err, erraticnessDesc=desc)
+                   maxSpeed=int(max(x[1] for x in seg)), erraticness=round(err, self.digits), erraticnessDesc=desc)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = self._fired(timerValues, expiredTimerInfo)
@@ -521,7 +517,6 @@ class RangeCountProcessor(_OneTimer, StatefulProcessor):
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        import bisect
         now = self._fired(timerValues, expiredTimerInfo)
         ev = sorted(self.events.get() or [])
         times = [t for t, _ in ev]
