@@ -22,6 +22,16 @@ LONG = "Some long running text that makes this block the heavy one, with commas,
     ("<main><p>a<a href='x'>link</a> end</p><div hidden>h</div><div style='display: none'>n</div></main>", "alink end"),
     ("<article><p>1 &lt; 2 <!-- no --> &copy;&#233;&nbsp;x</p><p></p><p> </p></article><p>cut <a hre", "1 < 2 ©é x"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("<ARTICLE><P CLASS=x>up</P></ARTICLE>", "up"),
+    # wrappers with a listed word in their names
+    ("<body><div class='elementor-widget-container'><h1>T</h1><p>" + LONG + "</p></div></body>", "T\n" + LONG.strip()),
+    ("<div class='content-with-sidebar'><div class='sidebar'><p>side</p></div><article><p>" + LONG + "</p></article></div>", LONG.strip()),
+    ("<div id='layout-right-sidebar'><article><p>" + LONG + "</p></article><div class='ad'>Buy</div></div>", LONG.strip()),
+    ("<article><div class='promotion-history'><p>" + LONG + "</p></div><div class='ad'>x</div></article>", LONG.strip()),
+    ("<div class='widget'><main><p>" + LONG + "</p></main></div>", LONG.strip()),
+    # comments go, however long; so does a named sidebar
+    ("<article><p>a b c</p></article><div class='user-comments'><p>" + LONG * 3 + "</p></div>", "a b c"),
+    # a teaser is not the article
+    ("<div class='text'><p>" + LONG * 4 + "</p></div><div><article><p>teaser</p></article></div>", (LONG * 4).strip()),
     ("<div>" * 2000 + "deep" + "</div>" * 5, "deep"), ("<a b='>'>x</a> < y", "x < y"),
 ])
 def test_single_pages(source, want):

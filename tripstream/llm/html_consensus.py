@@ -2,22 +2,27 @@
 
 Each page is parsed once into elements and text blocks. Going down from the body
 into the child that holds most of the running text (links do not count) gives
-the page's own container; an ``article`` or ``main`` ends the descent. Its
-generalised path (tags with their classes, digits replaced) is the page's vote.
+the page's own container; an ``article`` or ``main`` with a quarter of the
+running text (so no teaser) ends the descent. Its generalised path (tags with their classes, digits replaced) is the page's vote.
 Spark counts the votes per host, and every page is extracted again from the
 elements on its host's winning path, or from its own container where it has no
 such element.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out inside the container too, by tag, role, hidden
-state and the words of class and id. Character references are decoded, white
+state and the words of class and id. A wrapper stays, though a word of its name
+is one of those (``content-with-sidebar``): an element that holds the article, or
+whose name only contains the word and that holds half of the running text.
+Comments go in any case. Character references are decoded, white
 space inside a block becomes one space, blocks are joined by one newline.
 
 Votes are pre-aggregated before the shuffle. Hosts with many pages (more than one
 in a thousand; so there are at most a thousand of them) meet their winner through
 salted keys, so one host may hold most pages. Null or empty pages give
 an empty text; a null URL counts as the empty host. Repeated pages are extracted
-one by one; input columns named like an output are replaced.
+one by one; input columns named like an output are replaced; an empty table gives an
+empty one. A very long page is one row's work, in time and space in proportion to
+it (some ten times its bytes).
 """
 
 from __future__ import annotations
@@ -63,6 +68,10 @@ DROP_WORDS = frozenset(
     "consent gdpr notice notices banner popup modal overlay newsletter subscribe subscription signup share sharing "
     "social related recommended masthead copyright pagination pager toolbar login widget".split())
 DROP_NAMES = frozenset("header site-header page-header main-header top-header top topbar".split())
+#: Why an element is left out: not at all, a word in a longer name, a name, for sure.
+KEEP, WORD, NAMED, SURE = range(4)
+#: The share of the page's running text with which an article is its container.
+FAIR = 0.25
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[a-z]+")
 _STATE = re.compile(r"^(?:has|with|without|no|is)[-_]")
@@ -72,14 +81,45 @@ class Page:
     """Elements (parent, label, dropped, text weight) and blocks of one page."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.label, self.dropped = [-1], ["#root"], [""], [False]
+        self.parent, self.tag, self.label, self.drop = [-1], ["#root"], [""], [KEEP]
         self.weight = [0]
         self.blocks: list[tuple[int, str]] = []
         self._parse(source)
+        self._decide()
         for k in range(len(self.parent) - 1, 0, -1):
             if not self.dropped[k]:
                 self.weight[self.parent[k]] += self.weight[k]
 
+    def _sums(self, least: int) -> list[int]:
+        """Running text of each element without what is dropped for ``least`` or more."""
+        out = self.weight[:]
+        for k in range(len(out) - 1, 0, -1):
+            if self.drop[k] < least:
+                out[self.parent[k]] += out[k]
+        return out
+
+    def _decide(self) -> None:
+        """``dropped``: an element named like a part to leave out stays if it is a
+        wrapper: it holds the article (with half of the running text), or, where
+        only a part of the name says so, half of the running text itself."""
+        if WORD in self.drop or NAMED in self.drop:
+            whole = self._sums(SURE)
+            for k in range(1, len(self.parent)):
+                if self.tag[k] in ("article", "main") and self.drop[k] == KEEP and 2 * whole[k] > whole[0]:
+                    at = self.parent[k]
+                    while at > 0:
+                        if self.drop[at] in (WORD, NAMED):
+                            self.drop[at] = KEEP
+                        at = self.parent[at]
+        if WORD in self.drop:
+            whole = self._sums(NAMED)
+            for k, why in enumerate(self.drop):
+                if why == WORD and 2 * whole[k] > whole[0]:
+                    self.drop[k] = KEEP
+        self.dropped = [False] * len(self.parent)
+        for k in range(1, len(self.parent)):
+            self.dropped[k] = self.drop[k] > KEEP or self.dropped[self.parent[k]]
+
     def _open(self, tag: str, attrs: str, at: int) -> int:
         found = {}
         if "=" in attrs:
@@ -87,19 +127,24 @@ class Page:
                 found.setdefault(name.lower(), a or b or c)
         names = (found.get("class") or "").lower().split()
         label = ".".join([tag, *sorted(_DIGITS.sub("N", n) for n in names)])
-        drop = tag in DROP_TAGS or (found.get("role") or "").lower() in DROP_ROLES \
+        sure = tag in DROP_TAGS or (found.get("role") or "").lower() in DROP_ROLES \
             or found.get("aria-hidden", "").lower() == "true" or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attrs) is not None \
             or "display:none" in found.get("style", "").replace(" ", "").lower()
-        if not drop and tag not in ("html", "body", "main"):
-            hints = names + (found.get("id") or "").lower().split()
-            for name in hints:
-                if name in DROP_NAMES or (not _STATE.match(name) and not DROP_WORDS.isdisjoint(_WORDS.findall(name))):
-                    drop = tag != "article" or "comment" in name
-                    break
+        drop = SURE if sure else KEEP
+        if not sure and tag not in ("html", "body", "main"):
+            for name in names + (found.get("id") or "").lower().split():
+                if name in DROP_NAMES:
+                    why = NAMED
+                elif _STATE.match(name) or DROP_WORDS.isdisjoint(_WORDS.findall(name)):
+                    continue
+                else:
+                    why = SURE if "comment" in name else NAMED if name in DROP_WORDS else WORD
+                if tag != "article" or why == SURE:
+                    drop = max(drop, why)
         self.parent.append(at)
         self.tag.append(tag)
         self.label.append(label)
-        self.dropped.append(drop or self.dropped[at])
+        self.drop.append(drop)
         self.weight.append(0)
         return len(self.parent) - 1
 
@@ -200,7 +245,7 @@ class Page:
         for tag in ("article", "main"):
             found = [k for k in range(1, len(self.tag)) if self.tag[k] == tag and not self.dropped[k]]
             best = max(found, key=lambda k: self.weight[k], default=None)
-            if best is not None and self.weight[best] > 0:
+            if best is not None and self.weight[best] > 0 and self.weight[best] >= FAIR * self.weight[0]:
                 return best
         at = 0
         while True:
