@@ -34,7 +34,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ..plans.util import spread
 from .common import map_texts
 
 MIN_WORDS = 24
@@ -247,5 +246,5 @@ def periodic_runs(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
                     pa.array([b" ".join(collapse(w, r)) for w, r in found], pa.binary()).cast(pa.string())]
         return work
 
-    return map_texts(spread(docs), text_col, "n_words long, runs array<struct<start:long,length:long,period:long>>, "
+    return map_texts(docs, text_col, "n_words long, runs array<struct<start:long,length:long,period:long>>, "
                      "collapsed string", make, keep, step_bytes=4 << 20)

@@ -39,7 +39,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.util import spread
 from .common import map_texts, remove_table, store_table, strings_between, text_bytes
 
 FEATURES = 256
@@ -324,7 +323,7 @@ def document_statistics(docs: DataFrame, text_col: str = "text", keep: list[str]
         cuts = np.arange(0, stats.size + 1, len(STATS), dtype=np.int32)
         return [pa.ListArray.from_arrays(pa.array(cuts), pa.array(stats.ravel()))]
 
-    return map_texts(spread(docs), text_col, "stats array<double>", lambda: work, keep, step_bytes=4 << 20)
+    return map_texts(docs, text_col, "stats array<double>", lambda: work, keep, step_bytes=4 << 20)
 
 
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5,
@@ -340,7 +339,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text", thres
             return [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
         return work
 
-    return map_texts(spread(docs), text_col, "score double, predicted int", make, keep, step_bytes=4 << 20)
+    return map_texts(docs, text_col, "score double, predicted int", make, keep, step_bytes=4 << 20)
 
 
 def score_statistics(described: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

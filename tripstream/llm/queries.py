@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.util import spread
 from . import conversation_trie as trie
 from . import html_consensus as html
 from . import kneser_ney as lm
@@ -70,7 +71,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"),
+    return pieces.encode_documents(spread(docs), public_tokenizers.path("piece_bpe_32k.model"),
                                    with_ids=False, with_text=False, keep=["doc_id"])
 
 
@@ -112,7 +113,7 @@ def _periodic_tail(docs: DataFrame) -> DataFrame:
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = periodic.periodic_runs(_periodic_tail(docs), keep=["doc_id"])
+    found = periodic.periodic_runs(_periodic_tail(spread(docs)), keep=["doc_id"])
     none = F.lit(None).cast("struct<start:long,length:long,period:long>")
     better = lambda a, b: F.coalesce(b["length"] * a["period"] > a["length"] * b["period"], F.lit(True))
     best = F.reduce("runs", none, lambda a, b: F.when(better(a, b), b).otherwise(a))
@@ -146,7 +147,7 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
-    described = write_table(kernel.document_statistics(docs, keep=["doc_id"]), "quality-described")   # texts are read once
+    described = write_table(kernel.document_statistics(spread(docs), keep=["doc_id"]), "quality-described")   # texts are read once
     model = kernel.train_statistics(described, _table(spark, sf_dir, "labels"), ~held_out)
     scored = kernel.score_statistics(described, model)
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -8,12 +8,14 @@ empty. Symbols without a piece become byte pieces.
 
 Where no piece has a blank after another character, a text's words are encoded
 independently, so the distinct words of a batch are encoded once; other
-vocabularies take whole texts. Every distinct word of a batch is checked against
-the sentencepiece library, and a difference stops the job.
+vocabularies take whole texts. Every distinct word is checked against the
+sentencepiece library, and a difference stops the job; a worker keeps the ids of
+words that it has checked (``KNOWN_BYTES`` of them) for its later batches.
 
 The model file is a path that exists on every worker. Null and empty texts have
 no ids and decode to the empty text. Repeated rows are encoded one by one; input
-columns named like an output are replaced.
+columns named like an output are replaced; an empty table gives an empty one. A
+very long word takes some ten microseconds and 200 bytes a character in its task.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ BLANK = "▁"
 NORMAL, UNKNOWN, BYTE, USER, UNUSED = 1, 2, 6, 4, 5
 
 
+#: Memory for words that a worker has encoded and checked, by an estimate.
+KNOWN_BYTES = 80 << 20
+
+
 class MergeVocabulary:
     """Pieces, scores and decoding of a merge-type model file."""
 
@@ -59,8 +65,18 @@ class MergeVocabulary:
                 self.bytes.append(bytes([int(p.piece[3:5], 16)]))
             else:
                 self.bytes.append(" ⁇ ".encode() if p.type == UNKNOWN else b"")
+        self.known: dict[bytes, list[int]] = {}
+        self.room = KNOWN_BYTES
         self.by_word = not any(b != BLANK and a == BLANK for p in self.ids for b, a in zip(p, p[1:]))
 
+    def keep(self, word: bytes, ids: list[int]) -> None:
+        """Remember the checked ids of a word for later batches of this worker, up to
+        ``KNOWN_BYTES`` in all; the words that come first stay."""
+        size = len(word) + 8 * len(ids) + 200
+        if size <= self.room:
+            self.known[word] = ids
+            self.room -= size
+
     def encode_symbols(self, text: str) -> list[int]:
         """Ids of a text whose blanks are written as U+2581, by the agenda."""
         symbols: list[str] = list(text)
@@ -162,15 +178,21 @@ def _words(vocab: MergeVocabulary, text: pa.Array) -> tuple[pa.Array, np.ndarray
 def encode_batch(vocab: MergeVocabulary, text: pa.Array, check: bool = True):
     """(ids of each distinct word, word numbers, first word of each text)."""
     words, first = _words(vocab, text)
-    unique = [w.decode() for w in words.dictionary.to_pylist()]
-    ids = [vocab.encode_symbols(w.replace(" ", BLANK)) for w in unique]
+    raw = words.dictionary.to_pylist()
+    ids = [vocab.known.get(w) for w in raw]
+    new = [k for k, found in enumerate(ids) if found is None]
+    unique = [raw[k].decode() for k in new]
+    for k, w in zip(new, unique):
+        ids[k] = vocab.encode_symbols(w.replace(" ", BLANK))
     if check:
         # the library puts the leading blank itself, and has no ids for nothing
-        known = [k for k, w in enumerate(unique) if len(w) > 1]
-        theirs = vocab.library.encode([unique[k][1:] for k in known], out_type=int, num_threads=1)
-        for k, expected in zip(known, theirs):
+        both = [(k, w) for k, w in zip(new, unique) if len(w) > 1]
+        theirs = vocab.library.encode([w[1:] for _, w in both], out_type=int, num_threads=1)
+        for (k, w), expected in zip(both, theirs):
             if ids[k] != expected:
-                raise ValueError(f"agenda and library differ on {unique[k]!r}: {ids[k]} and {expected}")
+                raise ValueError(f"agenda and library differ on {w!r}: {ids[k]} and {expected}")
+        for k in new:
+            vocab.keep(raw[k], ids[k])
     return ids, words.indices.to_numpy(), first
 
 
