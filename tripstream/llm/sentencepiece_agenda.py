@@ -36,7 +36,7 @@ NORMAL, UNKNOWN, BYTE, USER, UNUSED = 1, 2, 6, 4, 5
 
 
 #: Memory for words that a worker has encoded and checked, by an estimate.
-KNOWN_BYTES = 40 << 20
+KNOWN_BYTES = 56 << 20
 
 
 class MergeVocabulary:
