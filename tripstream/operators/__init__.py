@@ -3,7 +3,7 @@
 from .alerts import long_rides, long_rides_clean, long_rides_pattern
 from .cars import (driving_segments, driving_segments_between_stops, driving_sessions,
                    erraticness_desc, segment_stats, sort_car_events)
-from .geoqueries import match_rides, nearest_taxi, query_distances, running_minima
+from .geoqueries import live_queries, match_rides, nearest_taxi, nearest_taxi_ttl, query_distances, running_minima
 from .graph import normalized_edges, weighted_pagerank
 from .mail import (distinct_mails, exclude_senders, mail_count, member_of_month, reply_graph,
                    reply_pairs, tf_idf)

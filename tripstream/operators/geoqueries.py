@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import distance_km
 from ..functions.sql import register_sql_functions
+from ..plans.intervals import stab
 from ..plans.nearest import candidates, first_per_place
 from ..plans.prefix import duration_bucket, keyed_scan
+from ..plans.resets import resetting_minima
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
 from .rides import end_events, latest_per_taxi
@@ -86,6 +88,54 @@ def nearest_taxi(rides: DataFrame, queries) -> DataFrame:
     return running_minima(reports, bucket=F.col("_slice")).drop("_slice")
 
 
+TIMED_QUERY = "queryId long, longitude double, latitude double, queryTime timestamp"
+
+
+def live_queries(spark, queries, retention: str = "15 minutes", expiry: str = "arrival") -> DataFrame:
+    """Queries (queryId, longitude, latitude, queryTime) → (queryId, qLon, qLat, _since,
+    _till), the microseconds in which each is live: from its own time until a query
+    arrives that is more than ``retention`` younger (``expiry="arrival"``; for ever
+    if none does), or until ``retention`` has passed (``"age"``). A query with
+    longitude 0 only purges; one without a time is never live."""
+    if expiry not in ("arrival", "age"):
+        raise ValueError(f"expiry is 'arrival' or 'age', not {expiry!r}")
+    q = queries if isinstance(queries, DataFrame) else spark.createDataFrame(
+        [(int(i), float(lon), float(lat), str(t)) for i, lon, lat, t in queries],
+        TIMED_QUERY.replace("queryTime timestamp", "queryTime string"))
+    q = q.toDF("queryId", "qLon", "qLat", "queryTime").select(
+        F.col("queryId").cast("long"), F.col("qLon").cast("float"), F.col("qLat").cast("float"),
+        F.unix_micros(F.col("queryTime").cast("timestamp")).alias("_since"))
+    kept = interval_seconds(retention) * 1_000_000
+    for_ever = F.lit(2**55).cast("long")     # the year 3111
+    if expiry == "age":
+        live = q.withColumn("_till", F.col("_since") + kept + 1)
+    else:
+        # arrivals, and one probe per query that looks for the first one behind its retention
+        none = F.lit(None).cast("long")
+        rows = q.select("*", F.lit(0).alias("_all"), F.explode(F.array(
+            F.struct(F.col("_since").alias("_at"), F.lit(0).alias("_probe"), F.col("_since").alias("_arrived")),
+            F.struct((F.col("_since") + kept).alias("_at"), F.lit(1).alias("_probe"), none.alias("_arrived")),
+        )).alias("_p")).select("queryId", "qLon", "qLat", "_since", "_all", "_p.*")
+        found = keyed_scan(rows, ["_all"], ["_at", "_probe", "queryId"], None, {"_till": ("next", F.col("_arrived"))})
+        live = found.where("_probe = 1").withColumn("_till", F.coalesce("_till", for_ever))
+    return live.where((F.col("qLon") != 0) & F.col("_since").isNotNull()) \
+        .select("queryId", "qLon", "qLat", "_since", "_till")
+
+
+def nearest_taxi_ttl(rides: DataFrame, queries, retention: str = "15 minutes", reset: str = "8 hours",
+                     expiry: str = "arrival") -> DataFrame:
+    """As ``nearest_taxi``, for queries with an arrival time (see ``live_queries``);
+    a query's minimum is forgotten when it has not improved for ``reset``. A ride
+    meets only the queries live at its time (``stab``)."""
+    live = live_queries(rides.sparkSession, queries, retention, expiry)
+    ends = end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat",
+                                    F.unix_micros("eventTime").alias("_at"))
+    reports = stab(live, ends, "_since", "_till", "_at") \
+        .select("queryId", "eventTime", "rideId", "taxiId",
+                distance_km("qLon", "qLat", "endLon", "endLat").cast("float").alias("km"))
+    return resetting_minima(reports, "queryId", ["eventTime", "rideId"], "km", interval_seconds(reset) * 1_000_000)
+
+
 def with_rule_columns(rides: DataFrame, watermark: Column) -> DataFrame:
     """``rides`` with what a rule may refer to besides their columns: the ride's
     current position (start for START, end for END) and the watermark."""

@@ -19,6 +19,11 @@ STOP_WORDS = (
 #: Arrival of an event at the join: up to an hour after its own time.
 ARRIVAL = "(ts + to_seconds(cast(event_id * 7919 % 3600 as bigint)))"
 ONGOING_QUERIES = [(1, 30, "2024-01-15 12:00:00"), (2, 0, "2024-01-08 00:00:00"), (3, 600, "2024-01-28 06:30:00")]
+#: Location queries with their arrival: two live until a purge (longitude 0), one of
+#: a quarter of an hour, one until the last arrives, the last for ever.
+TIMED_QUERIES = [(1, -74.0, 41.0, "2024-01-02 00:00:00"), (2, -73.7781, 40.6413, "2024-01-02 00:10:00"),
+                 (3, 0.0, 0.0, "2024-01-12 06:00:00"), (4, -73.95, 40.7, "2024-01-19 00:00:00"),
+                 (5, -73.85, 40.6, "2024-01-19 00:15:00"), (6, -73.977664, 40.761484, "2024-01-19 00:15:01")]
 #: The cell of the registered single-cell arrivals.
 CELL = 103978
 AS_OF = "2024-01-15 12:00:00"
@@ -294,6 +299,20 @@ where isStart and floor((epoch_ms({T}) - epoch_ms(eventTime)) / 60000) >= 30"""
                               """m AS (select *, min(km) over (partition by queryId order by eventTime, rideId
       rows between unbounded preceding and 1 preceding) as prev from d)""") + """
 select queryId, eventTime, rideId, taxiId, km from m where prev is null or km < prev"""
+    timed = ", ".join(f"({i}::bigint, {lon}::double, {lat}::double, timestamp '{at}')" for i, lon, lat, at in TIMED_QUERIES)
+    q["nearest_taxi_ttl"] = "WITH RECURSIVE " + ",\n".join([RIDES, f"""q AS (select * from (values {timed}) t(queryId, qLon, qLat, since))""",
+        """live AS (select *, (select min(n.since) from q n where n.since > q.since + interval 15 minute) as till from q where qLon <> 0)""",
+        f"""d AS (select *, row_number() over (partition by queryId order by eventTime, rideId) as n from (
+    select l.queryId, r.eventTime, r.rideId, r.taxiId, cast({dist('l.qLon', 'l.qLat', 'r.endLon', 'r.endLat')} as float) as km
+    from rides r join live l on not r.isStart and r.eventTime >= l.since and (l.till is null or r.eventTime < l.till)))""",
+        """far AS (select queryId, n, min(n) over (partition by queryId order by eventTime
+      range between interval '28800000001 microseconds' following and unbounded following) as late from d)""",
+        """c AS (select * from d where n = 1
+  union all
+  select e.* from c join far f on f.queryId = c.queryId and f.n = c.n
+    join d e on e.queryId = c.queryId and e.n = (select min(b.n) from d b where b.queryId = c.queryId and b.n > c.n
+      and (b.km < c.km or b.n = f.late)))"""]) + """
+select queryId, eventTime, rideId, taxiId, km from c"""
     q["match_rides"] = with_(RIDES) + f"""
 select 'PBE' as source, * from {_latest(f'eventTime <= {T}')} where {RULE_PREDICATE}
 union all

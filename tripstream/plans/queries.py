@@ -23,7 +23,7 @@ from ..sources.catalog import TaxiCatalog
 from ..sources.graph import read_edges, write_tsv
 from ..sources.mail import mail_records, parse_mail_records, parse_mbox_mails
 from ..sources.rides import line_to_ride, raw_fares_to_fares, ride_to_line, trips_to_ride_events
-from .oracle import AS_OF, CELL, MAIL_EXCLUDE, ONGOING_QUERIES, RULE_PREDICATE
+from .oracle import AS_OF, CELL, MAIL_EXCLUDE, ONGOING_QUERIES, RULE_PREDICATE, TIMED_QUERIES
 from .util import to_ntz
 
 
@@ -137,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ongoing_rides_for_queries": _q(lambda s, d: op.ongoing_rides_for_queries(R(s, d), ONGOING_QUERIES)),
         "ongoing_rides": _q(lambda s, d: op.ongoing_rides(R(s, d), 30, AS_OF)),
         "nearest_taxi": _q(lambda s, d: op.nearest_taxi(R(s, d), fx.LOCATION_QUERIES)),
+        "nearest_taxi_ttl": _q(lambda s, d: op.nearest_taxi_ttl(R(s, d), TIMED_QUERIES)),
         "match_rides": _q(lambda s, d: op.match_rides(R(s, d), RULE_PREDICATE, AS_OF)),
         "arrivals_window": _q(lambda s, d: op.arrivals_window(R(s, d), "12 hours")),
         "arrivals_window_cell": _q(lambda s, d: op.arrivals_window(R(s, d), "12 hours", cell=CELL)),

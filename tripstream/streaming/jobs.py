@@ -18,8 +18,8 @@ from ..functions.time import travel_minutes
 from ..plans.util import interval_seconds
 from ..schemas import RIDE_COLUMNS
 from .processors import (AsOfJoinProcessor, EventSortProcessor, LatestJoinProcessor,
-                         LongRidesProcessor, NearestWithRetentionProcessor, RIDE_STATE,
-                         RangeCountProcessor, RuleMatchProcessor, RunningMinProcessor,
+                         LongRidesProcessor, RIDE_STATE, RangeCountProcessor,
+                         ResettingMinProcessor, RuleMatchProcessor, RunningMinProcessor,
                          StopSegmentsProcessor, TravelTimeProcessor)
 
 RIDE_DELAY = "60 seconds"     # bounded out-of-orderness of rides and fares (T11)
@@ -260,16 +260,17 @@ def nearest_taxi_stream(rides: DataFrame, queries) -> DataFrame:
 
 
 def nearest_taxi_ttl_stream(rides: DataFrame, queries, retention: str = "15 minutes",
-                            reset: str = "8 hours", delay: str = RIDE_DELAY) -> DataFrame:
-    """Queries (queryId, lon, lat, queryTime) are live for ``retention``; a
-    minimum that has not improved for ``reset`` is forgotten (event-time timers)."""
+                            reset: str = "8 hours", delay: str = RIDE_DELAY, expiry: str = "age") -> DataFrame:
+    """Queries (queryId, longitude, latitude, queryTime; a table or a list) are live
+    as ``operators.live_queries`` says; a minimum that has not improved for ``reset``
+    is forgotten (event-time timers)."""
     _ship()
-    times = {int(q[0]): q[3] for q in queries}
-    reports = op.query_distances(rides, [q[:3] for q in queries])
-    when = F.create_map(*[x for qid, t in times.items()
-                          for x in (F.lit(qid), F.lit(str(t)).cast("timestamp"))])
-    reports = reports.withColumn("queryTime", when[F.col("queryId")])
-    proc = NearestWithRetentionProcessor(interval_seconds(retention) * 1000, interval_seconds(reset) * 1000)
+    live = op.live_queries(rides.sparkSession, queries, retention, expiry)
+    at = F.unix_micros("eventTime")
+    reports = (op.query_distances(rides, live.select("queryId", "qLon", "qLat"))
+               .join(live.select("queryId", "_since", "_till"), "queryId")
+               .where((at >= F.col("_since")) & (at < F.col("_till"))).drop("_since", "_till"))
+    proc = ResettingMinProcessor(interval_seconds(reset) * 1000)
     return (with_watermark(reports, "eventTime", delay).groupBy("queryId")
             .transformWithState(proc, NEAREST_OUT, "Append", "EventTime"))
 

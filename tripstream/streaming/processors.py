@@ -327,13 +327,11 @@ class RunningMinProcessor(StatefulProcessor):
         pass
 
 
-class NearestWithRetentionProcessor(StatefulProcessor):
-    """B3 keyed by query id: W2 with query retention and minimum reset. A query
-    is live for ``retention`` after its own time; its minimum is forgotten when
+class ResettingMinProcessor(StatefulProcessor):
+    """B3 keyed by query id: W2 with a reset. A query's minimum is forgotten when
     it has not improved for ``reset`` (event-time timers)."""
 
-    def __init__(self, retention_ms: int, reset_ms: int):
-        self.retention_us = retention_ms * 1000
+    def __init__(self, reset_ms: int):
         self.reset_us = reset_ms * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -345,9 +343,6 @@ class NearestWithRetentionProcessor(StatefulProcessor):
         out = []
         for r in sorted(rows, key=lambda r: (r.eventTime, r.rideId)):
             t = to_us(r.eventTime)
-            q = to_us(r.queryTime)
-            if t < q or t > q + self.retention_us:
-                continue
             if b is not None and t - b[1] > self.reset_us:
                 b = None
             if b is None or r.km < b[0]:
