@@ -9,7 +9,7 @@ from .mail import (distinct_mails, exclude_senders, mail_count, member_of_month,
                    reply_pairs, tf_idf)
 from .predict import predict_travel_time
 from .rides import (arrivals_last_10min, arrivals_window, clean_rides, drop_every_nth_ride, end_events, enrich_rides,
-                    event_cell, fares_in_city, fares_in_city_of, high_tip_hours, hourly_tip_leader, hourly_tips,
+                    event_cell, fares_in_city, fares_in_city_of, fold_changes, high_tip_hours, hourly_tip_leader, hourly_tips,
                     latest_per_taxi, ongoing_rides, ongoing_rides_for_queries, popular_places,
                     popular_places_sql,
                     ride_count, ride_durations, route_heatmap, start_events, unmatched_fares,

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.util import drop_path
 from ..session import ensure_checkpoint_dir
 
 
@@ -32,7 +33,7 @@ def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0
     teleport share without a second join. Every few rounds, and after the last
     one, the ranks are written as a table into the session's shared checkpoint
     folder (``spark.checkpoint.dir``) and read back, which cuts the lineage with
-    a single job per cut; the returned ranks depend on no cached data.
+    a single job per cut; the table before it is deleted. The returned ranks depend on no cached data.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -44,26 +45,30 @@ def weighted_pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0
     e = normalized_edges(given, by_degree).persist()
     vertices = e.select(F.col("src").alias("vertex")).union(e.select(F.col("dst").alias("vertex"))) \
         .distinct().persist()
-    n = float(vertices.count())      # materialises e and vertices
-    given.unpersist()
+    n = vertices.select(F.count(F.lit(1)).cast("double")).scalar()
     zero = vertices.select("vertex", F.lit(0.0).alias("c"))
-    ranks = vertices.select("vertex", F.lit(1.0 / n).alias("rank"))
+    ranks = vertices.select("vertex", (F.lit(1.0) / n).alias("rank"))
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagerank-{uuid.uuid4().hex}"
+    written = None
     for i in range(iterations):
         contrib = (e.join(ranks.withColumnRenamed("vertex", "src"), "src")
                    .select(F.col("dst").alias("vertex"), (F.col("rank") * F.col("w")).alias("c")))
         ranks = (contrib.unionByName(zero).groupBy("vertex")
-                 .agg((F.lit((1 - damping) / n) + F.lit(damping) * F.sum("c")).alias("rank")))
+                 .agg((F.first(F.lit(1 - damping) / n) + F.lit(damping) * F.sum("c")).alias("rank")))
         if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
             # cut the lineage: one job writes the ranks into the shared checkpoint
             # folder, later rounds read them back from there
             path = f"{base}/round-{i + 1}"
             ranks.write.mode("overwrite").parquet(path)
             ranks = spark.read.parquet(path)
+            if written:
+                drop_path(spark, written)        # nothing reads the earlier round any more
+            written = path
     if iterations == 0:
         ranks.write.parquet(f"{base}/round-0")
         ranks = spark.read.parquet(f"{base}/round-0")
     # the result reads only the written ranks: release the caches
+    given.unpersist()
     e.unpersist()
     vertices.unpersist()
     if digits is not None:

@@ -29,16 +29,18 @@ def tf_idf(docs: DataFrame, id_col: str = "messageId", text_col: str = "body",
     """A3–A5: tf(doc, word) * (N / df(word)), no logarithm.
 
     Term frequencies come from one explode + grouped count; document frequencies
-    are counted from that (doc, word) table, so texts are tokenised once. N is a
-    scalar subquery (a one-row aggregate), not a driver round trip. The tf ⋈ df
+    are counted from that (doc, word) table. Both read the same exchange of the
+    counts combined per task, so texts are tokenised once (``tests/test_mail_plans.py``).
+    N is a scalar subquery (a one-row aggregate), not a driver round trip. The tf ⋈ df
     join is many-to-one on word; adaptive execution splits a hot word's partition.
     """
-    words = (spread(docs.select(F.col(id_col).alias("docId"), F.col(text_col).alias("_text")), key="docId")
+    # dealt out evenly and not by document: grouping then needs an exchange of its
+    # counts, which both sides of the join share
+    words = (spread(docs.select(F.col(id_col).alias("docId"), F.col(text_col).alias("_text")))
              .select("docId", F.explode(raw_tokens("_text")).alias("word"))
              .filter(is_word("word", stop_words)))
     tf = words.groupBy("docId", "word").agg(F.count(F.lit(1)).alias("tf"))
-    # reading tf's value keeps that column alive, so both join sides share one
-    # tokenise-and-count exchange instead of tokenising the texts twice
+    # reading tf's value keeps that column in the shared exchange
     df = tf.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     return (tf.join(df, "word")

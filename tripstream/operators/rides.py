@@ -183,6 +183,14 @@ def high_tip_hours(fares: DataFrame, min_tips: float = 50.0, size: str = "1 hour
             .select(F.col("w.end").alias("windowEnd"), "driverId", F.round("tips", digits).alias("tips")))
 
 
+def fold_changes(changes: DataFrame, flag: str = "added") -> DataFrame:
+    """The rows that a changelog leaves: each as often as it was added (``flag``
+    true) less the times it was taken back."""
+    kept = [c for c in changes.columns if c != flag]
+    left = changes.groupBy(*kept).agg(F.sum(F.when(F.col(flag), 1).otherwise(-1)).alias("_left"))
+    return left.where("_left > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_left"))).select(*kept)
+
+
 # ---------------------------------------------------------------- W1, P8
 
 

@@ -94,16 +94,18 @@ def _entries(instants: DataFrame, key: str, reset_us: int) -> DataFrame:
     start = slices.where(F.col("_n") == 1).select(key, F.col("_g").alias("_slice"), F.col("_first").alias("_from"),
                                                   F.lit(None).cast("double").alias("_beat"), F.col("_exit").alias("_t"))
     most = slices.agg(F.max("_n")).first()[0] or 0
-    seen = start.select(key, "_t")
-    jump = led.select(key, "_t", "_to")
-    for level in range(max(most - 1, 0).bit_length()):
-        ahead = seen.join(jump, [key, "_t"]).select(key, F.col("_to").alias("_t"))
-        seen = seen.unionByName(ahead).checkpoint()
-        if (2 << level) < most:
+    levels = max(most - 1, 0).bit_length()
+    seen, jump = start.select(key, "_t"), led.select(key, "_t", "_to")
+    for level in range(levels):
+        seen = (seen.join(jump, [key, "_t"], "left").select(key, F.explode(F.array("_t", "_to")).alias("_t"))
+                .where(F.col("_t").isNotNull()))
+        if level + 1 < levels:
             far = jump.select(key, F.col("_t").alias("_to"), F.col("_to").alias("_end"))
-            jump = jump.join(far, [key, "_to"]).select(key, "_t", F.col("_end").alias("_to")).checkpoint()
+            jump = jump.join(far, [key, "_to"]).select(key, "_t", F.col("_end").alias("_to"))
+            if level % 2:                                  # two joins a table
+                jump = jump.checkpoint()
     passed = led.join(seen, [key, "_t"]).select(key, "_slice", "_from", "_beat")
-    return start.select(key, "_slice", "_from", "_beat").unionByName(passed)
+    return start.select(key, "_slice", "_from", "_beat").unionByName(passed).checkpoint()
 
 
 def resetting_minima(rows: DataFrame, key: str, order: list[str], value: str, reset: int) -> DataFrame:

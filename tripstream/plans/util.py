@@ -36,6 +36,12 @@ def interval_seconds(text: str) -> int:
     return int(float(n) * mult)
 
 
+def drop_path(spark, path: str) -> None:
+    """Delete a table that the caller wrote, through the file system of its path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Round-robin a narrow scan over the cluster before CPU-heavy per-row work.
 

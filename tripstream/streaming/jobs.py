@@ -17,9 +17,9 @@ from ..functions.geo import direction_angle, direction_bucket, distance_km, to_c
 from ..functions.time import travel_minutes
 from ..plans.util import interval_seconds
 from ..schemas import RIDE_COLUMNS
-from .processors import (AsOfJoinProcessor, EventSortProcessor, LatestJoinProcessor,
-                         LongRidesProcessor, RIDE_STATE, RangeCountProcessor,
-                         ResettingMinProcessor, RuleMatchProcessor, RunningMinProcessor,
+from .processors import (AsOfJoinProcessor, ChangingSumProcessor, EventSortProcessor, LatestJoinProcessor,
+                         LongRidesProcessor, RIDE_STATE, RangeCountProcessor, ResettingMinProcessor,
+                         RuleMatchProcessor, RunningCountProcessor, RunningMinProcessor,
                          StopSegmentsProcessor, TravelTimeProcessor)
 
 RIDE_DELAY = "60 seconds"     # bounded out-of-orderness of rides and fares (T11)
@@ -212,6 +212,37 @@ def latest_join_stream(trades: DataFrame, customers: DataFrame, delay: str = "0
             .transformWithState(proc, TRADE_OUT, "Append", "EventTime"))
 
 
+def hourly_tips_changes_stream(fares: DataFrame, size: str = "1 hour", delay: str = RIDE_DELAY,
+                               lateness: str = "60 seconds", min_tips: float | None = None,
+                               digits: int = 6) -> DataFrame:
+    """A9 (A8 with ``min_tips``) as a changelog (T15, T20): a driver's tips of a window come
+    out when the window has ended and once more with every batch that brings fares up
+    to ``lateness`` after that: the row shown before with ``added`` false, the new one
+    with true. ``operators.fold_changes`` gives the table that the changes make.
+
+    Fares are late by their window: one is dropped when its window has ended more than
+    ``lateness`` ago, however early in the window it is."""
+    _ship()
+    late_s = interval_seconds(lateness)
+    held = f"{interval_seconds(delay) + late_s} seconds"
+    # the event time goes and its window stays: the watermark then counts for the window's end
+    f = (with_watermark(fares, "startTime", held)
+         .select("driverId", F.col("tip").alias("value"), F.window("startTime", size).alias("w"))
+         .withColumn("windowEnd", F.col("w.end")))
+    out = (f.groupBy("driverId", "windowEnd")
+           .transformWithState(ChangingSumProcessor(late_s * 1000, digits),
+                               "windowEnd timestamp, driverId long, tips double, added boolean", "Append", "EventTime"))
+    # an old row that never passed is not taken back either
+    return out if min_tips is None else out.where(F.col("tips") > min_tips)
+
+
+def ride_count_changes_stream(rides: DataFrame) -> DataFrame:
+    """A1 as a changelog (T20): (driverId, cnt, added)."""
+    _ship()
+    return (rides.select("driverId", "rideId").groupBy("driverId")
+            .transformWithState(RunningCountProcessor(), "driverId long, cnt long, added boolean", "Append", "None"))
+
+
 CAR_FIELDS = ["id", "carId", "eventTime", "speed", "throttle"]
 CAR_STATE = "id string, carId string, eventTime timestamp, speed double, throttle double"
 

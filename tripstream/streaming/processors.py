@@ -364,6 +364,84 @@ class ResettingMinProcessor(StatefulProcessor):
         pass
 
 
+class ChangingSumProcessor(StatefulProcessor):
+    """T15/T20 keyed by (key, window end): the sum of the window, first when the
+    watermark shows that the window has ended, then again with every batch that
+    brings late rows, as a change: the row shown before (``added`` false) and the
+    new one (true). The query's watermark stays ``lateness`` behind the one that
+    ends windows, so a window has ended ``lateness`` before its end by it, and is
+    forgotten at its end."""
+
+    def __init__(self, lateness_ms: int, digits: int):
+        self.lateness_ms, self.digits = lateness_ms, digits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getValueState("sums", "total double, shown double")
+
+    def _row(self, key, tips, added: bool) -> Row:
+        return Row(windowEnd=key[1], driverId=key[0], tips=tips, added=added)
+
+    def _show(self, key, total, shown):
+        """(changes, what is shown now)."""
+        new = round(total, self.digits)
+        if shown is None:
+            return [self._row(key, new, True)], new
+        if shown == new:
+            return [], shown
+        return [self._row(key, shown, False), self._row(key, new, True)], new
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        end, now = timer_ms(to_us(key[1])), timerValues.getCurrentWatermarkInMs()
+        if now >= end:                       # too late; what is left to show comes with the timer
+            return iter([])
+        total, shown = self.sums.get() or (None, None)
+        out = []
+        if total is None:
+            total = 0.0
+            for at in {end - self.lateness_ms, end}:
+                self.handle.registerTimer(at)
+        elif now >= end - self.lateness_ms and shown is None:
+            out, shown = self._show(key, total, shown)      # had ended before these rows
+        for r in rows:
+            total += r.value or 0.0
+        if now >= end - self.lateness_ms:
+            changes, shown = self._show(key, total, shown)
+            out += changes
+        self.sums.update((total, shown))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        total, shown = self.sums.get() or (None, None)
+        out = []
+        if total is not None and shown is None:
+            out, shown = self._show(key, total, shown)
+            self.sums.update((total, shown))
+        if expiredTimerInfo.getExpiryTimeInMs() >= timer_ms(to_us(key[1])):
+            self.sums.clear()
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class RunningCountProcessor(StatefulProcessor):
+    """T20 keyed by driver: the number of rows so far as changes, one per batch."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "cnt long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        old = self.count.get()
+        new = (old[0] if old else 0) + sum(1 for _ in rows)
+        self.count.update((new,))
+        out = [Row(driverId=key[0], cnt=old[0], added=False)] if old else []
+        return iter([*out, Row(driverId=key[0], cnt=new, added=True)])
+
+    def close(self) -> None:
+        pass
+
+
 class TravelTimeProcessor(StatefulProcessor):
     """B6 keyed by (cell, direction): regression sums learned from END events;
     each START gets int(slope * distance), or -1 with fewer than two points."""
