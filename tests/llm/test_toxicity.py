@@ -1,5 +1,7 @@
 """Multiple-instance learning: held-out accuracy, locating, odd inputs."""
 
+import math
+import re
 import zlib
 
 import numpy as np
@@ -111,3 +113,28 @@ def test_odd_rows_and_empty_tables(spark, docs_of):
     assert len({r["score"] for r in tox.score_documents(docs, none).collect()}) == 1
     one = tox.train(docs, labels.where("toxic = 0"), F.col("doc_id") >= 0)
     assert len({r["predicted"] for r in tox.score_documents(docs, one).collect()}) == 1
+
+
+def plain_score(text, weights, bias):
+    """Noisy-or over the sentences of one text, word by word."""
+    miss, any_words = 1.0, False
+    for sentence in re.split(r"[.!?\n]", (text or "").lower()):
+        logit, found = bias, set(re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", sentence))
+        for w in found:
+            for kind, part in [(0, w), *[(k, w[:k]) for k in tox.PREFIXES]]:
+                logit += float(weights[zlib.crc32(part.encode(), kind) % (1 << tox.FEATURE_BITS)])
+        if found:
+            any_words = True
+            miss *= 1 - 1 / (1 + math.exp(-max(-40.0, min(40.0, logit))))
+    return 1 - miss if any_words else 1 / (1 + math.exp(-bias))
+
+
+def test_whole_table_against_a_plain_scorer(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = tox.fit(*sample())
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    rows = tox.score_documents(docs, model, keep=["doc_id"]).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r["score"] == pytest.approx(plain_score(texts[r["doc_id"]], model.weights, model.bias), abs=1e-5)
+        assert r["predicted"] == int(r["score"] >= 0.7)
