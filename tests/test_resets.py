@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import BASE, MUSEUM, STATION, ride, rides_df
 from tripstream import operators as op
+from tripstream.plans import resets
 from tripstream.plans.resets import resetting_minima
 
 HOUR = 3_600_000_000
@@ -65,6 +66,35 @@ def test_nulls_and_no_rows(spark):
     assert resetting_minima(df.limit(0), "k", ["t", "n"], "v", HOUR).collect() == []
 
 
+@pytest.mark.parametrize("values", ["few", "falling", "constant"])
+def test_blocks_of_blocks_are_the_same_as_a_walk(spark, monkeypatch, values):
+    monkeypatch.setattr(resets, "GROUP", 1)              # blocks of 4 slices: four levels
+    rnd = random.Random(values)
+    rows = []
+    for k, (count, hours) in enumerate([(500, 90), (150, 400), (30, 900), (1, 1), (9, 9)]):
+        for n in range(count):
+            at = rnd.randrange(hours * 60)
+            if 30 < at // 60 < 50:                       # a gap of many slices
+                continue
+            v = {"few": rnd.randrange(3), "rising": at, "falling": -at, "constant": 1}[values]
+            rows.append((k, BASE + dt.timedelta(minutes=at), n, float(v)))
+    assert len(check(spark, rows, HOUR)) > 50
+
+
+def test_plans_do_not_grow_with_the_slices(spark, monkeypatch):
+    # a path of some 240 slices
+    rows = [(1, BASE + dt.timedelta(minutes=37 * n), n, float(n % 3)) for n in range(400)]
+    frame = type(spark.range(1))
+    joins, plain = [], frame.checkpoint
+
+    def counted(df, *args, **kw):
+        joins.append(df._jdf.queryExecution().analyzed().toString().count("Join "))
+        return plain(df, *args, **kw)
+    monkeypatch.setattr(frame, "checkpoint", counted)
+    check(spark, rows, HOUR)
+    assert joins and max(joins) <= 2, joins
+
+
 def live(spark, queries, **kw):
     return {r.queryId: (r["_till"] - r["_since"]) // 60_000_000
             for r in op.live_queries(spark, queries, **kw).collect()}

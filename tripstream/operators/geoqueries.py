@@ -15,6 +15,7 @@ from ..plans.prefix import duration_bucket, keyed_scan
 from ..plans.resets import resetting_minima
 from ..plans.util import interval_seconds, ts_lit
 from ..schemas import RIDE_COLUMNS
+from ..session import ensure_checkpoint_dir
 from .rides import end_events, latest_per_taxi
 
 #: Queries that one joined row carries.
@@ -127,7 +128,9 @@ def nearest_taxi_ttl(rides: DataFrame, queries, retention: str = "15 minutes", r
     """As ``nearest_taxi``, for queries with an arrival time (see ``live_queries``);
     a query's minimum is forgotten when it has not improved for ``reset``. A ride
     meets only the queries live at its time (``stab``)."""
-    live = live_queries(rides.sparkSession, queries, retention, expiry)
+    ensure_checkpoint_dir(rides.sparkSession)
+    # read four times below: a table of the queries, not their plan
+    live = live_queries(rides.sparkSession, queries, retention, expiry).checkpoint()
     ends = end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat",
                                     F.unix_micros("eventTime").alias("_at"))
     reports = stab(live, ends, "_since", "_till", "_at") \
