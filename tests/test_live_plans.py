@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF_ORACLE, rides_df
 from tripstream import operators as op
 from tripstream.operators.geoqueries import near_reports, query_distances, running_minima
+from tripstream.plans import intervals
 from tripstream.plans.intervals import stab
 from tripstream.plans.nearest import candidates
 from tripstream.sources import fixtures as fx
@@ -135,3 +136,41 @@ def test_ongoing_rides_for_many_queries(spark):
     assert sorted(map(tuple, got.where(F.col("queryId") == q).drop("queryId").collect())) == \
         sorted(map(tuple, op.ongoing_rides(rides, minutes, at).collect()))
     assert op.ongoing_rides_for_queries(rides, []).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_stab_of_counted_intervals(spark, monkeypatch, few):
+    monkeypatch.setattr(intervals, "FEW", few)
+    rng = random.Random(7)
+    rows = [(k, s, s + rng.choice([0, 1, 1 << 20, (1 << 30) + 1, 1 << 55])) for k in range(200) for s in [rng.randrange(1 << 40)]]
+    rows += [(900, None, 5), (901, 5, None), (902, -500, 500)]
+    marks = [(k, rng.randrange(1 << 41)) for k in range(200)] + [(k + 500, r[1]) for k, r in enumerate(rows)] + [(999, -1)]
+    points = spark.createDataFrame(marks, "m long, t long")
+    got = stab(spark.createDataFrame(rows, "k long, s long, e long"), points, "s", "e", "t", counted=True)
+    want = sorted((k, m) for k, s, e in rows for m, t in marks if None not in (s, e, t) and s <= t < e)
+    assert sorted((r["k"], r["m"]) for r in got.collect()) == want
+    none = spark.createDataFrame([(1, 5, 5)], "k long, s long, e long")
+    assert stab(none, points, "s", "e", "t", counted=True).collect() == []
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_rides_of_a_small_file_are_not_broadcast(spark, tmp_path, monkeypatch, few):
+    """Read from a file whose estimated size is far below the threshold of a broadcast."""
+    monkeypatch.setattr(intervals, "FEW", few)
+    rng = random.Random(3)
+    pts = points(rng, 300, "city")
+    rides_at(spark, pts).write.parquet(f"{tmp_path}/rides")
+    rides = spark.read.parquet(f"{tmp_path}/rides")
+    queries = [(k, -73.97, 40.75, str(T0 + dt.timedelta(seconds=k))) for k in range(3)]
+    found = op.nearest_taxi_ttl(rides, queries)
+    lines = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    below = lambda n: range(n, next((k for k in range(n + 1, len(lines)) if depth[k] <= depth[n]), len(lines)))
+    assert any("FileScan" in line for line in lines)
+    for n, line in enumerate(lines):
+        if "BroadcastHashJoin" in line:
+            sides = [k for k in below(n) if depth[k] == depth[n + 1]]
+            sent = below(sides[0] if "BuildLeft" in line else sides[-1])
+            assert not any("FileScan" in lines[k] for k in sent), "\n".join(lines)
+    want = [m for q, lon, lat, at in queries for m in minima([p for p in pts if str(p[3]) >= at], [(q, lon, lat)])]
+    assert sorted((r["queryId"], r["rideId"]) for r in found.collect()) == want

@@ -133,7 +133,7 @@ def nearest_taxi_ttl(rides: DataFrame, queries, retention: str = "15 minutes", r
     live = live_queries(rides.sparkSession, queries, retention, expiry).checkpoint()
     ends = end_events(rides).select("rideId", "taxiId", "eventTime", "endLon", "endLat",
                                     F.unix_micros("eventTime").alias("_at"))
-    reports = stab(live, ends, "_since", "_till", "_at") \
+    reports = stab(live, ends, "_since", "_till", "_at", counted=True) \
         .select("queryId", "eventTime", "rideId", "taxiId",
                 distance_km("qLon", "qLat", "endLon", "endLat").cast("float").alias("km"))
     return resetting_minima(reports, "queryId", ["eventTime", "rideId"], "km", interval_seconds(reset) * 1_000_000)
